@@ -157,22 +157,24 @@ def merge_spans(text: Column, spans: Column) -> Column:
                 & cut(text, open_["end"], s["start"]).rlike(MERGEABLE_GAP)
             )
         )
-        closes = ~joins & open_.isNotNull()
-        full = closes & (F.size(acc["block"]) >= BLOCK)
-        return F.struct(
-            F.when(
-                joins, span(open_["start"], F.greatest(open_["end"], end), open_["type"])
+
+        def moved(joins: Column) -> Column:
+            closes = ~joins & open_.isNotNull()
+            full = closes & (F.size(acc["block"]) >= BLOCK)
+            return F.struct(
+                F.when(joins, span(open_["start"], F.greatest(open_["end"], end), open_["type"]))
+                .otherwise(span(s["start"], end, s["type"]))
+                .alias("open"),
+                F.when(full, F.array(open_))
+                .when(closes, F.concat(acc["block"], F.array(open_)))
+                .otherwise(acc["block"])
+                .alias("block"),
+                F.when(full, F.concat(acc["blocks"], F.array(acc["block"])))
+                .otherwise(acc["blocks"])
+                .alias("blocks"),
             )
-            .otherwise(span(s["start"], end, s["type"]))
-            .alias("open"),
-            F.when(full, F.array(open_))
-            .when(closes, F.concat(acc["block"], F.array(open_)))
-            .otherwise(acc["block"])
-            .alias("block"),
-            F.when(full, F.concat(acc["blocks"], F.array(acc["block"])))
-            .otherwise(acc["blocks"])
-            .alias("blocks"),
-        )
+
+        return let(joins, moved)
 
     def close(acc: Column) -> Column:
         return F.concat(F.flatten(acc["blocks"]), acc["block"], F.array(acc["open"]))
