@@ -844,9 +844,9 @@ def sanitize_errors(spark, sf_dir):
     "redaction_report",
     f"""
     select source, id, t as type, count(*) as n_found,
-           case when t = 'IP_ADDRESS' then count(*) else 0 end as n_kept,
-           case when t = 'IP_ADDRESS' then 0 else count(*) end as n_redacted
-    from ({HITS}) group by all""",
+           count(*) filter (t = 'IP_ADDRESS') as n_kept,
+           count(*) filter (t <> 'IP_ADDRESS') as n_redacted
+    from ({HITS}) group by source, id, t""",
 )
 def redaction_report(spark, sf_dir):
     return report(

@@ -2,12 +2,14 @@
 
 Spark has no function giving the offsets of all matches. ``pattern_spans`` marks every
 match with two noncharacters, splits there, and sums the piece lengths. Offsets are in
-code points. Each detector tests a cheap necessary condition first, so a text without
-"@", "+" or enough digits never runs the expensive expression.
+code points. Each format has a cheap necessary condition that is tested first, so a text
+without "@", "+" or enough digits never runs the expensive expression.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,47 +60,63 @@ def match_pieces(text: Column, pattern: Column | str) -> Column:
     return F.split(marked, f"[{MATCH_OPEN}{MATCH_CLOSE}]")
 
 
-def match_spans(text: Column, pattern: Column | str) -> Column:
-    """Every match as ``struct<start,end,value>``, in text order.
+def blocks_of(values: Column) -> Column:
+    """An array cut into arrays of ``BLOCK``.
 
-    Matches are gathered in blocks, because appending to one long array copies it.
+    ``F.aggregate`` copies its state at every step, so a state that grows with the array
+    makes it quadratic. Folding block by block keeps the copied state short.
     """
-    none = F.array().cast(f"array<{HIT}>")
-    start = F.struct(
-        F.lit(0).alias("pos"),
-        F.lit(False).alias("inside"),
-        none.alias("block"),
-        F.array().cast(f"array<array<{HIT}>>").alias("blocks"),
+    count = F.ceil(F.size(values) / F.lit(BLOCK)).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)),
     )
 
+
+def piece_spans(pieces: Column) -> Column:
+    """The matches among ``match_pieces`` as ``struct<start,end,value>``."""
+    none = F.array().cast(f"array<{HIT}>")
+
     def step(acc: Column, piece: Column) -> Column:
         end = acc["pos"] + F.length(piece)
-        hit = F.array(F.struct(acc["pos"].alias("start"), end.alias("end"), piece.alias("value")))
-        full = acc["inside"] & (F.size(acc["block"]) >= BLOCK)
+        hit = F.struct(acc["pos"].alias("start"), end.alias("end"), piece.alias("value"))
         return F.struct(
             end.alias("pos"),
             (~acc["inside"]).alias("inside"),
-            F.when(full, hit)
-            .when(acc["inside"], F.concat(acc["block"], hit))
-            .otherwise(acc["block"])
-            .alias("block"),
-            F.when(full, F.concat(acc["blocks"], F.array(acc["block"])))
-            .otherwise(acc["blocks"])
-            .alias("blocks"),
+            F.when(acc["inside"], F.concat(acc["found"], F.array(hit)))
+            .otherwise(acc["found"])
+            .alias("found"),
         )
 
-    def joined(acc: Column) -> Column:
-        return F.concat(F.flatten(acc["blocks"]), acc["block"])
+    def in_block(block: Column, at: Column) -> Column:
+        # Blocks have an even length, so each one begins with a gap.
+        start = F.struct(at.alias("pos"), F.lit(False).alias("inside"), none.alias("found"))
+        return F.aggregate(block, start, step)["found"]
+
+    def in_blocks(blocks: Column) -> Column:
+        lengths = F.transform(blocks, lambda b: F.length(F.array_join(b, "")))
+        starts = F.aggregate(
+            lengths,
+            F.array(F.lit(0)),
+            lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)),
+        )
+        return let(
+            starts,
+            lambda at: F.flatten(F.transform(blocks, lambda b, i: in_block(b, F.get(at, i)))),
+        )
 
-    return let(
-        match_pieces(text, pattern),
-        lambda p: F.when(F.size(p) > 1, F.aggregate(p, start, step, joined)).otherwise(none),
+    return F.when(F.size(pieces) > BLOCK, let(blocks_of(pieces), in_blocks)).otherwise(
+        in_block(pieces, F.lit(0))
     )
 
 
-def typed_spans(hits: Column, kind: str) -> Column:
-    return F.transform(
-        hits, lambda h: F.struct(h["start"], h["end"], F.lit(kind).alias("type"))
+def match_spans(text: Column, pattern: Column | str) -> Column:
+    """Every match as ``struct<start,end,value>``, in text order."""
+    return let(
+        match_pieces(text, pattern),
+        lambda p: F.when(F.size(p) > 1, piece_spans(p)).otherwise(
+            F.array().cast(f"array<{HIT}>")
+        ),
     )
 
 
@@ -130,34 +148,60 @@ def luhn_ok(value: Column) -> Column:
     return F.call_function("luhn_check", F.regexp_replace(value, "[^0-9]", ""))
 
 
+# A cheap condition that every text with a match fulfils, then the pattern.
+_FORMATS = {
+    EMAIL: (lambda t: F.contains(t, F.lit("@")), EMAIL_PATTERN),
+    IBAN: (lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), IBAN_PATTERN),
+    IPV4: (lambda t: t.rlike("[0-9]\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]"), IPV4_PATTERN),
+    CARD: (lambda t: t.rlike("[0-9](?:[ -]?[0-9]){12}"), CARD_PATTERN),
+    PHONE: (lambda t: F.contains(t, F.lit("+")) & t.rlike("\\+[0-9]"), PHONE_PATTERN),
+}
+_VALID = {IBAN: iban_ok, CARD: luhn_ok, PHONE: lambda v: digit_count(v) >= 8}
+
+
+def detect_patterns(text: Column, kinds: Sequence[str] = tuple(_FORMATS)) -> Column:
+    """Spans of the given formats, format by format, each in text order."""
+    cuts = [
+        F.struct(
+            F.lit(kind).alias("type"),
+            F.when(_FORMATS[kind][0](text), match_pieces(text, _FORMATS[kind][1])).alias("pieces"),
+        )
+        for kind in kinds
+    ]
+
+    def valid(kind: Column, value: Column) -> Column:
+        ok = F.lit(True)
+        for name in kinds:
+            if name in _VALID:
+                ok = F.when(kind == name, _VALID[name](value)).otherwise(ok)
+        return ok
+
+    def spans(c: Column) -> Column:
+        hits = F.filter(piece_spans(c["pieces"]), lambda h: valid(c["type"], h["value"]))
+        return F.transform(hits, lambda h: F.struct(h["start"], h["end"], c["type"].alias("type")))
+
+    matched = F.filter(F.array(*cuts), lambda c: F.size(c["pieces"]) > 1)
+    return F.flatten(F.transform(matched, spans))
+
+
 def detect_email(text: Column) -> Column:
-    return F.when(
-        F.contains(text, F.lit("@")), typed_spans(match_spans(text, EMAIL_PATTERN), EMAIL)
-    ).otherwise(no_spans())
+    return detect_patterns(text, [EMAIL])
 
 
 def detect_iban(text: Column) -> Column:
-    hits = F.filter(match_spans(text, IBAN_PATTERN), lambda h: iban_ok(h["value"]))
-    return F.when(text.rlike("[A-Z]{2}[0-9]{2}"), typed_spans(hits, IBAN)).otherwise(no_spans())
+    return detect_patterns(text, [IBAN])
 
 
 def detect_ipv4(text: Column) -> Column:
-    return F.when(
-        text.rlike("[0-9]\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]"), typed_spans(match_spans(text, IPV4_PATTERN), IPV4)
-    ).otherwise(no_spans())
+    return detect_patterns(text, [IPV4])
 
 
 def detect_card(text: Column) -> Column:
-    hits = F.filter(match_spans(text, CARD_PATTERN), lambda h: luhn_ok(h["value"]))
-    return F.when(text.rlike("[0-9](?:[ -]?[0-9]){12}"), typed_spans(hits, CARD)).otherwise(
-        no_spans()
-    )
+    return detect_patterns(text, [CARD])
 
 
 def detect_phone(text: Column) -> Column:
-    hits = F.filter(match_spans(text, PHONE_PATTERN), lambda h: digit_count(h["value"]) >= 8)
-    plus = F.contains(text, F.lit("+")) & text.rlike("\\+[0-9]")
-    return F.when(plus, typed_spans(hits, PHONE)).otherwise(no_spans())
+    return detect_patterns(text, [PHONE])
 
 
 DETECTORS = {
@@ -167,8 +211,3 @@ DETECTORS = {
     CARD: detect_card,
     PHONE: detect_phone,
 }
-
-
-def detect_patterns(text: Column) -> Column:
-    """Spans of all five formats, in the fixed format order."""
-    return F.concat(*[detect(text) for detect in DETECTORS.values()])

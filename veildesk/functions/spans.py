@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veildesk.functions.patterns import BLOCK, match_spans, no_spans
+from veildesk.functions.patterns import BLOCK, blocks_of, match_spans, no_spans
 from veildesk.functions.text import (
     CONNECTOR,
     LEADING_PUNCT,
@@ -157,38 +157,54 @@ def merge_spans(text: Column, spans: Column) -> Column:
                 & cut(text, open_["end"], s["start"]).rlike(MERGEABLE_GAP)
             )
         )
-
-        def moved(joins: Column) -> Column:
-            closes = ~joins & open_.isNotNull()
-            full = closes & (F.size(acc["block"]) >= BLOCK)
-            return F.struct(
-                F.when(joins, span(open_["start"], F.greatest(open_["end"], end), open_["type"]))
+        return let(
+            joins,
+            lambda j: F.struct(
+                F.when(j, span(open_["start"], F.greatest(open_["end"], end), open_["type"]))
                 .otherwise(span(s["start"], end, s["type"]))
                 .alias("open"),
-                F.when(full, F.array(open_))
-                .when(closes, F.concat(acc["block"], F.array(open_)))
-                .otherwise(acc["block"])
-                .alias("block"),
-                F.when(full, F.concat(acc["blocks"], F.array(acc["block"])))
-                .otherwise(acc["blocks"])
-                .alias("blocks"),
-            )
+                F.when(j | open_.isNull(), acc["closed"])
+                .otherwise(F.concat(acc["closed"], F.array(open_)))
+                .alias("closed"),
+            ),
+        )
 
-        return let(joins, moved)
+    def state(open_: Column) -> Column:
+        return F.struct(open_.alias("open"), no_spans().alias("closed"))
 
-    def close(acc: Column) -> Column:
-        return F.concat(F.flatten(acc["blocks"]), acc["block"], F.array(acc["open"]))
+    def add_block(acc: Column, block: Column) -> Column:
+        return let(
+            F.aggregate(block, state(acc["open"]), add),
+            lambda done: F.struct(
+                done["open"].alias("open"),
+                F.concat(acc["closed"], F.array(done["closed"])).alias("closed"),
+            ),
+        )
+
+    def merged(found: Column) -> Column:
+        nothing = F.lit(None).cast(SPAN)
+        start = F.struct(
+            nothing.alias("open"), F.array().cast(f"array<{SPANS}>").alias("closed")
+        )
+        return F.when(
+            F.size(found) > BLOCK,
+            F.aggregate(
+                blocks_of(ordered(found)),
+                start,
+                add_block,
+                lambda acc: F.concat(F.flatten(acc["closed"]), F.array(acc["open"])),
+            ),
+        ).otherwise(
+            F.aggregate(
+                ordered(found),
+                state(nothing),
+                add,
+                lambda acc: F.concat(acc["closed"], F.array(acc["open"])),
+            )
+        )
 
-    start = F.struct(
-        F.lit(None).cast(SPAN).alias("open"),
-        no_spans().alias("block"),
-        F.array().cast(f"array<{SPANS}>").alias("blocks"),
-    )
     return let(
-        spans,
-        lambda found: F.when(
-            F.size(found) > 1, F.aggregate(ordered(found), start, add, close)
-        ).otherwise(found),
+        spans, lambda found: F.when(F.size(found) > 1, merged(found)).otherwise(found)
     )
 
 

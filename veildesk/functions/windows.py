@@ -28,9 +28,10 @@ def token_table(text: str, pieces: Tokenizer = one_token) -> np.ndarray:
     """Rows (start, end, word number) of every token; "_" separates words."""
     rows = []
     for number, match in enumerate(_WORD.finditer(text.replace("_", " "))):
-        ends = match.start() + np.cumsum(pieces(match.group()))
-        starts = np.concatenate(([match.start()], ends[:-1]))
-        rows += [(s, e, number) for s, e in zip(starts, ends)]
+        at = match.start()
+        for length in pieces(match.group()):
+            rows.append((at, at + length, number))
+            at += length
     return np.array(rows, dtype=np.int64).reshape(-1, 3)
 
 
@@ -38,9 +39,8 @@ def window_bounds(tokens: np.ndarray, text: str, size: int = WINDOW_TOKENS) -> l
     """Token ranges: after a sentence end in the second half, else at a word, else full."""
     n = len(tokens)
     at_word = np.append(False, tokens[1:, 2] != tokens[:-1, 2])
-    after_stop = np.append(
-        False, [text[end - 1 : end] in SENTENCE_END for end in tokens[:-1, 1]]
-    ).astype(bool)
+    stop = np.isin(tokens[:-1, 1] - 1, [i for i, ch in enumerate(text) if ch in SENTENCE_END])
+    after_stop = np.append(False, stop)
     words, stops = np.flatnonzero(at_word), np.flatnonzero(at_word & after_stop)
     bounds, low = [], 0
     while low < n:

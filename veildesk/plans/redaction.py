@@ -392,7 +392,7 @@ def redaction_report(
     """Per record and type: spans found by the formats, kept by policy, redacted."""
     texts = record_texts(df, columns, policy)
     kept = [name.upper() for name in policy.keep]
-    raw = F.flatten(F.transform(texts, detect_patterns))
+    raw = F.flatten(F.transform(texts, lambda t: detect_patterns(t)))
     rows = df.select(*keys, F.explode(raw).alias("s")).select(*keys, "s.type")
     is_kept = F.col("type").isin(kept) if kept else F.lit(False)
     return rows.groupBy(*keys, "type").agg(
