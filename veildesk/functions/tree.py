@@ -36,9 +36,7 @@ def map_strings(col: Column, kind: T.DataType, fn: Callable[[Column], Column]) -
     if isinstance(kind, T.MapType):
         return F.transform_values(col, lambda _, v: map_strings(v, kind.valueType, fn))
     if isinstance(kind, T.VariantType):
-        body = F.to_json(col)
-        leaves = F.transform(json_strings(body), fn)
-        return F.try_parse_json(json_with_strings(body, leaves))
+        raise TypeError("a variant inside another value has no schema to follow")
     return fn(col)
 
 
@@ -57,14 +55,14 @@ def _leaves(col: Column, kind: T.DataType) -> Column:
     elif isinstance(kind, T.MapType):
         found = F.flatten(F.transform(F.map_values(col), lambda x: _leaves(x, kind.valueType)))
     elif isinstance(kind, T.VariantType):
-        found = json_strings(F.to_json(col))
+        raise TypeError("a variant inside another value has no schema to follow")
     else:
         return F.array(col)
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-# Values of unknown schema: the strings are taken out and put back by two small Arrow
-# functions, so that detection and redaction stay in the JVM.
+# Values of unknown schema (variant columns): the strings are taken out and put back by
+# two small Arrow functions, so that detection and redaction stay in the JVM.
 
 
 def _visit(value, fn):
@@ -77,7 +75,7 @@ def _visit(value, fn):
     return value
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def json_strings(body: pd.Series) -> pd.Series:
     def strings(text):
         if text is None:
@@ -89,7 +87,7 @@ def json_strings(body: pd.Series) -> pd.Series:
     return body.map(strings)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_with_strings(body: pd.Series, leaves: pd.Series) -> pd.Series:
     def put(text, values):
         if text is None:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from veildesk.staging import left_lookup
 
+CHUNKS = ("minute", "hour", "day", "month", "year")
+
 
 def newest_tickets(tickets: DataFrame, owner: str, limit: int = 100) -> DataFrame:
     """Each owner's newest tickets with their rank and the number returned.
@@ -66,6 +68,8 @@ def ticket_metrics(events: DataFrame, chunk: str = "day") -> DataFrame:
     cover one ticket and one ``chunk`` of time. What crosses a chunk border is only its
     first time and its last event, so those are settled on one summary row per chunk.
     """
+    if chunk not in CHUNKS:
+        raise ValueError(f"chunk must be one of {', '.join(CHUNKS)}")
     event, at, place = F.col("event"), F.col("at"), F.struct("at", "id")
     timed = events.select(
         "ticket_id",

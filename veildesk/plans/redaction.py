@@ -14,9 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veildesk.functions.detectors import Detector, run_detector
 from veildesk.functions.patterns import detect_patterns, no_spans
@@ -33,7 +35,12 @@ from veildesk.functions.spans import (
     widen_spans,
 )
 from veildesk.functions.text import let, needs_scan
-from veildesk.functions.tree import map_strings, string_leaves
+from veildesk.functions.tree import (
+    json_strings,
+    json_with_strings,
+    map_strings,
+    string_leaves,
+)
 from veildesk.functions.urls import is_own_url, sanitize_url, url_parts
 from veildesk.plans.propagation import propagate, scope_values
 from veildesk.plans.vault import empty_vault, first_seen, number_values, pseudonym_key
@@ -107,8 +114,16 @@ def detected(text: Column, policy: Policy, model: Column | None = None) -> Colum
     )
 
 
-def merged_in_record(texts: Column, policy: Policy) -> Column:
-    """Merged spans of each text, known values searched within the record."""
+def merged_in_record(texts: str, policy: Policy) -> Column:
+    """Merged spans of each text in an array column, known values searched in the record."""
+    return _merged_in_record(texts, tuple(policy.keep), tuple(policy.allow))
+
+
+@lru_cache(maxsize=64)
+def _merged_in_record(column: str, keep: tuple[str, ...], allow: tuple[str, ...]) -> Column:
+    # A large expression: made once per policy, because making it costs seconds and a
+    # stream needs it for every micro-batch.
+    texts, policy = F.col(column), Policy(keep=keep, allow=allow)
 
     def with_known(spans: Column) -> Column:
         known = first_types(F.flatten(F.zip_with(texts, spans, known_values)))
@@ -225,13 +240,13 @@ def _merged_per_record(
 ) -> DataFrame:
     """``record, cell, text, merged`` without a shuffle: the record is the scope."""
     texts = df.select(
-        F.struct(*keys).alias("record"), record_texts(df, columns, policy).alias("texts")
+        F.struct(*keys).alias("record"), record_texts(df, columns, policy).alias("_texts")
     )
     return (
-        texts.withColumn("merged", merged_in_record(F.col("texts"), policy))
+        texts.withColumn("merged", merged_in_record("_texts", policy))
         .where(F.exists("merged", lambda m: F.size(m) > 0))
-        .select("record", F.posexplode(F.arrays_zip("texts", "merged")).alias("cell", "x"))
-        .select("record", "cell", F.col("x.texts").alias("text"), F.col("x.merged").alias("merged"))
+        .select("record", F.posexplode(F.arrays_zip("_texts", "merged")).alias("cell", "x"))
+        .select("record", "cell", F.col("x._texts").alias("text"), F.col("x.merged").alias("merged"))
         .where(F.size("merged") > 0)
     )
 
@@ -291,6 +306,8 @@ def sanitize(
     With numbered placeholders the returned vault holds ``vault`` plus the new values.
     """
     vault = empty_vault(df.sparkSession) if vault is None else vault
+    if any(isinstance(df.schema[c].dataType, T.VariantType) for c in columns):
+        return _sanitize_variants(df, keys, columns, policy, vault)
     if policy.narrow and not policy.pseudonyms:
         return Sanitized(_sanitize_narrow(df, columns, policy), vault)
 
@@ -301,6 +318,21 @@ def sanitize(
     return Sanitized(put_back(df, keys, columns, policy, merged, vault), vault)
 
 
+def _sanitize_variants(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy, vault: DataFrame
+) -> Sanitized:
+    """Variant columns are redacted as the array of their strings, then put together again."""
+    shadows = {
+        c: f"_strings_{c}" for c in columns if isinstance(df.schema[c].dataType, T.VariantType)
+    }
+    taken = df.withColumns({s: json_strings(F.to_json(c)) for c, s in shadows.items()})
+    done = sanitize(taken, keys, [shadows.get(c, c) for c in columns], policy, vault)
+    frame = done.frame.withColumns(
+        {c: F.parse_json(json_with_strings(F.to_json(c), s)) for c, s in shadows.items()}
+    ).select(*df.columns)
+    return Sanitized(frame, done.vault)
+
+
 def put_back(
     df: DataFrame,
     keys: Sequence[str],
@@ -333,7 +365,7 @@ def _sanitize_narrow(df: DataFrame, columns: Sequence[str], policy: Policy) -> D
     texts = F.col("_texts")
     clean = F.zip_with(
         texts,
-        merged_in_record(texts, policy),
+        merged_in_record("_texts", policy),
         lambda t, m: redact(t, m, plain_placeholder),
     )
     scanned = df.withColumn("_texts", record_texts(df, columns, policy)).withColumn("_clean", clean)

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veildesk.schemas import VAULT
 from veildesk.staging import staged
@@ -20,7 +21,7 @@ _SEPARATORS = re.compile(
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def pseudonym_key(value: pd.Series) -> pd.Series:
     """NFKC, lower case, separators as one space, trimmed (Spark has no NFKC function)."""
 
