@@ -5,14 +5,15 @@ Shape, keys, numbers, booleans and nulls are left as they are.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veildesk.functions.patterns import match_pieces
+from veildesk.functions.text import let
+
 
 def holds_strings(kind: T.DataType) -> bool:
     if isinstance(kind, T.StructType):
@@ -36,7 +37,7 @@ def map_strings(col: Column, kind: T.DataType, fn: Callable[[Column], Column]) -
     if isinstance(kind, T.MapType):
         return F.transform_values(col, lambda _, v: map_strings(v, kind.valueType, fn))
     if isinstance(kind, T.VariantType):
-        raise TypeError("a variant inside another value has no schema to follow")
+        return F.parse_json(map_json_strings(F.to_json(col), fn))
     return fn(col)
 
 
@@ -55,44 +56,58 @@ def _leaves(col: Column, kind: T.DataType) -> Column:
     elif isinstance(kind, T.MapType):
         found = F.flatten(F.transform(F.map_values(col), lambda x: _leaves(x, kind.valueType)))
     elif isinstance(kind, T.VariantType):
-        raise TypeError("a variant inside another value has no schema to follow")
+        found = json_strings(F.to_json(col))
     else:
         return F.array(col)
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-# Values of unknown schema (variant columns): the strings are taken out and put back by
-# two small Arrow functions, so that detection and redaction stay in the JVM.
+# Values of unknown schema (variant columns) are walked as JSON text: its string literals
+# are the odd pieces, and those followed by a colon are keys.
+
+
+def _literals(body: Column) -> Column:
+    return match_pieces(body, '"(?:[^"\\\\]|\\\\.)*+"')
+
+
+def _is_value(pieces: Column, at: Column) -> Column:
+    return (at % 2 == 1) & ~F.startswith(F.get(pieces, at + 1), F.lit(":"))
+
+
+def _decoded(literal: Column) -> Column:
+    return F.from_json(F.concat(F.lit("["), literal, F.lit("]")), "array<string>")[0]
 
 
-def _visit(value, fn):
-    if isinstance(value, str):
-        return fn(value)
-    if isinstance(value, list):
-        return [_visit(v, fn) for v in value]
-    if isinstance(value, dict):
-        return {k: _visit(v, fn) for k, v in value.items()}
-    return value
+def _encoded(text: Column) -> Column:
+    array = F.to_json(F.array(text))
+    return F.substring(array, F.lit(2), F.length(array) - 2)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def json_strings(body: pd.Series) -> pd.Series:
-    def strings(text):
-        if text is None:
-            return []
-        found = []
-        _visit(json.loads(text), lambda s: found.append(s) or s)
-        return found
+def json_strings(body: Column) -> Column:
+    """All string values of a compact JSON text, in order, keys left out."""
+    return let(
+        _literals(body),
+        lambda pieces: F.transform(
+            F.filter(pieces, lambda _, i: _is_value(pieces, i)), _decoded
+        ),
+    )
 
-    return body.map(strings)
 
+def map_json_strings(body: Column, fn: Callable[[Column], Column]) -> Column:
+    """The same JSON text with ``fn`` applied to every string value."""
 
-@F.pandas_udf(T.StringType())
-def json_with_strings(body: pd.Series, leaves: pd.Series) -> pd.Series:
-    def put(text, values):
-        if text is None:
-            return None
-        rest = iter(values)
-        return json.dumps(_visit(json.loads(text), lambda _: next(rest)), ensure_ascii=False)
+    def redo(literal: Column) -> Column:
+        return let(
+            _decoded(literal),
+            lambda s: let(fn(s), lambda out: F.when(out == s, literal).otherwise(_encoded(out))),
+        )
 
-    return pd.Series([put(t, v) for t, v in zip(body, leaves)], dtype=object)
+    return let(
+        _literals(body),
+        lambda pieces: F.array_join(
+            F.transform(
+                pieces, lambda p, i: F.when(_is_value(pieces, i), redo(p)).otherwise(p)
+            ),
+            "",
+        ),
+    )

@@ -18,7 +18,6 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from veildesk.functions.detectors import Detector, run_detector
 from veildesk.functions.patterns import detect_patterns, no_spans
@@ -35,12 +34,7 @@ from veildesk.functions.spans import (
     widen_spans,
 )
 from veildesk.functions.text import let, needs_scan
-from veildesk.functions.tree import (
-    json_strings,
-    json_with_strings,
-    map_strings,
-    string_leaves,
-)
+from veildesk.functions.tree import map_strings, string_leaves
 from veildesk.functions.urls import is_own_url, sanitize_url, url_parts
 from veildesk.plans.propagation import propagate, scope_values
 from veildesk.plans.vault import empty_vault, first_seen, number_values, pseudonym_key
@@ -152,27 +146,35 @@ def _rebuilt(
 ) -> dict[str, Column]:
     """The columns with each scanned text looked up among the record's cleaned texts."""
 
-    def lookup(text: Column) -> Column:
-        return let(
-            F.array_position(texts, text),
-            lambda at: F.when(at > 0, F.get(clean, (at - 1).cast("int"))).otherwise(text),
-        )
+    def rebuilt(name: str, known: Column) -> Column:
+        def lookup(text: Column) -> Column:
+            return let(
+                F.array_position(known["texts"], text),
+                lambda at: F.when(at > 0, F.get(known["clean"], (at - 1).cast("int"))).otherwise(
+                    text
+                ),
+            )
+
+        def leaf(s: Column) -> Column:
+            if policy.site is None:
+                return lookup(s)
+            site = _site(policy)
+            return F.when(
+                is_own_url(s, site),
+                sanitize_url(s, site, lookup, policy.scan_fragment, policy.keep_repeated),
+            ).otherwise(lookup(s))
 
-    def leaf(s: Column) -> Column:
-        if policy.site is None:
-            return lookup(s)
-        site = _site(policy)
         return F.when(
-            is_own_url(s, site),
-            sanitize_url(s, site, lookup, policy.scan_fragment, policy.keep_repeated),
-        ).otherwise(lookup(s))
+            F.size(known["texts"]) > 0, map_strings(F.col(name), df.schema[name].dataType, leaf)
+        ).otherwise(F.col(name))
 
-    return {
-        c: F.when(F.size(texts) > 0, map_strings(F.col(c), df.schema[c].dataType, leaf)).otherwise(
-            F.col(c)
-        )
-        for c in columns
-    }
+    # Bound once per record: a leaf inside an array must not clean the record again.
+    known = F.struct(texts.alias("texts"), clean.alias("clean"))
+
+    def bound(name: str) -> Column:
+        return let(known, lambda k: rebuilt(name, k))
+
+    return {c: bound(c) for c in columns}
 
 
 # ------------------------------------------------------------------ the tables
@@ -306,8 +308,6 @@ def sanitize(
     With numbered placeholders the returned vault holds ``vault`` plus the new values.
     """
     vault = empty_vault(df.sparkSession) if vault is None else vault
-    if any(isinstance(df.schema[c].dataType, T.VariantType) for c in columns):
-        return _sanitize_variants(df, keys, columns, policy, vault)
     if policy.narrow and not policy.pseudonyms:
         return Sanitized(_sanitize_narrow(df, columns, policy), vault)
 
@@ -318,21 +318,6 @@ def sanitize(
     return Sanitized(put_back(df, keys, columns, policy, merged, vault), vault)
 
 
-def _sanitize_variants(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy, vault: DataFrame
-) -> Sanitized:
-    """Variant columns are redacted as the array of their strings, then put together again."""
-    shadows = {
-        c: f"_strings_{c}" for c in columns if isinstance(df.schema[c].dataType, T.VariantType)
-    }
-    taken = df.withColumns({s: json_strings(F.to_json(c)) for c, s in shadows.items()})
-    done = sanitize(taken, keys, [shadows.get(c, c) for c in columns], policy, vault)
-    frame = done.frame.withColumns(
-        {c: F.parse_json(json_with_strings(F.to_json(c), s)) for c, s in shadows.items()}
-    ).select(*df.columns)
-    return Sanitized(frame, done.vault)
-
-
 def put_back(
     df: DataFrame,
     keys: Sequence[str],
