@@ -21,9 +21,9 @@ from veildesk.plans.redaction import (
     occurrences,
     redaction_report as report,
     restore_urls,
-    sanitize,
     sanitize_df as sanitize_table,
     sanitize_errors as sanitize_error_table,
+    sanitize_urls,
     url_originals as original_urls,
 )
 from veildesk.plans.vault import (
@@ -765,12 +765,16 @@ def _own_urls(spark, sf_dir):
 def _clean_urls(spark, sf_dir):
     rows = _own_urls(spark, sf_dir)
     policy = Policy(pseudonyms=False, site=F.col("site"))
-    return rows, sanitize_table(rows, ["page_id"], ["own", "url"], policy)
+    return sanitize_urls(rows, ["page_id"], "own", policy)
 
 
 @check("sanitize_url", f"select page_id, url, {_OWN_CLEAN} as own from {_OWN}")
 def sanitize_url(spark, sf_dir):
-    return _clean_urls(spark, sf_dir)[1].select("page_id", "url", "own")
+    policy = Policy(pseudonyms=False, site=F.col("site"))
+    rows = _own_urls(spark, sf_dir)
+    return sanitize_table(rows, ["page_id"], ["own", "url"], policy).select(
+        "page_id", "url", "own"
+    )
 
 
 @check(
@@ -781,8 +785,7 @@ def sanitize_url(spark, sf_dir):
     where own <> sanitized group by sanitized""",
 )
 def url_originals(spark, sf_dir):
-    before, after = _clean_urls(spark, sf_dir)
-    return original_urls(before, after, ["page_id"], "own")
+    return original_urls(_clean_urls(spark, sf_dir), ["page_id"], "own")
 
 
 @check(
@@ -794,9 +797,9 @@ def url_originals(spark, sf_dir):
     from c""",
 )
 def restore_url(spark, sf_dir):
-    before, after = _clean_urls(spark, sf_dir)
-    known = original_urls(before, after, ["page_id"], "own")
-    return restore_urls(after, known, "own").select("page_id", "own")
+    clean = _clean_urls(spark, sf_dir)
+    known = original_urls(clean, ["page_id"], "own")
+    return restore_urls(clean.drop("original"), known, "own").select("page_id", "own")
 
 
 # ------------------------------------------------------------------ the whole plan

@@ -121,8 +121,9 @@ def _model(detector: Detector) -> object:
 def run_detector(texts: DataFrame, detector: Detector) -> DataFrame:
     """Add ``spans`` to ``texts`` (columns ``digest, text``).
 
-    Each partition is sorted by length, so that batches need little padding. A detector
-    that fails, or leaves a text without an answer, fails the job: no text is ever passed
+    Inference is slow per row, so rows are dealt to a fixed number of partitions: adaptive
+    execution would merge them by their (small) size in bytes. Each partition is sorted by
+    length, so that batches need little padding. A detector that fails, or leaves a text without an answer, fails the job: no text is ever passed
     on unscanned.
     """
 
@@ -138,6 +139,10 @@ def run_detector(texts: DataFrame, detector: Detector) -> DataFrame:
             ]
             yield batch
 
-    return texts.select("digest", "text").sortWithinPartitions(F.length("text")).mapInPandas(
-        work, f"digest string, text string, spans {SPANS}"
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        texts.select("digest", "text")
+        .repartition(partitions, "digest")
+        .sortWithinPartitions(F.length("text"))
+        .mapInPandas(work, f"digest string, text string, spans {SPANS}")
     )

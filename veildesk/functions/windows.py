@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
@@ -11,10 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Tokens per window without the two boundary tokens, sentence ends, spaces.
+# An underscore separates words like a space does.
 WINDOW_TOKENS = 254
 SENTENCE_END = ".!?:;"
-_WORD = re.compile(
-    "[^\t\n\x0b\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]+"
+_SPACES = (
+    "_\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 
 Tokenizer = Callable[[str], list[int]]  # a word -> the lengths of its pieces
@@ -24,24 +25,36 @@ def one_token(word: str) -> list[int]:
     return [len(word)]
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def _is_one_of(codes: np.ndarray, chars: str) -> np.ndarray:
+    return np.isin(codes, _codes(chars), kind="sort")
+
+
 def token_table(text: str, pieces: Tokenizer = one_token) -> np.ndarray:
-    """Rows (start, end, word number) of every token; "_" separates words."""
-    rows = []
-    for number, match in enumerate(_WORD.finditer(text.replace("_", " "))):
-        at = match.start()
-        for length in pieces(match.group()):
-            rows.append((at, at + length, number))
-            at += length
-    return np.array(rows, dtype=np.int64).reshape(-1, 3)
+    """Rows (start, end, word number) of every token."""
+    space = np.concatenate(([True], _is_one_of(_codes(text), _SPACES), [True]))
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    words = np.arange(len(starts))
+    if pieces is not one_token:
+        lengths = [pieces(text[s:e]) for s, e in zip(starts, ends)]
+        words = np.repeat(words, [len(n) for n in lengths])
+        bounds = [s + np.cumsum([0, *n]) for s, n in zip(starts, lengths)]
+        starts = np.concatenate([b[:-1] for b in bounds]) if bounds else starts
+        ends = np.concatenate([b[1:] for b in bounds]) if bounds else ends
+    return np.stack((starts, ends, words), axis=1).astype(np.int64)
 
 
 def window_bounds(tokens: np.ndarray, text: str, size: int = WINDOW_TOKENS) -> list[tuple[int, int]]:
     """Token ranges: after a sentence end in the second half, else at a word, else full."""
     n = len(tokens)
-    at_word = np.append(False, tokens[1:, 2] != tokens[:-1, 2])
-    stop = np.isin(tokens[:-1, 1] - 1, [i for i, ch in enumerate(text) if ch in SENTENCE_END])
-    after_stop = np.append(False, stop)
-    words, stops = np.flatnonzero(at_word), np.flatnonzero(at_word & after_stop)
+    # Token i can open a window if token i - 1 ends a word; better if it ends a sentence.
+    words = np.flatnonzero(tokens[1:, 2] != tokens[:-1, 2]) + 1
+    last_chars = _codes(text)[tokens[words - 1, 1] - 1]
+    stops = words[_is_one_of(last_chars, SENTENCE_END)]
     bounds, low = [], 0
     while low < n:
         high = min(low + size, n)

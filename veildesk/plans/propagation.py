@@ -57,6 +57,10 @@ def propagate(
     )
     few = sized.where(F.col("n_values") <= pattern_values)
     many = sized.where(F.col("n_values") > pattern_values)
+    if many.isEmpty():
+        return match_by_pattern(cells, few)
+    if few.isEmpty():
+        return match_by_words(cells, many)
     return match_by_pattern(cells, few).unionByName(match_by_words(cells, many))
 
 
@@ -92,18 +96,17 @@ def match_by_words(cells: DataFrame, values: DataFrame) -> DataFrame:
         .groupBy(*_CELL)
         .agg(F.collect_list(F.struct("at", "lead", "tail", "n_words")).alias("starts"))
     )
-    candidates = (
-        searched.join(starts, list(_CELL))
-        .select("scope", *_CELL, F.explode(_candidates()).alias("c"))
-        .select("scope", *_CELL, "c.*")
-    )
+    begun = staged(searched.join(starts, list(_CELL)), "candidate-texts")
     found = (
-        candidates.join(shaped.select("scope", "value", "type"), ["scope", "value"])
+        begun.select("scope", *_CELL, F.explode(_candidates()).alias("c"))
+        .select("scope", *_CELL, "c.*")
+        .join(shaped.select("scope", "value", "type"), ["scope", "value"])
         .groupBy(*_CELL)
         .agg(F.collect_list(F.struct("start", "end", "type")).alias("found"))
     )
     return (
-        cells.join(found, list(_CELL))
+        begun.select(*_CELL, "text")
+        .join(found, list(_CELL))
         .select(*_CELL, "text", leftmost_longest(F.col("found")).alias("spans"))
         .where(F.size("spans") > 0)
     )

@@ -368,15 +368,24 @@ def sanitize_df(
     return sanitize(df, keys, columns, policy, vault).frame
 
 
-def url_originals(before: DataFrame, after: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """(sanitised, original) of each own-site URL that changed; the last one seen wins."""
-    pairs = before.select(*keys, F.col(column).alias("original")).join(
-        after.select(*keys, F.col(column).alias("sanitized")), list(keys)
-    )
+def sanitize_urls(
+    df: DataFrame, keys: Sequence[str], column: str, policy: Policy, original: str = "original"
+) -> DataFrame:
+    """``df`` with ``column`` redacted and its unredacted form kept next to it.
+
+    Only for the table of originals: nothing that leaves the job may carry ``original``.
+    """
+    return sanitize_df(df.withColumn(original, F.col(column)), keys, [column], policy)
+
+
+def url_originals(
+    sanitized: DataFrame, keys: Sequence[str], column: str, original: str = "original"
+) -> DataFrame:
+    """(sanitised, original) of each URL that changed; the last one in key order wins."""
     return (
-        pairs.where(F.col("original") != F.col("sanitized"))
-        .groupBy("sanitized")
-        .agg(F.max_by("original", F.struct(*keys)).alias("original"))
+        sanitized.where(F.col(column) != F.col(original))
+        .groupBy(F.col(column).alias("sanitized"))
+        .agg(F.max_by(original, F.struct(*keys)).alias("original"))
     )
 
 

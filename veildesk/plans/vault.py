@@ -54,7 +54,10 @@ def number_values(seen: DataFrame, vault: DataFrame) -> DataFrame:
     of the earlier partitions, is its number. The count table has at most one row per
     partition plus one per type, whatever the size of the data, so it is broadcast.
     """
-    fresh = seen.join(vault.select("key"), "key", "left_anti")
+    # The few new keys meet the large vault as the right side of a semi join, which Spark
+    # can broadcast; the vault is then read but not shuffled.
+    known = vault.select("key").join(seen.select("key"), "key", "left_semi")
+    fresh = seen.join(known, "key", "left_anti")
     ranked = staged(
         fresh.repartitionByRange("type", "seen")
         .sortWithinPartitions("type", "seen")

@@ -44,9 +44,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use the whole cluster for CPU-heavy work on a table of fewer files than cores.
+    """Use the whole cluster for CPU-heavy work on a scan of fewer splits than cores.
 
-    Large tables have more partitions than cores and are returned unchanged, unshuffled.
+    Large tables have more splits than cores and are returned unchanged, unshuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
