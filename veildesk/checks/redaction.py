@@ -265,8 +265,8 @@ _SPACE = "\\t\\n\\x0B\\f\\r \\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{20
                     else coalesce(list_max(list_filter(range(c.high + 128, c.high + 255),
                              lambda j: w.stops[j])), c.high + 254) end
         from cuts c join words w on w.doc_id = c.doc_id where c.high < len(w.ends))
-    select c.doc_id, c.win - 1 as win, cast(w.starts[c.low + 1] as bigint) as first_char,
-           cast(w.ends[c.high] as bigint) as last_char, c.high - c.low as n_tokens
+    select c.doc_id, cast(c.win - 1 as bigint) as win, cast(w.starts[c.low + 1] as bigint) as first_char,
+           cast(w.ends[c.high] as bigint) as last_char, cast(c.high - c.low as bigint) as n_tokens
     from cuts c join words w on w.doc_id = c.doc_id where c.win > 0""",
 )
 def chunk_windows(spark, sf_dir):
