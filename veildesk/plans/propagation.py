@@ -20,7 +20,7 @@ from veildesk.functions.patterns import match_pieces
 from veildesk.functions.spans import cut, first_types, known_values, match_known
 from veildesk.functions.text import WORD, let
 from veildesk.schemas import SPANS
-from veildesk.staging import staged
+from veildesk.staging import staged, with_found
 
 PATTERN_VALUES = 64
 
@@ -68,10 +68,8 @@ def match_by_pattern(cells: DataFrame, values: DataFrame) -> DataFrame:
     known = values.groupBy("scope").agg(
         F.array_sort(F.collect_list(F.struct("value", "type"))).alias("known")
     )
-    found = cells.join(known, "scope").withColumn(
-        "spans", match_known(F.col("text"), first_types(F.col("known")))
-    )
-    return found.where(F.size("spans") > 0).select(*_CELL, "text", "spans")
+    spans = match_known(F.col("text"), first_types(F.col("known")))
+    return with_found(cells.join(known, "scope"), "spans", spans).select(*_CELL, "text", "spans")
 
 
 def match_by_words(cells: DataFrame, values: DataFrame) -> DataFrame:
@@ -108,7 +106,6 @@ def match_by_words(cells: DataFrame, values: DataFrame) -> DataFrame:
         begun.select(*_CELL, "text")
         .join(found, list(_CELL))
         .select(*_CELL, "text", leftmost_longest(F.col("found")).alias("spans"))
-        .where(F.size("spans") > 0)
     )
 
 

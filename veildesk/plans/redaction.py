@@ -38,7 +38,7 @@ from veildesk.functions.tree import map_strings, string_leaves
 from veildesk.functions.urls import is_own_url, sanitize_url, url_parts
 from veildesk.plans.propagation import propagate, scope_values
 from veildesk.plans.vault import empty_vault, first_seen, number_values, pseudonym_key
-from veildesk.staging import staged
+from veildesk.staging import staged, with_found
 
 
 @dataclass(frozen=True)
@@ -201,14 +201,11 @@ def _hits(cells: DataFrame, policy: Policy) -> DataFrame:
     """Cells with a detection: ``record, scope, cell, text, spans``."""
     text = F.col("text")
     if policy.detector is None:
-        return cells.withColumn("spans", detected(text, policy)).where(F.size("spans") > 0)
-    found = (
-        run_detector(distinct_texts(cells), policy.detector)
-        .withColumnRenamed("spans", "model")
-        .withColumn("spans", detected(text, policy, F.col("model")))
-        .where(F.size("spans") > 0)
-        .select("digest", "text", "spans")
+        return with_found(cells, "spans", detected(text, policy))
+    scored = run_detector(distinct_texts(cells), policy.detector).withColumnRenamed(
+        "spans", "model"
     )
+    found = with_found(scored, "spans", detected(text, policy, F.col("model"))).drop("model")
     places = cells.select("record", "scope", "cell", F.sha2("text", 256).alias("digest"))
     return places.join(found, "digest").select("record", "scope", "cell", "text", "spans")
 
@@ -244,13 +241,13 @@ def _merged_per_record(
     texts = df.select(
         F.struct(*keys).alias("record"), record_texts(df, columns, policy).alias("_texts")
     )
-    return (
-        texts.withColumn("merged", merged_in_record("_texts", policy))
-        .where(F.exists("merged", lambda m: F.size(m) > 0))
-        .select("record", F.posexplode(F.arrays_zip("_texts", "merged")).alias("cell", "x"))
-        .select("record", "cell", F.col("x._texts").alias("text"), F.col("x.merged").alias("merged"))
-        .where(F.size("merged") > 0)
+    cells = F.transform(
+        merged_in_record("_texts", policy),
+        lambda m, i: F.struct(
+            i.alias("cell"), F.get("_texts", i).alias("text"), m.alias("merged")
+        ),
     )
+    return texts.select("record", F.inline(F.filter(cells, lambda c: F.size(c["merged"]) > 0)))
 
 
 def merged_cells(

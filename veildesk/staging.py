@@ -52,6 +52,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def with_found(df: DataFrame, name: str, found: Column) -> DataFrame:
+    """Add the array ``found`` and keep the rows where it is not empty.
+
+    A filter on a computed column is pushed below the column and computes it a second
+    time; a generator computes it once.
+    """
+    return df.select(
+        "*", F.explode(F.filter(F.array(found), lambda f: F.size(f) > 0)).alias(name)
+    )
+
+
 def left_lookup(
     left: DataFrame,
     right: DataFrame,
