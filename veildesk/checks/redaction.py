@@ -708,18 +708,19 @@ QUERIES["propagate"] = propagate_
 @check(
     "walk_strings",
     """
-    select conv_id, count(*) as n_turns, string_agg(
-               turn || ':' || md5(role) || ':' || md5(text), ' ' order by turn) as turns,
+    select conv_id, cast(floor(turn / 1000) as bigint) as part, count(*) as n_turns,
+           string_agg(turn || ':' || md5(role) || ':' || md5(text), ' ' order by turn) as turns,
            md5(cast(conv_id as varchar)) as label, conv_id * 2 as number
-    from conversations group by conv_id""",
+    from conversations group by conv_id, part""",
 )
 def walk_strings(spark, sf_dir):
     nested = (
         table(spark, sf_dir, "conversations")
-        .groupBy("conv_id")
+        .groupBy("conv_id", F.floor(F.col("turn") / 1000).alias("part"))
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
         .select(
             "conv_id",
+            "part",
             F.struct(
                 F.struct((F.col("conv_id") * 2).alias("number")).alias("inner"),
                 F.create_map(F.lit("label"), F.col("conv_id").cast("string")).alias("labels"),
@@ -736,6 +737,7 @@ def walk_strings(spark, sf_dir):
     )
     return walked.select(
         "conv_id",
+        "part",
         F.size("tree.turns").cast("bigint").alias("n_turns"),
         F.array_join(line, " ").alias("turns"),
         F.col("tree.labels")["label"].alias("label"),

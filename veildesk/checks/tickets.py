@@ -756,13 +756,13 @@ def update_tickets(spark, sf_dir):
 _ACTIONS = """
     (select p_partkey as macro_id, 'status' as field,
             case when p_size > 25 then 'solved' else 'hold' end as value
-     from {part} where p_partkey % 2 = 0
+     from {part} where p_size > 10
      union all select p_partkey, 'priority', case when p_size > 40 then 'high' else 'low' end
-     from {part} where p_partkey % 3 = 0
+     from {part} where p_type <> 'ECONOMY'
      union all select p_partkey, 'tags', concat(p_brand, ',', lower(p_type)) from {part}
-     where p_partkey % 5 < 2
+     where p_brand < 'Brand#2'
      union all select p_partkey, 'requester_id', '1' from {part}
-     union all select p_partkey, 'custom_fields_11', p_brand from {part} where p_partkey % 4 = 0)"""
+     union all select p_partkey, 'custom_fields_11', p_brand from {part} where p_size < 30)"""
 _APPLIED = """
     (select l_orderkey as ticket_id, cast(l_linenumber as bigint) as seq,
             min(l_partkey) as macro_id

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veildesk.functions.text import probability
 from veildesk.functions.windows import WINDOW_TOKENS, one_token, token_table, window_bounds
 from veildesk.schemas import SPANS
 
@@ -100,8 +101,9 @@ class TokenScoreDetector:
         odds = np.exp(scores - scores.max(axis=1, keepdims=True))
         pii = 1 - odds[:, self.outside] / odds.sum(axis=1)
         scores[:, self.outside] = -np.inf
+        threshold = probability(self.threshold)
         return [
-            re.sub(r"\A[BIES]-", "", self.labels[best]) if p >= self.threshold else "O"
+            re.sub(r"\A[BIES]-", "", self.labels[best]) if p >= threshold else "O"
             for p, best in zip(pii, scores.argmax(axis=1))
         ]
 

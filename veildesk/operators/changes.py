@@ -168,6 +168,8 @@ def macro_patches(actions: DataFrame, applications: DataFrame) -> DataFrame:
     field as ``custom_fields_<id>``); ``applications`` has ``ticket_id, macro_id, seq``.
     Only the columns a macro may change are taken over.
     """
+    # One value per macro and field, so that a macro's group is as small as its field list.
+    actions = actions.groupBy("macro_id", "field").agg(F.max("value").alias("value"))
     custom_id = F.regexp_extract("field", "\\Acustom_fields_([0-9]+)\\z", 1)
     values = {}
     for name in MACRO_COLUMNS:

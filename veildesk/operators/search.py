@@ -41,7 +41,8 @@ def search(
 
 def _hits(kind: str, source: Source, base_url: str) -> DataFrame:
     rows = source.rows.where(source.predicate)
-    key = F.expr("try_cast(id as bigint)")
+    numeric = dict(rows.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint", "double", "float")
+    key = (F.col("id") if numeric else F.lit(None)).cast("bigint")
     if kind == "ticket":
         url = F.when(key.isNotNull(), ticket_link(base_url, key))
     elif "url" in rows.columns:

@@ -17,7 +17,7 @@ def staging_root(spark: SparkSession) -> str:
     Only a local master, where driver and tasks are one machine, may fall back to a
     temporary folder; on a cluster a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
