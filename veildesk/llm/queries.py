@@ -5,13 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from veildesk.llm import byte_bpe, decontamination, license_templates, simhash_vptree
+from veildesk.llm import (
+    byte_bpe,
+    decontamination,
+    language_id,
+    license_templates,
+    quality_hosts,
+    secret_tests,
+    simhash_vptree,
+    weak_quality,
+)
 from veildesk.llm.common import table
 
 #: Path and pattern are parameters of the operators; these are the production values.
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.score_quality(table(spark, sf_dir, "documents"))
+
+
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan(table(spark, sf_dir, "documents"))
 
@@ -21,6 +38,10 @@ def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents, BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_tests.scan(table(spark, sf_dir, "documents"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vptree.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,10 +52,19 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_hosts.judge(table(spark, sf_dir, "documents"))
+    return judged.drop("n_lines", "host", "host_rate")
+
+
 QUERIES = {
+    "op1_language_id": language_identification,
+    "op2_quality_classifier": quality_classifier,
     "op3_license_scans": license_scans,
     "op5_byte_bpe": byte_bpe_round_trip,
+    "op6_secret_scans": secret_scans,
     "op7_simhash_near_dedup": simhash_near_dedup,
     "op9_benchmark_decontamination": benchmark_decontamination,
+    "op10_quality_rules": quality_rules,
 }
 ORACLES: dict[str, str] = {}
