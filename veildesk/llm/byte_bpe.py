@@ -14,14 +14,13 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from veildesk.llm.common import id_field, map_rows
+from veildesk.llm.common import id_field, map_rows, once_per_worker
 
 #: Distinct pre-tokens whose ids a worker remembers; when full it starts anew.
 REMEMBERED = 400_000
@@ -162,9 +161,8 @@ class _Memo(dict):
         return value
 
 
-@lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+    return once_per_worker(("byte-bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode(

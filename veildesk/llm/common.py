@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -73,6 +75,18 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+def once_per_worker(key: tuple, make: Callable[[], object]):
+    """``make()``, kept for later tasks of this worker process.
+
+    Tasks get this package by value, so what a module of it remembers lasts for one task only;
+    a module of the worker's own outlives them. ``key`` must name all that ``make`` depends on.
+    """
+    kept = vars(sys.modules.setdefault("_veildesk_worker", types.ModuleType("_veildesk_worker")))
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def id_field(df: DataFrame, name: str) -> T.StructField:
     """The id column's own type under its own name, nulls allowed."""
     return T.StructField(name, df.schema[name].dataType, True)

@@ -13,12 +13,16 @@ from veildesk.llm import (
     quality_hosts,
     secret_tests,
     simhash_vptree,
+    token_planes,
+    warc_archive,
     weak_quality,
 )
 from veildesk.llm.common import table
 
 #: Path and pattern are parameters of the operators; these are the production values.
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
 
 
 def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +37,10 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan(table(spark, sf_dir, "documents"))
 
 
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archive.archive_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(documents, BYTE_BPE, public_tokenizers.PATTERN)
@@ -46,6 +54,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vptree.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return token_planes.token_files(documents, TOKENIZER, public_tokenizers.PATTERN, END_ID)
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -61,9 +74,11 @@ QUERIES = {
     "op1_language_id": language_identification,
     "op2_quality_classifier": quality_classifier,
     "op3_license_scans": license_scans,
+    "op4_warc": warc,
     "op5_byte_bpe": byte_bpe_round_trip,
     "op6_secret_scans": secret_scans,
     "op7_simhash_near_dedup": simhash_near_dedup,
+    "op8_token_id_output": token_id_output,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_quality_rules": quality_rules,
 }
