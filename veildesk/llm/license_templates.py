@@ -222,19 +222,6 @@ class TemplateAutomaton:
                     yield number, start, i
 
 
-def mandatory_words(template: Template) -> int:
-    """Words that every accepted text has."""
-    depth, count = 0, 0
-    for mark in _MARK.finditer(template.wording):
-        if mark[0] == "<<beginOptional>>":
-            depth += 1
-        elif mark[0] == "<<endOptional>>":
-            depth -= 1
-        elif mark[3] is not None and depth == 0:
-            count += len(ascii_words(mark[3]))
-    return count
-
-
 def scan(
     docs: DataFrame,
     templates: Sequence[Template] = BASE + NOTICES,
@@ -246,9 +233,8 @@ def scan(
     ``n_words``; ``n_base``: places of base phrases; ``first_word, last_word``: smallest and
     largest start of such a place, null without one; ``base_labels`` and ``labels``: distinct
     labels of accepted base templates and of all templates, sorted and comma-joined, empty
-    without one; ``score``: for the best accepted stretch, the share of its words that are
-    mandatory wording, 0 without one; ``spans``: ``label:start:end`` of all accepted stretches,
-    in text order. Rows are kept as they come, with repeated and null ids.
+    without one; ``score``: 1 if a notice's template is accepted, 0.5 if only a base phrase is,
+    else 0; ``spans``: ``label:start:end`` of all accepted stretches, in text order. Rows are kept as they come, with repeated and null ids.
     """
     schema = T.StructType(
         [
@@ -267,7 +253,6 @@ def scan(
 
     def rows(ids: list, texts: list) -> Iterator[tuple]:
         automaton = TemplateAutomaton(templates)
-        needed = [mandatory_words(t) for t in templates]
         for key, text in zip(ids, texts, strict=True):
             words = ascii_words(text)
             places = sorted(automaton.places(words), key=lambda p: (p[1], p[2], p[0]))
@@ -280,7 +265,7 @@ def scan(
                 max(base, default=None),
                 ",".join(sorted({templates[k].label for k, _, _ in places if templates[k].base})),
                 ",".join(sorted({templates[k].label for k, _, _ in places})),
-                max((needed[k] / (end - start) for k, start, end in places), default=0.0),
+                max((0.5 if templates[k].base else 1.0 for k, _, _ in places), default=0.0),
                 ",".join(f"{templates[k].label}:{start}:{end}" for k, start, end in places),
             )
 

@@ -13,6 +13,7 @@ from veildesk.llm import (
     quality_hosts,
     secret_tests,
     simhash_vptree,
+    sql,
     token_planes,
     warc_archive,
     weak_quality,
@@ -34,7 +35,7 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_templates.scan(table(spark, sf_dir, "documents"))
+    return license_templates.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
 def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,4 +83,9 @@ QUERIES = {
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_quality_rules": quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_license_scans": sql.LICENSE_SCANS,
+    "op4_warc": sql.WARC,
+    "op9_benchmark_decontamination": sql.DECONTAMINATION,
+    "op10_quality_rules": sql.QUALITY_RULES,
+}
