@@ -100,22 +100,30 @@ def test_comment_body_and_visibility(spark):
     assert sorted((r.body, r.public) for r in rows) == [("", True), ("", True), ("plain", False)]
 
 
-def test_long_conversations_come_in_parts(spark):
+def test_sparse_and_long_threads_stay_whole(spark):
     users = spark.createDataFrame([(1, "ann")], "id long, name string")
     comments = spark.range(25).select(
-        F.col("id"), F.lit(7).cast("bigint").alias("ticket_id"), F.col("id").alias("seq"),
+        F.col("id"), F.lit(7).cast("bigint").alias("ticket_id"), (F.col("id") * 100_000).alias("seq"),
         F.lit(1).cast("bigint").alias("author_id"), F.lit(None).cast("boolean").alias("public"),
         F.lit("t").alias("created_at"), F.lit("b").alias("body"), F.lit(None).cast("string").alias("plain_body"),
         F.lit(None).cast("string").alias("html_body"), F.array().cast(f"array<{ATTACHMENT}>").alias("attachments"),
     )
-    parts = tickets.conversations(comments, users, part_size=10).orderBy("part").collect()
-    assert [len(r.conversation) for r in parts] == [10, 10, 5]
-    assert [c.seq for r in parts for c in r.conversation] == list(range(25))
+    header = spark.createDataFrame([(7,), (8,)], "id long")
+    rows = {r.id: r for r in tickets.nested(tickets.Detail(header, tickets.thread(comments, users))).collect()}
+    assert [c.seq for c in rows[7].conversation] == [i * 100_000 for i in range(25)]
+    assert rows[8].conversation is None and rows[8].attachments == []
 
 
-def test_views_check_their_limit(spark):
-    with pytest.raises(ValueError):
-        views.view_tickets(spark.range(3), F.lit(True), 2001)
+def test_limits_only_on_request(spark):
+    rows = spark.range(3000)
+    assert views.view_tickets(rows, F.lit(True)).agg(F.count("*"), F.max("returned")).first()[:] == (3000, 3000)
+    assert [r[:] for r in views.view_tickets(rows, F.lit(True), 2).collect()] == [(0, 2), (1, 2)]
+    owned = rows.select("id", (F.col("id") % 3).alias("o"), (F.col("id") % 500).alias("created_at"))
+    every = activity.newest_tickets(owned.repartition(7), "o")
+    assert every.count() == 3000
+    first = every.where("rank <= 4").select("id", "o", "rank")
+    assert sorted(first.collect()) == sorted(activity.newest_tickets(owned, "o", 4).select("id", "o", "rank").collect())
+    assert {r.returned for r in every.collect()} == {1000}
 
 
 def test_one_user(spark):
@@ -147,7 +155,8 @@ def test_update_rules(spark):
             (1, 1, "", None, None, [], None, "hello", None),
             (2, 0, "bogus", "high", None, None, None, "lost", None),
             (2, 1, None, "urgent", None, None, None, "note", False),
-            (3, 0, "open", None, None, None, None, None, None),
+            (3, 0, "open", None, None, None, [(10, "q")], "to nobody", None),
+            (None, 0, "open", None, None, None, None, None, None),
         ],
         PATCHES,
     )
@@ -160,8 +169,16 @@ def test_update_rules(spark):
     fields = {(r.ticket_id, r.field_id): (r.value, r.pos) for r in done.custom_values.collect()}
     assert fields[1, 10] == ("x", 0) and fields[1, 11] == (None, 1) and fields[1, 12][0] == "z"
     assert {(r.body, r.is_public) for r in done.comments.collect()} == {("hello", True), ("note", False)}
-    assert [r.problem for r in done.rejected.collect()] == ["status: bogus"]
-    assert {r.id for r in done.touched.collect()} == {1, 2, 3}
+    assert sorted(r.problem for r in done.rejected.collect()) == ["status: bogus", "unknown ticket", "unknown ticket"]
+    assert {r.id for r in done.touched.collect()} == {1, 2}
+    assert {r.ticket_id for r in done.custom_values.collect()} == {1}
+    thread = spark.createDataFrame([(1, 5, "old")], "ticket_id long, seq long, body string")
+    done = changes.update_tickets(table, values, patches, thread)
+    assert sorted((r.ticket_id, r.seq, r.body) for r in done.thread.collect()) == [
+        (1, 5, "old"), (1, 7, "hello"), (2, 1, "note"),
+    ]
+    details = table.select("id")
+    assert changes.changed_details(details.union(spark.range(5, 6)), done.touched).count() == 2
 
 
 def test_macros_change_only_their_columns(spark):
@@ -169,18 +186,21 @@ def test_macros_change_only_their_columns(spark):
     values = spark.createDataFrame([], "ticket_id long, field_id long, pos long, value string")
     actions = spark.createDataFrame(
         [
-            (4, "status", "solved"), (4, "tags", "x, y"), (4, "requester_id", "77"),
-            (4, "custom_fields_3", "v"), (4, "comment", "bye"), (5, "tags", ""),
+            (4, 0, "status", "solved"), (4, 1, "tags", "x, y"), (4, 2, "requester_id", "77"),
+            (4, 3, "custom_fields_3", "v"), (4, 4, "comment", "bye"), (5, 0, "tags", ""),
+            (4, 5, "status", "hold"),
         ],
-        "macro_id long, field string, value string",
+        "macro_id long, pos long, field string, value string",
     )
     uses = spark.createDataFrame([(1, 4, 0), (9, 4, 0)], "ticket_id long, macro_id long, seq long")
     applied, done = changes.apply_macros(table, values, actions, uses)
     row = done.tickets.first()
-    assert (row.status, row.tags, row.priority) == ("solved", ["x", "y"], "low")
+    assert (row.status, row.tags, row.priority) == ("hold", ["x", "y"], "low")
     assert [r.ticket_id for r in applied.collect()] == [1]
     assert "requester" not in applied.first().applied
-    assert done.custom_values.count() == 2
+    assert [r.ticket_id for r in done.custom_values.collect()] == [1]
+    assert [r.body for r in done.comments.collect()] == ["bye"]
+    assert [r.problem for r in done.rejected.collect()] == ["unknown ticket"]
     cleared = uses.withColumn("macro_id", F.lit(5).cast("bigint"))
     _, done = changes.apply_macros(table, values, actions, cleared)
     assert done.tickets.first().tags == []

@@ -51,8 +51,8 @@ def _text(column: str):
 
 
 def ticket_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tickets as export pages of 100 with their requesters at the side. The links end at
-    four fifths of the pages, as in an export that was cut short."""
+    """Tickets as export pages of 100 with their requesters at the side; the last page has no
+    continuation."""
     rows = table(spark, sf_dir, "tickets").withColumn("page_no", F.floor(F.col("id") / 100))
     users = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("requester_id"), F.col("c_name").alias("name")
@@ -62,7 +62,7 @@ def ticket_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("requester_id").alias("id"),
         F.concat("name", F.lit(" p"), F.col("page_no").cast("string")).alias("name"),
     )
-    last = rows.agg(F.floor(F.max("page_no") * F.lit(4) / F.lit(5))).scalar()
+    last = rows.agg(F.max("page_no")).scalar()
     grouped = (
         rows.join(users, "requester_id", "left")
         .groupBy("page_no")
@@ -87,14 +87,11 @@ def _export(spark, sf_dir):
     return read_paged_export(pages, "tickets", TICKET_ITEM, {"users": "id bigint, name string"})
 
 
-_LAST_PAGE = "(select floor(max(floor(id / 100)) * 4 / 5) from {tickets})"
-
-
-@check(f"""
+@check("""
     select cast(floor(id / 100) as bigint) as page_no,
            row_number() over (partition by floor(id / 100) order by id) - 1 as pos,
            id, subject, status, requester_id, array_to_string(tags, ',') as tags
-    from {{tickets}} where floor(id / 100) <= {_LAST_PAGE}""")
+    from {tickets}""")
 def read_paged_export_(spark, sf_dir):
     items = _export(spark, sf_dir).items
     return items.select(
@@ -103,10 +100,10 @@ def read_paged_export_(spark, sf_dir):
     )
 
 
-@check(f"""
+@check("""
     select requester_id as id, concat(c_name, ' p', cast(max(floor(id / 100)) as bigint)) as name
-    from {{tickets}} join customer on requester_id = c_custkey
-    where floor(id / 100) <= {_LAST_PAGE} group by requester_id, c_name""")
+    from {tickets} join customer on requester_id = c_custkey
+    group by requester_id, c_name""")
 def sideload_index_(spark, sf_dir):
     return sideload_index(_export(spark, sf_dir).sideloads["users"], ["page_no", "pos"])
 
@@ -279,8 +276,7 @@ def ticket_fields(spark, sf_dir):
 
 
 @check("""
-    select id, title, true as active, description from {macros} where active
-    order by id limit 500""")
+    select id, title, true as active, description from {macros} where active""")
 def list_macros(spark, sf_dir):
     return directory.list_macros(table(spark, sf_dir, "macros"))
 
@@ -338,8 +334,8 @@ def list_views(spark, sf_dir):
 
 @check(f"""
     select t.id, subject, priority, r.name as requester, a.name as assignee,
-           least(200, count(*) over ()) as returned {_NAMED}
-    where status = 'open' and priority = 'urgent' order by t.id limit 200""")
+           count(*) over () as returned {_NAMED}
+    where status = 'open' and priority = 'urgent'""")
 def view_tickets(spark, sf_dir):
     urgent = (F.col("status") == "open") & (F.col("priority") == "urgent")
     return views.view_tickets(_ticket_rows(spark, sf_dir), urgent).select(
@@ -350,10 +346,9 @@ def view_tickets(spark, sf_dir):
 @check("""
     select id, name, email, role, organization_id, coalesce(active, false) as active, created_at
     from {users}
-    where lower(name) like '%002%' or lower(email) like '%002%' or phone like '%002%'
-    order by id limit 50""")
+    where lower(name) like '%002%' or lower(email) like '%002%' or phone like '%002%'""")
 def user_search(spark, sf_dir):
-    return directory.user_search(table(spark, sf_dir, "users"), "002", 50)
+    return directory.user_search(table(spark, sf_dir, "users"), "002")
 
 
 @check(r"""
@@ -490,7 +485,7 @@ def ticket_detail(spark, sf_dir):
         "custom_fields",
         lambda f: F.concat_ws("=", f["id"].cast("string"), f["title"], f["value"]),
     )
-    return details(spark, sf_dir).select(
+    return tickets.nested(details(spark, sf_dir)).select(
         "id", "url", "subject", "description", "status", _tags(), "requester", "assignee",
         "submitter", F.col("group").alias("group_name"), "organization",
         F.array_join(field, ";").alias("fields"), "product", _thread().alias("thread"),
@@ -504,6 +499,21 @@ def ticket_detail(spark, sf_dir):
     )
 
 
+@check("""
+    select ticket_id, seq, c.id, u.name as author, public is distinct from false as public,
+           case when body is not null then substr(body, 2, length(body) - 2)
+                else coalesce(plain_body, '') end as body,
+           coalesce(n_files, 0) as n_files
+    from {comments} c left join {users} u on u.id = author_id
+    left join (select ticket_id, seq, count(*) as n_files from {attachments} group by all) f
+    using (ticket_id, seq)""")
+def ticket_thread(spark, sf_dir):
+    return details(spark, sf_dir).thread.select(
+        "ticket_id", "seq", "id", "author", "public", "body",
+        F.size("attachments").cast("bigint").alias("n_files"),
+    )
+
+
 @check("""
     select a.id, ticket_id, author_id, u.name as author, event
     from {audits} a left join {users} u on u.id = author_id""")
@@ -541,19 +551,18 @@ def _newest_sql(owner: str) -> str:
         select id, {owner}, rank, count(*) over (partition by {owner}) as returned
         from (select id, {owner}, row_number() over (partition by {owner}
                   order by created_at desc, id) as rank
-              from {{tickets}} where {owner} is not null)
-        where rank <= 10"""
+              from {{tickets}} where {owner} is not null)"""
 
 
 @check(_newest_sql("requester_id"))
 def requester_tickets(spark, sf_dir):
-    rows = activity.requester_tickets(table(spark, sf_dir, "tickets"), 10)
+    rows = activity.requester_tickets(table(spark, sf_dir, "tickets"))
     return rows.select("id", "requester_id", F.col("rank").cast("bigint").alias("rank"), "returned")
 
 
 @check(_newest_sql("organization_id"))
 def organization_tickets(spark, sf_dir):
-    rows = activity.organization_tickets(table(spark, sf_dir, "tickets"), 10)
+    rows = activity.organization_tickets(table(spark, sf_dir, "tickets"))
     return rows.select(
         "id", "organization_id", F.col("rank").cast("bigint").alias("rank"), "returned"
     )
@@ -564,8 +573,7 @@ def organization_tickets(spark, sf_dir):
            case pos when 0 then event when 1 then props end as body
     from (select *, unnest(case when id % 11 = 0 then [null] else [0, 1] end) as pos
           from (select *, row_number() over (partition by ticket_id order by created_at, id)
-                    as rank from {audits})
-          where rank <= 20) a left join {users} u on u.id = author_id""")
+                    as rank from {audits})) a left join {users} u on u.id = author_id""")
 def audit_trail(spark, sf_dir):
     audits = table(spark, sf_dir, "audits").withColumn(
         "events",
@@ -577,7 +585,7 @@ def audit_trail(spark, sf_dir):
             ),
         ),
     )
-    return activity.audit_trail(audits, table(spark, sf_dir, "users"), 20).select(
+    return activity.audit_trail(audits, table(spark, sf_dir, "users")).select(
         "ticket_id", F.col("rank").cast("bigint").alias("rank"), "id", "author_id", "author",
         "pos", F.col("event")["body"].alias("body"),
     )
@@ -634,7 +642,6 @@ def search_(spark, sf_dir):
             "organization": search.Source(orgs, F.lit(True)),
         },
         BASE,
-        limit=None,
     )
     raw = F.coalesce(F.get_json_object("raw", "$.subject"), F.get_json_object("raw", "$.name"))
     return found.select("result_type", "id", "url", raw.alias("name"))
@@ -673,7 +680,9 @@ def add_comment(spark, sf_dir):
 
 
 _PATCHES = """
-    (select user_id as ticket_id, event_id as seq,
+    (select case when event_id % 10 = 9 then user_id + 100000000 else user_id end as ticket_id,
+            event_id as seq, case when event_id % 8 = 0 then concat(event_type, ' noted') end
+                as comment,
             case event_type when 'click' then 'open' when 'view' then '' when 'error' then 'bogus'
                  when 'signup' then 'closed' end as status,
             case event_id % 3 when 0 then 'urgent' when 1 then '' end as priority,
@@ -695,7 +704,9 @@ def _field_text(values: DataFrame) -> DataFrame:
 
 
 @check(f"""
-    with valid as (select * from {_PATCHES} where status is distinct from 'bogus'),
+    with given as (select *, ticket_id not in (select id from {{tickets}}) as unknown
+                   from {_PATCHES}),
+    valid as (select * from given where status is distinct from 'bogus' and not unknown),
     folded as (
         select ticket_id, arg_max(status, seq) filter (status <> '') as status,
                arg_max(priority, seq) filter (priority <> '') as priority,
@@ -716,16 +727,27 @@ def _field_text(values: DataFrame) -> DataFrame:
     fields as (
         select ticket_id, string_agg(field_id || '=' || coalesce(value, '~'), ';'
                                      order by pos, field_id) as fields
-        from merged group by ticket_id)
-    select t.id, coalesce(f.status, t.status) as status,
+        from merged group by ticket_id),
+    said as (
+        select ticket_id, seq, body, public is distinct from false as public from {{comments}}
+        union all
+        select ticket_id, coalesce((select max(turn) from conversations
+                                    where conv_id = ticket_id), -1) + 1 + seq, comment, true
+        from valid where comment is not null),
+    thread as (select ticket_id, count(*) as n_comments, count_if(public) as n_public,
+                      arg_max(body, seq) as last_comment, max(seq) as last_seq
+               from said group by ticket_id),
+    bad as (select ticket_id, count(*) as n_rejected, count_if(unknown) as n_unknown
+            from given where status = 'bogus' or unknown group by ticket_id)
+    select coalesce(t.id, r.ticket_id) as id, coalesce(f.status, t.status) as status,
            coalesce(f.priority, t.priority) as priority, coalesce(f.type, t.type) as type,
            coalesce(f.assignee_id, t.assignee_id) as assignee_id,
            coalesce(array_to_string(coalesce(f.tags, t.tags), ','), '') as tags, fields,
-           coalesce(n_rejected, 0) as n_rejected
+           coalesce(n_rejected, 0) as n_rejected, coalesce(n_unknown, 0) as n_unknown,
+           n_comments, n_public, last_comment, last_seq, f.ticket_id is not null as touched
     from {{tickets}} t left join folded f on f.ticket_id = t.id
-    left join fields on fields.ticket_id = t.id
-    left join (select ticket_id, count(*) as n_rejected from {_PATCHES}
-               where status = 'bogus' group by ticket_id) r on r.ticket_id = t.id""")
+    left join fields on fields.ticket_id = t.id left join thread on thread.ticket_id = t.id
+    full join bad r on r.ticket_id = t.id""")
 def update_tickets(spark, sf_dir):
     given = spark.sql(
         f"select * from {_PATCHES}", events=table(spark, sf_dir, "events")
@@ -738,64 +760,100 @@ def update_tickets(spark, sf_dir):
         ),
     ).drop("field_id", "field_value")
     done = changes.update_tickets(
-        table(spark, sf_dir, "tickets"), table(spark, sf_dir, "custom_values"), patches
+        table(spark, sf_dir, "tickets"),
+        table(spark, sf_dir, "custom_values"),
+        patches,
+        table(spark, sf_dir, "comments"),
     )
     rejected = done.rejected.groupBy("ticket_id").agg(F.count("*").alias("n_rejected"))
+    missing = done.rejected.join(
+        table(spark, sf_dir, "tickets").select(F.col("id").alias("ticket_id")), "ticket_id", "left_anti"
+    ).groupBy("ticket_id").agg(F.count("*").alias("n_unknown"))
+    said = F.coalesce("public", F.lit(True))
+    thread = done.thread.groupBy("ticket_id").agg(
+        F.count("*").alias("n_comments"),
+        F.count_if(said).alias("n_public"),
+        F.max_by("body", "seq").alias("last_comment"),
+        F.max("seq").alias("last_seq"),
+    )
+    touched = done.touched.select(F.col("id").alias("ticket_id"), F.lit(True).alias("touched"))
     return (
         done.tickets.withColumnRenamed("id", "ticket_id")
         .join(_field_text(done.custom_values), "ticket_id", "left")
-        .join(rejected, "ticket_id", "left")
+        .join(thread, "ticket_id", "left")
+        .join(touched, "ticket_id", "left")
+        .join(rejected.join(missing, "ticket_id", "left"), "ticket_id", "full")
         .select(
             F.col("ticket_id").alias("id"), "status", "priority", "type", "assignee_id",
             F.coalesce(F.array_join("tags", ","), F.lit("")).alias("tags"), "fields",
             F.coalesce("n_rejected", F.lit(0)).cast("bigint").alias("n_rejected"),
+            F.coalesce("n_unknown", F.lit(0)).cast("bigint").alias("n_unknown"),
+            "n_comments", "n_public", "last_comment", "last_seq",
+            F.coalesce("touched", F.lit(False)).alias("touched"),
         )
     )
 
 
 _ACTIONS = """
-    (select p_partkey as macro_id, 'status' as field,
-            case when p_size > 25 then 'solved' else 'hold' end as value
+    (select p_partkey as macro_id, 0 as pos, 'status' as field,
+            case when p_size > 25 then 'solved' else 'open' end as value
      from {part} where p_size > 10
-     union all select p_partkey, 'priority', case when p_size > 40 then 'high' else 'low' end
+     union all select p_partkey, 5, 'status', 'hold' from {part} where p_size % 4 = 0
+     union all select p_partkey, 6, 'comment', concat('macro ', p_name) from {part}
+     where p_size % 3 = 0
+     union all select p_partkey, 1, 'priority', case when p_size > 40 then 'high' else 'low' end
      from {part} where p_type <> 'ECONOMY'
-     union all select p_partkey, 'tags', concat(p_brand, ',', lower(p_type)) from {part}
+     union all select p_partkey, 2, 'tags', concat(p_brand, ',', lower(p_type)) from {part}
      where p_brand < 'Brand#2'
-     union all select p_partkey, 'requester_id', '1' from {part}
-     union all select p_partkey, 'custom_fields_11', p_brand from {part} where p_size < 30)"""
+     union all select p_partkey, 3, 'requester_id', '1' from {part}
+     union all select p_partkey, 4, 'custom_fields_11', p_brand from {part} where p_size < 30)"""
 _APPLIED = """
-    (select l_orderkey as ticket_id, cast(l_linenumber as bigint) as seq,
-            min(l_partkey) as macro_id
+    (select case when l_orderkey % 50 = 7 then l_orderkey + 100000000 else l_orderkey end
+                as ticket_id, cast(l_linenumber as bigint) as seq, min(l_partkey) as macro_id
      from {lineitem} group by l_orderkey, l_linenumber)"""
 
 
 @check(f"""
     with acts as (
-        select macro_id, max(value) filter (field = 'status') as status,
+        select macro_id, arg_max(value, pos) filter (field = 'status') as status,
                max(value) filter (field = 'priority') as priority,
                max(value) filter (field = 'tags') as tags,
-               max(value) filter (field = 'custom_fields_11') as f11
+               max(value) filter (field = 'custom_fields_11') as f11,
+               max(value) filter (field = 'comment') as said
         from {_ACTIONS} group by macro_id),
-    uses as (select u.*, a.status, a.priority, a.tags, a.f11
+    uses as (select u.*, a.status, a.priority, a.tags, a.f11, a.said
              from {_APPLIED} u join acts a on a.macro_id = u.macro_id),
     folded as (
         select ticket_id, arg_max(status, seq) filter (status is not null) as status,
                arg_max(priority, seq) filter (priority is not null) as priority,
                arg_max(tags, seq) filter (tags is not null) as tags,
-               arg_max(f11, seq) filter (f11 is not null) as f11
-        from uses group by ticket_id)
+               arg_max(f11, seq) filter (f11 is not null) as f11,
+               count(said) as n_said, arg_max(said, seq) filter (said is not null) as last_said
+        from uses group by ticket_id),
+    old as (select ticket_id, count(*) as n, arg_max(body, seq) as last_body
+            from {{comments}} group by ticket_id)
     select u.ticket_id, u.macro_id, u.seq, u.status as applied_status,
-           u.priority as applied_priority, u.f11 as applied_field,
+           u.priority as applied_priority, u.f11 as applied_field, t.id is null as rejected,
            coalesce(f.status, t.status) as status, coalesce(f.priority, t.priority) as priority,
            coalesce(f.tags, array_to_string(t.tags, ','), '') as tags,
-           coalesce(f.f11, v.value) as field_11, t.requester_id
+           coalesce(f.f11, v.value) as field_11, t.requester_id,
+           coalesce(old.n, 0) + n_said as n_comments,
+           coalesce(f.last_said, old.last_body) as last_comment
     from uses u join folded f on f.ticket_id = u.ticket_id join {{tickets}} t on t.id = u.ticket_id
-    left join {{custom_values}} v on v.ticket_id = t.id and v.field_id = 11""")
+    left join {{custom_values}} v on v.ticket_id = t.id and v.field_id = 11
+    left join old on old.ticket_id = t.id
+    union all
+    select u.ticket_id, null, u.seq, null, null, null, true, null, null, null, null, null, null, null
+    from uses u where u.ticket_id not in (select id from {{tickets}})""")
 def apply_macros(spark, sf_dir):
     actions = spark.sql(f"select * from {_ACTIONS}", part=table(spark, sf_dir, "part"))
     uses = spark.sql(f"select * from {_APPLIED}", lineitem=table(spark, sf_dir, "lineitem"))
     applied, done = changes.apply_macros(
-        table(spark, sf_dir, "tickets"), table(spark, sf_dir, "custom_values"), actions, uses
+        table(spark, sf_dir, "tickets"),
+        table(spark, sf_dir, "custom_values"),
+        actions,
+        uses,
+        table(spark, sf_dir, "comments"),
     )
     field = done.custom_values.where(F.col("field_id") == 11).select(
         "ticket_id", F.col("value").alias("field_11")
@@ -804,17 +862,25 @@ def apply_macros(spark, sf_dir):
         F.col("id").alias("ticket_id"), "status", "priority",
         F.coalesce(F.array_join("tags", ","), F.lit("")).alias("tags"), "requester_id",
     )
-    return (
+    thread = done.thread.groupBy("ticket_id").agg(
+        F.count("*").alias("n_comments"), F.max_by("body", "seq").alias("last_comment")
+    )
+    good = (
         applied.join(final, "ticket_id")
         .join(field, "ticket_id", "left")
+        .join(thread, "ticket_id", "left")
         .select(
             "ticket_id", "macro_id", "seq",
             F.get_json_object("applied", "$.status").alias("applied_status"),
             F.get_json_object("applied", "$.priority").alias("applied_priority"),
             F.get_json_object("applied", "$.custom_fields[0].value").alias("applied_field"),
-            "status", "priority", "tags", "field_11", "requester_id",
+            F.lit(False).alias("rejected"), "status", "priority", "tags", "field_11",
+            "requester_id", F.coalesce("n_comments", F.lit(0)).cast("bigint").alias("n_comments"),
+            "last_comment",
         )
     )
+    bad = done.rejected.select("ticket_id", "seq", F.lit(True).alias("rejected"))
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 # Names that clash with the operators they check.

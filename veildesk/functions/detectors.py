@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import sys
 import types
@@ -11,6 +12,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ Found = list[tuple[int, int, str]]
 
 
 class Detector(Protocol):
-    """What a detector offers. ``name`` identifies its configuration."""
+    """What a detector offers. ``name`` is for messages; ``detector_digest`` tells two apart."""
 
     name: str
 
@@ -56,10 +58,10 @@ class GazetteerDetector:
 class TokenScoreDetector:
     """Token classifier around any scoring callable (an ONNX session, for example).
 
-    ``open_model`` runs once per worker and returns ``score(texts, token_tables)``, which
-    yields one logits matrix (tokens x classes) per window. ``batch`` is 1 by default:
-    quantised weights scale activations over a batch, so a text's result would depend on
-    its neighbours, and with them on how the data happens to be partitioned.
+    A worker calls ``open_model`` once. What it returns is called with texts and their token
+    tables and gives, for each window, logits of shape tokens x classes. Windows are scored one
+    at a time unless ``batch`` says otherwise, so that results cannot depend on which windows a
+    partition happens to bring together.
     """
 
     open_model: Callable[[], Callable]
@@ -97,7 +99,7 @@ class TokenScoreDetector:
         return found
 
     def label(self, logits: np.ndarray) -> list[str]:
-        scores = np.asarray(logits, dtype=float)
+        scores = np.array(logits, dtype=float)  # a copy: the logits belong to the caller
         odds = np.exp(scores - scores.max(axis=1, keepdims=True))
         pii = 1 - odds[:, self.outside] / odds.sum(axis=1)
         scores[:, self.outside] = -np.inf
@@ -108,16 +110,21 @@ class TokenScoreDetector:
         ]
 
 
-def _model(detector: Detector) -> object:
-    """One model per Python worker; a failed load raises and is tried again by the retry.
+def detector_digest(detector: Detector) -> str:
+    """What a detector's answers depend on: its class, settings and functions, not its name."""
+    return hashlib.sha256(cloudpickle.dumps(detector)).hexdigest()
+
+
+def _model(detector: Detector, digest: str) -> object:
+    """One model per detector and Python worker; a failed load raises and the retry tries again.
 
     Functions reach a task by value, with fresh globals each time, so the loaded models
     hang on ``sys.modules``, which lives as long as the worker.
     """
     models = sys.modules.setdefault("_veildesk_models", types.ModuleType("_veildesk_models"))
-    if not hasattr(models, detector.name):
-        setattr(models, detector.name, detector.load())
-    return getattr(models, detector.name)
+    if not hasattr(models, digest):
+        setattr(models, digest, detector.load())
+    return getattr(models, digest)
 
 
 def run_detector(texts: DataFrame, detector: Detector) -> DataFrame:
@@ -125,15 +132,17 @@ def run_detector(texts: DataFrame, detector: Detector) -> DataFrame:
 
     Inference is slow per row, so rows are dealt to a fixed number of partitions: adaptive
     execution would merge them by their (small) size in bytes. Each partition is sorted by
-    length, so that batches need little padding. A detector that fails, or leaves a text without an answer, fails the job: no text is ever passed
-    on unscanned.
+    length, so that batches need little padding. A detector that fails, or leaves a text
+    without an answer, fails the job: no text is ever passed on unscanned.
     """
 
+    digest = detector_digest(detector)
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
-            found = detector.detect(_model(detector), batch["text"].tolist())
+            found = detector.detect(_model(detector, digest), batch["text"].tolist())
             if len(found) != len(batch) or any(f is None for f in found):
                 raise RuntimeError(f"detector {detector.name} returned no result for a text")
             batch["spans"] = [

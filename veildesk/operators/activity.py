@@ -6,31 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veildesk.staging import left_lookup
+from veildesk.staging import left_lookup, ranked
 
 CHUNKS = ("minute", "hour", "day", "month", "year")
 
 
-def newest_tickets(tickets: DataFrame, owner: str, limit: int = 100) -> DataFrame:
-    """Each owner's newest tickets with their rank and the number returned.
+def newest_tickets(tickets: DataFrame, owner: str, limit: int | None = None) -> DataFrame:
+    """Each owner's tickets, newest first, with their rank and the number returned.
 
-    The rank filter sits on the window, so Spark keeps at most ``limit`` rows per owner in
-    every task before the shuffle; an owner of a third of all tickets is no hot spot.
+    With a limit the rank filter sits on the window, so Spark keeps at most ``limit`` rows per
+    owner in every task before the shuffle. Without one the ranks come from a range partition.
+    Either way an owner of a third of all tickets is no hot spot.
     """
-    newest = W.partitionBy(owner).orderBy(F.col("created_at").desc(), F.col("id"))
-    top = (
-        tickets.where(F.col(owner).isNotNull())
-        .withColumn("rank", F.row_number().over(newest))
-        .where(F.col("rank") <= limit)
-    )
-    return top.withColumn("returned", F.count("*").over(W.partitionBy(owner)))
-
-
-def requester_tickets(tickets: DataFrame, limit: int = 100) -> DataFrame:
+    owned = tickets.where(F.col(owner).isNotNull())
+    order = [F.col("created_at").desc(), F.col("id")]
+    if limit is None:
+        top = ranked(owned, [owner], order, "rank")
+    else:
+        newest = W.partitionBy(owner).orderBy(*order)
+        top = owned.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= limit)
+    counts = owned.groupBy(owner).agg(F.count("*").alias("returned"))
+    if limit is not None:
+        counts = counts.withColumn("returned", F.least("returned", F.lit(limit).cast("bigint")))
+    return top.join(counts, owner).select(*tickets.columns, "rank", "returned")
+
+
+def requester_tickets(tickets: DataFrame, limit: int | None = None) -> DataFrame:
     return newest_tickets(tickets, "requester_id", limit)
 
 
-def organization_tickets(tickets: DataFrame, limit: int = 100) -> DataFrame:
+def organization_tickets(tickets: DataFrame, limit: int | None = None) -> DataFrame:
     return newest_tickets(tickets, "organization_id", limit)
 
 
@@ -38,10 +43,14 @@ def audit_authors(audits: DataFrame, users: DataFrame) -> DataFrame:
     return left_lookup(audits, users, "author_id", {"name": "author"})
 
 
-def audit_trail(audits: DataFrame, users: DataFrame, limit: int = 100) -> DataFrame:
-    """The first ``limit`` audits of each ticket in order, one row per event."""
-    order = W.partitionBy("ticket_id").orderBy("created_at", "id")
-    first = audits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+def audit_trail(audits: DataFrame, users: DataFrame, limit: int | None = None) -> DataFrame:
+    """The audits of each ticket in order (the first ``limit``), one row per event."""
+    order = ["created_at", "id"]
+    if limit is None:
+        first = ranked(audits, ["ticket_id"], [F.col(c) for c in order], "rank")
+    else:
+        place = F.row_number().over(W.partitionBy("ticket_id").orderBy(*order))
+        first = audits.withColumn("rank", place).where(F.col("rank") <= limit)
     return audit_authors(first, users).select(
         "ticket_id",
         "rank",

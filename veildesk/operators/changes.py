@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veildesk.schemas import MACRO_COLUMNS, TICKET_PRIORITIES, TICKET_STATUSES, TICKET_TYPES
+from veildesk.staging import staged
 
 # A field set for the first time comes after the ticket's existing fields.
 _NEW_FIELD = 1 << 32
@@ -28,17 +29,30 @@ _TYPES = {
     "custom_fields": "array<struct<id:bigint,value:string>>",
     "comment": "string",
 }
+# What else a patch may carry: who comments, and under which id and time.
+_PATCH = {
+    "seq": "bigint",
+    "comment_public": "boolean",
+    "comment_id": "bigint",
+    "author_id": "bigint",
+    "created_at": "timestamp",
+}
 
 
 @dataclass(frozen=True)
 class Changes:
-    """New table versions, comments to append, rejected patches, ids touched."""
+    """New table versions, rejected patches and the ids touched.
+
+    ``comments`` holds the comments that the patches append, in the columns ``add_comments``
+    takes; ``thread`` is the whole comment table with them, if one was given.
+    """
 
     tickets: DataFrame
     custom_values: DataFrame
     comments: DataFrame
     rejected: DataFrame
     touched: DataFrame
+    thread: DataFrame | None = None
 
 
 def add_comments(comments: DataFrame, new: DataFrame) -> DataFrame:
@@ -92,24 +106,50 @@ def _complete(patches: DataFrame) -> DataFrame:
         for name, kind in _TYPES.items()
         if name not in patches.columns
     }
-    for name, kind in (("comment_public", "boolean"), ("seq", "bigint")):
+    for name, kind in _PATCH.items():
         if name not in patches.columns:
             missing[name] = F.lit(None).cast(kind)
     return patches.withColumns(missing).withColumn("seq", F.coalesce("seq", F.lit(0)))
 
 
+def _checked(tickets: DataFrame, patches: DataFrame) -> DataFrame:
+    """Complete patches with their ``problem``, written once and dealt by ticket.
+
+    Everything an update makes starts from these rows, so they are neither derived nor
+    validated again, and the folds by ticket find a ticket's patches together.
+    """
+    known = tickets.select(F.col("id").alias("ticket_id"), F.lit(True).alias("_known"))
+    unknown = F.when(F.col("_known").isNull(), F.lit("unknown ticket"))
+    return staged(
+        _complete(patches)
+        .join(known, "ticket_id", "left")
+        .withColumn("problem", F.coalesce(_problem(), unknown))
+        .drop("_known"),
+        "patches",
+    )
+
+
 def update_tickets(
-    tickets: DataFrame, custom_values: DataFrame, patches: DataFrame
+    tickets: DataFrame,
+    custom_values: DataFrame,
+    patches: DataFrame,
+    thread: DataFrame | None = None,
 ) -> Changes:
     """Apply sparse patches (``ticket_id, seq`` and the columns to set).
 
     Absent (null) columns and empty texts are ignored, lists replace, an empty list
-    clears, custom fields are set one by one by id, a comment is appended, public by
-    default. Patches of one ticket apply in ``seq`` order: the last value given for a
-    column wins, so they are folded to one row per ticket before the join. A patch with a
-    bad enumeration value is rejected whole, and patches of unknown tickets change nothing.
+    clears, custom fields are set one by one by id, a comment is appended to ``thread``,
+    public by default. Patches of one ticket apply in ``seq`` order: the last value given for
+    a column wins, so they are folded to one row per ticket before the join. A patch with a
+    bad enumeration value is rejected whole, and so is one of an unknown ticket.
     """
-    checked = _complete(patches).withColumn("problem", _problem())
+    checked = _checked(tickets, patches)
+    return _apply(tickets, custom_values, checked, thread)
+
+
+def _apply(
+    tickets: DataFrame, custom_values: DataFrame, checked: DataFrame, thread: DataFrame | None
+) -> Changes:
     rejected = checked.where(F.col("problem").isNotNull()).select("ticket_id", "seq", "problem")
     valid = checked.where(F.col("problem").isNull())
 
@@ -126,17 +166,22 @@ def update_tickets(
     ).select(*tickets.columns)
 
     comments = valid.where(_present("comment")).select(
+        F.col("comment_id").alias("id"),
         "ticket_id",
-        "seq",
+        F.col("seq").alias("pos"),
+        "author_id",
         F.col("comment").alias("body"),
+        F.lit(None).cast("string").alias("html_body"),
         F.coalesce("comment_public", F.lit(True)).alias("is_public"),
+        "created_at",
     )
     return Changes(
         updated,
         _upsert_fields(custom_values, valid),
         comments,
         rejected,
-        valid.select(F.col("ticket_id").alias("id")).distinct(),
+        folded.select(F.col("ticket_id").alias("id")),
+        None if thread is None else add_comments(thread, comments),
     )
 
 
@@ -164,12 +209,13 @@ def _upsert_fields(custom_values: DataFrame, valid: DataFrame) -> DataFrame:
 def macro_patches(actions: DataFrame, applications: DataFrame) -> DataFrame:
     """Patches that a macro makes on each ticket it is applied to.
 
-    ``actions`` has ``macro_id, field, value`` (lists as comma-separated text, a custom
-    field as ``custom_fields_<id>``); ``applications`` has ``ticket_id, macro_id, seq``.
-    Only the columns a macro may change are taken over.
+    ``actions`` has ``macro_id, pos, field, value`` (lists as comma-separated text, a custom
+    field as ``custom_fields_<id>``); ``applications`` has ``ticket_id, macro_id, seq`` and
+    what else a patch carries about its comment. Only the columns a macro may change are taken
+    over. Actions run in order of ``pos``, so the last one on a field decides.
     """
     # One value per macro and field, so that a macro's group is as small as its field list.
-    actions = actions.groupBy("macro_id", "field").agg(F.max("value").alias("value"))
+    actions = actions.groupBy("macro_id", "field").agg(F.max_by("value", "pos").alias("value"))
     custom_id = F.regexp_extract("field", "\\Acustom_fields_([0-9]+)\\z", 1)
     values = {}
     for name in MACRO_COLUMNS:
@@ -194,16 +240,23 @@ def macro_patches(actions: DataFrame, applications: DataFrame) -> DataFrame:
 
 
 def apply_macros(
-    tickets: DataFrame, custom_values: DataFrame, actions: DataFrame, applications: DataFrame
+    tickets: DataFrame,
+    custom_values: DataFrame,
+    actions: DataFrame,
+    applications: DataFrame,
+    thread: DataFrame | None = None,
 ) -> tuple[DataFrame, Changes]:
-    """What each application set, as JSON, and the resulting table versions."""
-    patches = macro_patches(actions, applications)
-    applied = patches.join(tickets.select(F.col("id").alias("ticket_id")), "ticket_id").select(
+    """What each application set, as JSON, and the resulting table versions.
+
+    An application to an unknown ticket, or one that sets a bad value, is rejected.
+    """
+    checked = _checked(tickets, macro_patches(actions, applications))
+    applied = checked.where(F.col("problem").isNull()).select(
         "ticket_id", "macro_id", "seq", F.to_json(F.struct(*MACRO_COLUMNS)).alias("applied")
     )
-    return applied, update_tickets(tickets, custom_values, patches)
+    return applied, _apply(tickets, custom_values, checked, thread)
 
 
 def changed_details(details: DataFrame, touched: DataFrame) -> DataFrame:
-    """The detail rows of the touched tickets only."""
+    """The detail rows of the touched tickets only, as every write returns them."""
     return details.join(touched, "id", "left_semi")

@@ -21,13 +21,18 @@ def me(users: DataFrame, key: int) -> DataFrame:
     return users.where(F.col("id") == key).select("id", "name", "email", "role")
 
 
-def user_search(users: DataFrame, query: str, limit: int = 50) -> DataFrame:
-    """Users whose name, e-mail or phone contains the text, in id order, up to ``limit``."""
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    """All rows, or the first ``limit`` by id."""
+    return rows if limit is None else rows.orderBy("id").limit(limit)
+
+
+def user_search(users: DataFrame, query: str, limit: int | None = None) -> DataFrame:
+    """Users whose name, e-mail or phone contains the text; the first by id if limited."""
     wanted = F.lit(query.lower())
     hit = F.lit(False)
     for column in ("name", "email", "phone"):
         hit = hit | F.coalesce(F.contains(F.lower(column), wanted), F.lit(False))
-    return user_summary(users.where(hit)).orderBy("id").limit(limit)
+    return _first(user_summary(users.where(hit)), limit)
 
 
 def ticket_fields(field_defs: DataFrame, active_only: bool = True) -> DataFrame:
@@ -53,11 +58,7 @@ def field_options(fields: DataFrame) -> DataFrame:
     ).select("field_id", "title", "pos", "option.name", "option.value")
 
 
-def list_macros(macros: DataFrame, limit: int = 500) -> DataFrame:
-    """Active macros in id order, up to ``limit``."""
-    return (
-        macros.where(F.coalesce("active", F.lit(False)))
-        .select("id", "title", "active", "description")
-        .orderBy("id")
-        .limit(limit)
-    )
+def list_macros(macros: DataFrame, limit: int | None = None) -> DataFrame:
+    """Active macros; the first by id if limited."""
+    active = macros.where(F.coalesce("active", F.lit(False)))
+    return _first(active.select("id", "title", "active", "description"), limit)

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from veildesk.operators.tickets import ticket_link
 
-SEARCH_LIMIT, SEARCH_LIMIT_MAX = 200, 1000
-
 
 @dataclass(frozen=True)
 class Source:
@@ -23,15 +21,13 @@ class Source:
 
 
 def search(
-    sources: Mapping[str, Source], base_url: str, limit: int | None = SEARCH_LIMIT
+    sources: Mapping[str, Source], base_url: str, limit: int | None = None
 ) -> DataFrame:
     """Hits tagged with their type; tickets link to the agent page, others keep their url.
 
-    The raw record is kept whole as JSON. Each predicate is pushed to its own scan, and
-    the limit is a top-n over (type, id), so nothing else is sorted.
+    The raw record is kept whole as JSON. Each predicate is pushed to its own scan; a
+    limit is a top-n over (type, id), and without one nothing is sorted.
     """
-    if limit is not None and not 1 <= limit <= SEARCH_LIMIT_MAX:
-        raise ValueError(f"limit must be 1 to {SEARCH_LIMIT_MAX}")
     hits = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [_hits(kind, source, base_url) for kind, source in sources.items()],

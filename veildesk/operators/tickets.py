@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veildesk.functions.text import strip_space
 from veildesk.staging import left_lookup
 
-CONVERSATION_PART = 10_000
-
 
 def ticket_link(base_url: str, key: Column) -> Column:
     return F.concat(F.lit(f"{base_url}/agent/tickets/"), key.cast("string"))
@@ -89,24 +89,22 @@ def ticket_product(titled: DataFrame) -> DataFrame:
     )
 
 
-def conversations(
-    comments: DataFrame, users: DataFrame, part_size: int = CONVERSATION_PART
-) -> DataFrame:
-    """Comments nested per ticket in order, in parts of at most ``part_size``.
+@dataclass(frozen=True)
+class Detail:
+    """``header``: one row per ticket; ``thread``: one row per comment, (ticket_id, seq)."""
 
-    ``seq`` is the comment's place in its ticket. Nearly every ticket has a single part;
-    a ticket with millions of comments gets many rows instead of one impossible one, and
-    its parts are built by different tasks.
-    """
-    event = F.struct(
-        "seq", "id", "author", "author_id", "public", "created_at", "body", "html_body", "attachments"
-    )
-    return (
-        comment_rows(comments, users)
-        .withColumn("part", F.floor(F.col("seq") / part_size))
-        .groupBy("ticket_id", "part")
-        .agg(F.array_sort(F.collect_list(event)).alias("conversation"))
-    )
+    header: DataFrame
+    thread: DataFrame
+
+
+_EVENT = (
+    "seq", "id", "author", "author_id", "public", "created_at", "body", "html_body", "attachments"
+)
+
+
+def thread(comments: DataFrame, users: DataFrame) -> DataFrame:
+    """Comments of all tickets with author names and attachments, keyed (ticket_id, seq)."""
+    return comment_rows(comments, users).select("ticket_id", *_EVENT)
 
 
 def ticket_detail(
@@ -118,11 +116,11 @@ def ticket_detail(
     custom_values: DataFrame,
     comments: DataFrame,
     base_url: str,
-    part_size: int = CONVERSATION_PART,
-) -> DataFrame:
-    """One nested row per ticket (and conversation part): names, fields, thread, files.
+) -> Detail:
+    """Names, fields and product of each ticket, and the thread as a table of its own.
 
-    Everything is grouped by ticket id before it is joined, so no join multiplies rows.
+    A thread has no bound, so it stays flat; ``nested`` puts it into the tickets on request.
+    Fields are grouped by ticket before they are joined, so no join multiplies rows;
     ``custom_values`` has one value per ticket and field, which bounds its group by the
     number of field definitions.
     """
@@ -135,18 +133,10 @@ def ticket_detail(
             "product"
         ),
     )
-    named = resolve_names(
-        tickets.drop("custom_fields"), users, groups, organizations
-    ).withColumnRenamed("id", "ticket_id")
-    joined = named.join(fields, "ticket_id", "left").join(
-        conversations(comments, users, part_size), "ticket_id", "left"
-    )
-    empty_thread = F.filter("conversation", lambda _: F.lit(False))
-    thread = F.coalesce("conversation", empty_thread)
-    return joined.select(
-        F.col("ticket_id").alias("id"),
-        F.coalesce("part", F.lit(0)).alias("part"),
-        ticket_link(base_url, F.col("ticket_id")).alias("url"),
+    named = resolve_names(tickets.drop("custom_fields"), users, groups, organizations)
+    header = named.join(fields.withColumnRenamed("ticket_id", "id"), "id", "left").select(
+        "id",
+        ticket_link(base_url, F.col("id")).alias("url"),
         "subject",
         "description",
         "status",
@@ -162,6 +152,20 @@ def ticket_detail(
         "updated_at",
         "custom_fields",
         "product",
-        F.col("conversation"),
-        F.flatten(F.transform(thread, lambda c: c["attachments"])).alias("attachments"),
+    )
+    return Detail(header, thread(comments, users))
+
+
+def nested(detail: Detail) -> DataFrame:
+    """One row per ticket with its whole conversation and all attachments inside.
+
+    For tickets whose threads fit in a row, a selection of them for example.
+    """
+    conversations = detail.thread.groupBy(F.col("ticket_id").alias("id")).agg(
+        F.array_sort(F.collect_list(F.struct(*_EVENT))).alias("conversation")
+    )
+    files = F.flatten(F.transform("conversation", lambda c: c["attachments"]))
+    none = F.array().cast(detail.thread.schema["attachments"].dataType)
+    return detail.header.join(conversations, "id", "left").withColumn(
+        "attachments", F.coalesce(files, none)
     )

@@ -5,11 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-VIEW_LIMIT, VIEW_LIMIT_MAX = 200, 2000
-
 
 def count_by_view(tickets: DataFrame, predicates: Mapping[int, Column]) -> DataFrame:
     """Tickets per view, all views in one scan; only one row per task is shuffled."""
@@ -36,9 +33,9 @@ def list_views(views: DataFrame, counts: DataFrame) -> DataFrame:
     return view_counts(views.where("active"), counts).select("id", "title", "active", "count")
 
 
-def view_tickets(rows: DataFrame, predicate: Column, limit: int = VIEW_LIMIT) -> DataFrame:
-    """The first tickets of a view in id order, each with the number returned."""
-    if not 1 <= limit <= VIEW_LIMIT_MAX:
-        raise ValueError(f"limit must be 1 to {VIEW_LIMIT_MAX}")
-    first = rows.where(predicate).orderBy("id").limit(limit)
-    return first.withColumn("returned", F.count("*").over(W.partitionBy(F.lit(1))))
+def view_tickets(rows: DataFrame, predicate: Column, limit: int | None = None) -> DataFrame:
+    """A view's tickets, the first by id if limited, each with the number returned."""
+    found = rows.where(predicate)
+    if limit is not None:
+        found = found.orderBy("id").limit(limit)
+    return found.withColumn("returned", found.agg(F.count("*")).scalar())

@@ -7,18 +7,16 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veildesk.schemas import VAULT
-from veildesk.staging import staged
+from veildesk.staging import ranked
 
 # Fixed value: characters that do not tell two spellings of a value apart.
 _SEPARATORS = re.compile(
     "[\t\n\x0b\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff_.\\-]+"
 )
-_ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
 @F.pandas_udf(T.StringType())
@@ -48,43 +46,18 @@ def first_seen(occurrences: DataFrame) -> DataFrame:
 def number_values(seen: DataFrame, vault: DataFrame) -> DataFrame:
     """Vault rows for the keys in ``seen`` that ``vault`` does not have yet.
 
-    Numbers continue after the highest one of each type, in order of ``seen``. A window
-    per type would rank a common type in one task. Instead the keys are range-partitioned
-    by (type, seen) and written once; each row's place in its partition, plus the counts
-    of the earlier partitions, is its number. The count table has at most one row per
-    partition plus one per type, whatever the size of the data, so it is broadcast.
+    Numbers continue after the highest one of each type, in order of ``seen``. ``ranked``
+    gives them without a task for a whole type.
     """
     # The few new keys meet the large vault as the right side of a semi join, which Spark
     # can broadcast; the vault is then read but not shuffled.
     known = vault.select("key").join(seen.select("key"), "key", "left_semi")
     fresh = seen.join(known, "key", "left_anti")
-    ranked = staged(
-        fresh.repartitionByRange("type", "seen")
-        .sortWithinPartitions("type", "seen")
-        .withColumn("_id", F.monotonically_increasing_id()),
-        "ranked-keys",
-    ).withColumns(
-        {
-            "_part": F.shiftright("_id", _ROW_BITS),
-            "_row": F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
-        }
-    )
-    counts = ranked.groupBy("type", "_part").agg(
-        F.count("*").alias("_n"), F.min("_row").alias("_first")
-    )
-    earlier = W.partitionBy("type").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     taken = vault.groupBy("type").agg(F.max("n").alias("_taken"))
-    offsets = (
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    numbered = (
+        ranked(fresh, ["type"], [F.col("seen")], "_rank")
         .join(taken, "type", "left")
-        .select(
-            "type",
-            "_part",
-            (F.coalesce("_taken", F.lit(0)) + F.col("_before") - F.col("_first") + 1).alias("_base"),
-        )
-    )
-    numbered = ranked.join(F.broadcast(offsets), ["type", "_part"]).withColumn(
-        "n", (F.col("_base") + F.col("_row")).cast("bigint")
+        .withColumn("n", (F.coalesce("_taken", F.lit(0)) + F.col("_rank")).cast("bigint"))
     )
     return numbered.select("key", "type", "n", numbered_placeholder("type", "n"))
 

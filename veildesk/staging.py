@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 NULL_KEY_SALTS = 256
+_ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -52,6 +54,37 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Number the rows of each group from 1 in ``order``, without a task for a whole group.
+
+    The rows are range-partitioned by group and order and written once; a row's place in its
+    partition plus the group's counts in earlier partitions is its number. The table of counts
+    has at most one row per partition and group that meets in it, and Spark sees its size.
+    """
+    ids, part, place = f"_{name}_id", f"_{name}_part", f"_{name}_place"
+    rows = staged(
+        df.repartitionByRange(*group, *order)
+        .sortWithinPartitions(*group, *order)
+        .withColumn(ids, F.monotonically_increasing_id()),
+        "ranked",
+    ).withColumns(
+        {
+            part: F.shiftright(ids, _ROW_BITS),
+            place: F.col(ids).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+        }
+    )
+    counts = rows.groupBy(*group, part).agg(F.count("*").alias("_n"), F.min(place).alias("_first"))
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
+    offsets = staged(counts.select(*group, part, base.alias("_base")), "rank-offsets")
+    same = F.col(f"r.{part}") == F.col(f"o.{part}")
+    for column in group:
+        same = same & F.col(f"r.{column}").eqNullSafe(F.col(f"o.{column}"))
+    return rows.alias("r").join(offsets.alias("o"), same).select(
+        *[F.col(f"r.`{c}`") for c in df.columns], (F.col(place) + F.col("_base")).alias(name)
+    )
+
+
 def with_found(df: DataFrame, name: str, found: Column) -> DataFrame:
     """Add the array ``found`` and keep the rows where it is not empty.
 
