@@ -2,25 +2,24 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from veildesk.checks import redaction as checks
-from veildesk.checks.compare import connect, duck_rows, spark_rows
 from veildesk.functions.detectors import GazetteerDetector, TokenScoreDetector, run_detector
 from veildesk.functions.text import needs_scan
 from veildesk.functions.windows import token_table, window_bounds
 from veildesk.plans import redaction as R
-from veildesk.plans.propagation import match_by_pattern, match_by_words, scope_values
+from veildesk.plans.propagation import propagate, scope_values
 from veildesk.plans.vault import empty_vault, first_seen, number_values, pseudonym_key
 from veildesk.schemas import SPANS, VAULT
 from veildesk.sources.sinks import write_sanitized
 from veildesk.staging import scratch_path
 
 NAMES = GazetteerDetector(
-    {"Marie": "PERSON_NAME", "Dubois": "PERSON_NAME", "Acme": "PROPER_NAME", "Suite": "PROPER_NAME"}
+    {"Olga": "PERSON_NAME", "Petrow": "PERSON_NAME", "Acme": "PROPER_NAME", "Suite": "PROPER_NAME"}
 )
 
 
@@ -30,14 +29,16 @@ def clean(spark, rows, policy, columns=("body",), schema="id long, body string")
 
 
 def test_sentence(spark):
-    text = "Hi, I'm Marie Dubois, email marie@company.fr, tel +33 6 12 34 56 78"
+    text = "Order for Olga Petrow (olga.p@shop.example) - call back on +49 30 1234 5678 please"
     out, _ = clean(spark, [(1, text)], R.Policy(detector=NAMES))
-    assert out == [("Hi, I'm [PERSON_NAME_1], email [EMAIL_ADDRESS_1], tel [PHONE_NUMBER_1]",)]
+    assert out == [
+        ("Order for [PERSON_NAME_1] ([EMAIL_ADDRESS_1]) - call back on [PHONE_NUMBER_1] please",)
+    ]
 
 
 def test_same_value_same_number_across_records_and_spellings(spark):
-    rows = [(1, "Marie-Dubois"), (2, "marie dubois wrote, not Marie"), (3, "ask Marie_Dubois")]
-    names = GazetteerDetector({**NAMES.terms, "marie": "PERSON_NAME", "dubois": "PERSON_NAME"})
+    rows = [(1, "Olga-Petrow"), (2, "olga petrow wrote, not Olga"), (3, "ask Olga_Petrow")]
+    names = GazetteerDetector({**NAMES.terms, "olga": "PERSON_NAME", "petrow": "PERSON_NAME"})
     out, vault = clean(spark, rows, R.Policy(detector=names))
     assert out == [
         ("[PERSON_NAME_1]",),
@@ -144,7 +145,7 @@ def known_by_hand(text, values):
     return [(m.start(), m.end(), values[m.group()]) for m in re.finditer(pattern, text)]
 
 
-def test_known_value_strategies_match_brute_force(spark):
+def test_known_values_match_brute_force(spark):
     rng = random.Random(3)
     words = ["ann", "bo", "+1", "x-y", "lee", "(zed)", "q.", "ann-lee", "12 34"]
     values = sorted({" ".join(rng.choices(words, k=rng.randrange(1, 4))) for _ in range(25)})
@@ -162,15 +163,113 @@ def test_known_value_strategies_match_brute_force(spark):
         "scope struct<s:int>, value string, type string",
     )
     expected = {i: known_by_hand(t, values) for i, t in enumerate(texts)}
-    for match in (match_by_pattern, match_by_words):
-        rows = match(cells, known).collect()
-        got = {r.record.id: [(s.start, s.end, s.type) for s in r.spans] for r in rows}
-        assert got == {i: spans for i, spans in expected.items() if spans}
+    rows = propagate(cells, known).collect()
+    got = {r.record.id: [(s.start, s.end, s.type) for s in r.spans] for r in rows}
+    assert got == {i: spans for i, spans in expected.items() if spans}
 
 
-def test_word_strategy_matches_sql(spark, sf_dir):
-    ours = spark_rows(checks.propagate_(spark, sf_dir, pattern_values=0))
-    assert ours == duck_rows(connect(sf_dir), checks.ORACLES["propagate"])
+def test_known_values_with_noncharacters_and_in_null_scopes(spark):
+    value = "ann\uFDD0lee"
+    cells = spark.createDataFrame(
+        [((1,), (None,), 0, f"so {value}, and {value}"), ((2,), (7,), 0, value)],
+        "record struct<id:int>, scope struct<s:int>, cell int, text string",
+    )
+    known = spark.createDataFrame(
+        [((None,), value, "T")], "scope struct<s:int>, value string, type string"
+    )
+    rows = propagate(cells, known).collect()
+    assert [(r.record.id, [(s.start, s.end) for s in r.spans]) for r in rows] == [
+        (1, [(3, 10), (16, 23)])
+    ]
+
+
+def test_propagation_is_linear_in_a_text(spark):
+    def seconds(n):
+        text = " ".join(f"name{i % 997} word" for i in range(n))
+        cells = spark.createDataFrame(
+            [((1,), (1,), 0, text)],
+            "record struct<id:int>, scope struct<s:int>, cell int, text string",
+        )
+        known = spark.createDataFrame(
+            [((1,), f"name{i}", "T") for i in range(997)],
+            "scope struct<s:int>, value string, type string",
+        )
+        start = time.perf_counter()
+        assert propagate(cells, known).select(F.size("spans")).first()[0] == n
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    short, long = seconds(10_000), seconds(40_000)
+    assert long < 10 * max(short, 1.0)
+
+
+# ------------------------------------------------------------- keys of any kind
+
+SECRETS = ("a@b.co", "c@d.co", "e@f.co")
+
+
+@pytest.mark.parametrize(
+    "policy",
+    [
+        R.Policy(pseudonyms=False),
+        R.Policy(),
+        R.Policy(pseudonyms=False, scope=["desk"]),
+        R.Policy(scope=["desk"]),
+        R.Policy(pseudonyms=False, detector=GazetteerDetector({})),
+        R.Policy(detector=GazetteerDetector({})),
+    ],
+    ids=["narrow", "numbered", "scoped", "scoped-numbered", "detector", "detector-numbered"],
+)
+def test_null_repeated_and_composite_keys(spark, policy):
+    rows = [
+        (1, "x", 7, "mail a@b.co now"),
+        (1, "x", 7, "c@d.co first, a longer text than the other of the same key"),
+        (1, "x", 7, "mail a@b.co now"),
+        (None, "y", 7, "to c@d.co"),
+        (None, "y", None, "from e@f.co and a@b.co"),
+        (None, None, None, "e@f.co"),
+        (2, None, 8, "nothing here"),
+        (3, None, 8, None),
+    ]
+    df = spark.createDataFrame(rows, "id long, part string, desk long, body string").repartition(5)
+    for keys in (["id"], ["id", "part"]):
+        out = R.sanitize_df(df, keys, ["body"], policy).collect()
+        assert len(out) == len(rows)
+        mark = "[EMAIL_ADDRESS" + ("_" if policy.pseudonyms else "]")
+        want = sorted(
+            "" if r[3] is None else re.sub(r"[a-z]@[a-z]\.co", "*", r[3]) for r in rows
+        )
+        assert sorted(re.sub(r"\[EMAIL_ADDRESS(_\d+)?\]", "*", r.body or "") for r in out) == want
+        assert sum((r.body or "").count(mark) for r in out) == 7
+        if policy.pseudonyms:
+            assert {m for r in out for m in re.findall(r"_(\d)\]", r.body or "")} == {"1", "2", "3"}
+
+
+def test_originals_of_nested_urls(spark):
+    df = spark.createDataFrame(
+        [
+            (1, ["https://d.example/t/a@b.co", "https://d.example/ok"], "see https://d.example/t/c@d.co"),
+            (2, None, "https://d.example/t/e@f.co"),
+        ],
+        "id long, links array<string>, body string",
+    )
+    done = R.sanitize(df, ["id"], ["links", "body"], R.Policy(site="https://d.example"))
+    assert {(r.sanitized, r.original) for r in done.originals.collect()} == {
+        ("https://d.example/t/%5BEMAIL_ADDRESS_1%5D", "https://d.example/t/a@b.co"),
+        ("https://d.example/t/%5BEMAIL_ADDRESS_3%5D", "https://d.example/t/e@f.co"),
+    }
+    assert "original" not in done.frame.columns
+
+
+def test_report_counts_what_the_policy_does(spark):
+    df = spark.createDataFrame(
+        [(1, ["Acme Suite", "mail a@b.co"]), (2, ["Acme"]), (3, [])], "id long, body array<string>"
+    )
+    policy = R.Policy(detector=NAMES, allow=["acme"], keep=["email_address"])
+    rows = R.redaction_report(df, ["id"], ["body"], policy).collect()
+    assert sorted(tuple(r) for r in rows) == [
+        (1, "EMAIL_ADDRESS", 1, 1, 0), (1, "PROPER_NAME", 2, 0, 1), (2, "PROPER_NAME", 1, 0, 0),
+    ]
 
 
 def test_first_type_wins_in_a_scope(spark):
@@ -268,6 +367,36 @@ def test_token_scores(spark):
     assert out == [("call [PERSON_NAME_1] or bob",)]
 
 
+def test_detectors_of_one_name_keep_apart(spark):
+    def opened(column):
+        def open_model():
+            def score(texts, tables):
+                out = []
+                for tokens in tables:
+                    logits = np.full((len(tokens), 3), -9.0)
+                    logits[:, column] = 9.0
+                    out.append(logits)
+                return out
+
+            return score
+
+        return open_model
+
+    texts = spark.createDataFrame([("d1", "one two")], "digest string, text string").coalesce(1)
+    labels = []
+    for column in (1, 2, 1):
+        detector = TokenScoreDetector(opened(column), ["O", "B-FIRST", "B-SECOND"])
+        row = run_detector(texts, detector).first()
+        labels.append({s.type for s in row.spans})
+    assert labels == [{"FIRST"}, {"SECOND"}, {"FIRST"}]
+
+
+def test_labelling_leaves_the_logits_alone():
+    logits = np.array([[1.0, 2.0, 3.0]])
+    TokenScoreDetector(lambda: None, ["O", "B-A", "B-B"]).label(logits)
+    assert logits.tolist() == [[1.0, 2.0, 3.0]]
+
+
 def test_each_distinct_text_is_detected_once(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
     texts = R.distinct_texts(docs.union(docs).where(needs_scan(F.col("text"))))

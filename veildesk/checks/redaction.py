@@ -21,21 +21,21 @@ from veildesk.plans.redaction import (
     occurrences,
     redaction_report as report,
     restore_urls,
+    sanitize as sanitize_all,
     sanitize_df as sanitize_table,
     sanitize_errors as sanitize_error_table,
-    sanitize_urls,
-    url_originals as original_urls,
 )
 from veildesk.plans.vault import (
+    distinct_values,
     empty_vault,
     entity_counts as count_entities,
     first_seen,
+    keyed,
     number_values,
-    pseudonym_key as key_of,
 )
 from veildesk.schemas import SPANS
 from veildesk.sources.sinks import write_sanitized as write_table
-from veildesk.staging import scratch_path, spread
+from veildesk.staging import scratch_path
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -67,7 +67,7 @@ def texts(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(
         F.lit("page").alias("source"), F.col("page_id").alias("id"), F.col("html").alias("text")
     )
-    return spread(docs.union(pages))
+    return docs.union(pages)
 
 
 # ------------------------------------------------------------------ detectors
@@ -270,7 +270,7 @@ _SPACE = "\\t\\n\\x0B\\f\\r \\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{20
     from cuts c join words w on w.doc_id = c.doc_id where c.win > 0""",
 )
 def chunk_windows(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = docs.select("doc_id", windows.chunk_windows(F.col("text")).alias("w"))
     return cut.select("doc_id", F.posexplode("w").alias("win", "w")).select(
         "doc_id",
@@ -459,7 +459,7 @@ def merge_spans(spark, sf_dir):
     given = F.filter(
         F.flatten(F.transform(words, of_word)), lambda s: s["end"] <= F.length(text)
     ).cast(SPANS)
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (
         docs.withColumn("given", given)
         .select("doc_id", F.explode(spans.merge_spans(text, F.col("given"))).alias("s"))
@@ -569,8 +569,7 @@ def pseudonym_key(spark, sf_dir):
         .union(part)
         .union(table(spark, sf_dir, "users").where("email is not null").select("email"))
     )
-    counted = values.groupBy("value").agg(F.count("*").alias("n"))
-    return counted.select("value", key_of("value").alias("key"), "n")
+    return keyed(values.groupBy("value").agg(F.count("*").alias("n"))).select("value", "key", "n")
 
 
 # Values under changing types: parts in two spellings, customers, line items.
@@ -600,10 +599,8 @@ _NUMBERED = """
 def pseudonym_vault(spark, sf_dir):
     names = {n: table(spark, sf_dir, n) for n in ("part", "customer", "lineitem")}
     rows = spark.sql(f"select * from {_SEEN}", **names)
-    seen = rows.select(
-        key_of("value").alias("key"), "type", F.struct("kind", "a", "b").alias("seen")
-    )
-    return number_values(first_seen(seen), empty_vault(spark))
+    seen = rows.select("value", "type", F.struct("kind", "a", "b").alias("seen"))
+    return number_values(first_seen(keyed(distinct_values(seen))), empty_vault(spark))
 
 
 @check("entity_counts", f"""
@@ -670,7 +667,7 @@ _NAMES = """
     select conv_id, turn, s as first_char, e as last_char, t as type
     from (select conv_id, turn, unnest(done, recursive := true) from chosen)""",
 )
-def propagate_(spark, sf_dir, pattern_values=None):
+def propagate_(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     words = F.split("text", " ")
     one = F.length(words[0])
@@ -688,8 +685,7 @@ def propagate_(spark, sf_dir, pattern_values=None):
     hits = cells.withColumn(
         "spans", F.filter(named, lambda s: s["end"].isNotNull())
     )
-    limits = {} if pattern_values is None else {"pattern_values": pattern_values}
-    found = propagate(cells, scope_values(hits), **limits)
+    found = propagate(cells, scope_values(hits))
     return found.select("record.*", F.explode("spans").alias("s")).select(
         "conv_id",
         "turn",
@@ -765,9 +761,10 @@ def _own_urls(spark, sf_dir):
 
 
 def _clean_urls(spark, sf_dir):
-    rows = _own_urls(spark, sf_dir)
+    """The pages' URLs, nested in an array, redacted with their originals."""
+    rows = _own_urls(spark, sf_dir).withColumn("links", F.array("url", "own"))
     policy = Policy(pseudonyms=False, site=F.col("site"))
-    return sanitize_urls(rows, ["page_id"], "own", policy)
+    return sanitize_all(rows, ["page_id"], ["links"], policy)
 
 
 @check("sanitize_url", f"select page_id, url, {_OWN_CLEAN} as own from {_OWN}")
@@ -787,7 +784,7 @@ def sanitize_url(spark, sf_dir):
     where own <> sanitized group by sanitized""",
 )
 def url_originals(spark, sf_dir):
-    return original_urls(_clean_urls(spark, sf_dir), ["page_id"], "own")
+    return _clean_urls(spark, sf_dir).originals
 
 
 @check(
@@ -800,8 +797,8 @@ def url_originals(spark, sf_dir):
 )
 def restore_url(spark, sf_dir):
     clean = _clean_urls(spark, sf_dir)
-    known = original_urls(clean, ["page_id"], "own")
-    return restore_urls(clean.drop("original"), known, "own").select("page_id", "own")
+    own = clean.frame.select("page_id", F.col("links")[1].alias("own"))
+    return restore_urls(own, clean.originals, "own").select("page_id", "own")
 
 
 # ------------------------------------------------------------------ the whole plan
@@ -847,21 +844,28 @@ def sanitize_errors(spark, sf_dir):
 
 @check(
     "redaction_report",
-    f"""
-    select source, id, t as type, count(*) as n_found,
-           count(*) filter (t = 'IP_ADDRESS') as n_kept,
-           count(*) filter (t <> 'IP_ADDRESS') as n_redacted
-    from ({HITS}) group by source, id, t""",
+    rf"""
+    select source, id, t as type, cast(sum(found) as bigint) as n_found,
+           cast(coalesce(sum(found) filter (t = 'IP_ADDRESS'), 0) as bigint) as n_kept,
+           cast(coalesce(sum(parts) filter (t <> 'IP_ADDRESS'), 0) as bigint) as n_redacted
+    from (select source, id, t, 1 as found, 0 as parts from ({HITS})
+          union all
+          select source, id, t, 0, len(list_filter(regexp_split_to_array(substr(text,
+                 cast(s as bigint) + 1, cast(e - s as bigint)),
+                 '(?i)\bexample\.com\b|\bmail3\b|\b19\b'),
+                 lambda x: regexp_matches(x, '[\p{{L}}\p{{N}}]')))
+          from {_widened_sql(HITS)})
+    group by source, id, t""",
 )
 def redaction_report(spark, sf_dir):
-    return report(
-        texts(spark, sf_dir), ["source", "id"], ["text"], Policy(keep=("ip_address",))
-    )
+    rows = texts(spark, sf_dir).withColumn("parts", F.array("text"))
+    policy = Policy(keep=("ip_address",), allow=ALLOWED)
+    return report(rows, ["source", "id"], ["parts"], policy)
 
 
 @check("write_sanitized", f"select id as doc_id, text from {_redacted_sql(chr(39) + '[' + chr(39) + ' || t || ' + chr(39) + ']' + chr(39))} where source = 'document'")
 def write_sanitized(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "sanitized")
     write_table(docs, path, ["doc_id"], ["text"], PLAIN, "json")
     return spark.read.schema("doc_id bigint, text string").json(path)
@@ -885,7 +889,7 @@ GAZETTEER = {
     where type is not null group by all""",
 )
 def detector_plugin(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("text"))
+    docs = table(spark, sf_dir, "documents").select("text")
     scanned = distinct_text_rows(docs.where(needs_scan(F.col("text"))))
     found = run_detector(scanned, GazetteerDetector(GAZETTEER))
     return (

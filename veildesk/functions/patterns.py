@@ -73,41 +73,42 @@ def blocks_of(values: Column) -> Column:
     )
 
 
-def piece_spans(pieces: Column) -> Column:
-    """The matches among ``match_pieces`` as ``struct<start,end,value>``."""
-    none = F.array().cast(f"array<{HIT}>")
-
-    def step(acc: Column, piece: Column) -> Column:
-        end = acc["pos"] + F.length(piece)
-        hit = F.struct(acc["pos"].alias("start"), end.alias("end"), piece.alias("value"))
-        return F.struct(
-            end.alias("pos"),
-            (~acc["inside"]).alias("inside"),
-            F.when(acc["inside"], F.concat(acc["found"], F.array(hit)))
-            .otherwise(acc["found"])
-            .alias("found"),
-        )
+def running_totals(values: Column) -> Column:
+    """Sums of an integer array up to and including each element, block by block."""
 
-    def in_block(block: Column, at: Column) -> Column:
-        # Blocks have an even length, so each one begins with a gap.
-        start = F.struct(at.alias("pos"), F.lit(False).alias("inside"), none.alias("found"))
-        return F.aggregate(block, start, step)["found"]
+    def grow(acc: Column, n: Column) -> Column:
+        return F.concat(acc, F.array(F.element_at(acc, -1) + n))
 
     def in_blocks(blocks: Column) -> Column:
-        lengths = F.transform(blocks, lambda b: F.length(F.array_join(b, "")))
-        starts = F.aggregate(
-            lengths,
-            F.array(F.lit(0)),
-            lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)),
-        )
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, n: acc + n))
+        # The sums before each block, and one more behind the last.
+        before = F.aggregate(sums, F.array(F.lit(0)), grow)
+
+        def totals(block: Column, start: Column) -> Column:
+            run = F.aggregate(block, F.array(start), grow)
+            return F.slice(run, F.lit(2), F.size(block))
+
         return let(
-            starts,
-            lambda at: F.flatten(F.transform(blocks, lambda b, i: in_block(b, F.get(at, i)))),
+            before,
+            lambda at: F.flatten(F.transform(blocks, lambda b, i: totals(b, F.get(at, i)))),
         )
 
-    return F.when(F.size(pieces) > BLOCK, let(blocks_of(pieces), in_blocks)).otherwise(
-        in_block(pieces, F.lit(0))
+    return F.when(F.size(values) > 0, let(blocks_of(values), in_blocks)).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
+def piece_spans(pieces: Column) -> Column:
+    """The matches among ``match_pieces`` as ``struct<start,end,value>``."""
+    ends = running_totals(F.transform(pieces, lambda p: F.length(p)))
+    placed = F.zip_with(
+        pieces,
+        ends,
+        lambda p, end: F.struct(
+            (end - F.length(p)).alias("start"), end.alias("end"), p.alias("value")
+        ),
     )
+    return F.filter(placed, lambda _, i: i % 2 == 1)
 
 
 def match_spans(text: Column, pattern: Column | str) -> Column:

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veildesk.functions.patterns import BLOCK, blocks_of, match_spans, no_spans
+from veildesk.functions.patterns import blocks_of, match_spans, no_spans
 from veildesk.functions.text import (
     CONNECTOR,
     LEADING_PUNCT,
@@ -186,21 +186,11 @@ def merge_spans(text: Column, spans: Column) -> Column:
         start = F.struct(
             nothing.alias("open"), F.array().cast(f"array<{SPANS}>").alias("closed")
         )
-        return F.when(
-            F.size(found) > BLOCK,
-            F.aggregate(
-                blocks_of(ordered(found)),
-                start,
-                add_block,
-                lambda acc: F.concat(F.flatten(acc["closed"]), F.array(acc["open"])),
-            ),
-        ).otherwise(
-            F.aggregate(
-                ordered(found),
-                state(nothing),
-                add,
-                lambda acc: F.concat(acc["closed"], F.array(acc["open"])),
-            )
+        return F.aggregate(
+            let(ordered(found), blocks_of),
+            start,
+            add_block,
+            lambda acc: F.concat(F.flatten(acc["closed"]), F.array(acc["open"])),
         )
 
     return let(

@@ -1,14 +1,11 @@
 """Redact a value everywhere in a scope once it was detected anywhere in that scope.
 
-A scope is a conversation, a ticket, a customer or the whole data set. Two exact
-strategies give the same spans, and the number of values in a scope decides:
-
-* few values: one alternation pattern per scope, joined to the scope's texts;
-* many values: the values become keys. Each value is its own words plus the punctuation
-  around them, so an occurrence starts at a word equal to the value's first word. Words of
-  the texts are joined with the first words, the candidate pieces are cut out of the text,
-  and an equi-join on (scope, piece) keeps the real ones. No value meets a text it does
-  not occur in, and no group is ever gathered in one place.
+A scope is a conversation, a ticket, a customer or the whole data set. The values become keys:
+each value is its own words plus the punctuation around them, so an occurrence starts at a
+word equal to the value's first word. Words of the texts are joined with the first words, the
+candidate pieces are put together from the words and gaps that follow, and an equi-join on
+(scope, piece) keeps the real ones. No value meets a text it does not occur in, no group is
+ever gathered in one place, and the work on a text is linear in its words.
 """
 
 from __future__ import annotations
@@ -16,13 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veildesk.functions.patterns import match_pieces
-from veildesk.functions.spans import cut, first_types, known_values, match_known
+from veildesk.functions.patterns import blocks_of, running_totals
+from veildesk.functions.spans import known_values
 from veildesk.functions.text import WORD, let
 from veildesk.schemas import SPANS
-from veildesk.staging import staged, with_found
-
-PATTERN_VALUES = 64
 
 _CELL = ("record", "cell")
 
@@ -42,37 +36,11 @@ def scope_values(hits: DataFrame) -> DataFrame:
     )
 
 
-def propagate(
-    cells: DataFrame, values: DataFrame, pattern_values: int = PATTERN_VALUES
-) -> DataFrame:
+def propagate(cells: DataFrame, values: DataFrame) -> DataFrame:
     """Spans of known values: ``record, cell, text, spans``, only cells with a span.
 
     ``cells`` has columns ``record, scope, cell, text``; ``values`` is ``scope_values``.
     """
-    sized = staged(
-        values.join(
-            values.groupBy("scope").agg(F.count("*").alias("n_values")), "scope"
-        ),
-        "scope-values",
-    )
-    few = sized.where(F.col("n_values") <= pattern_values)
-    many = sized.where(F.col("n_values") > pattern_values)
-    if many.isEmpty():
-        return match_by_pattern(cells, few)
-    if few.isEmpty():
-        return match_by_words(cells, many)
-    return match_by_pattern(cells, few).unionByName(match_by_words(cells, many))
-
-
-def match_by_pattern(cells: DataFrame, values: DataFrame) -> DataFrame:
-    known = values.groupBy("scope").agg(
-        F.array_sort(F.collect_list(F.struct("value", "type"))).alias("known")
-    )
-    spans = match_known(F.col("text"), first_types(F.col("known")))
-    return with_found(cells.join(known, "scope"), "spans", spans).select(*_CELL, "text", "spans")
-
-
-def match_by_words(cells: DataFrame, values: DataFrame) -> DataFrame:
     word, gap = f"[{WORD}]++", f"[^{WORD}]*+"
     shaped = values.select(
         "scope",
@@ -84,61 +52,72 @@ def match_by_words(cells: DataFrame, values: DataFrame) -> DataFrame:
     ).withColumns({"word": F.col("words")[0], "n_words": F.size("words")})
     anchors = shaped.select("scope", "word", "lead", "tail", "n_words").distinct()
 
-    searched = cells.join(
-        values.select("scope").distinct(), "scope", "left_semi"
-    ).withColumn("pieces", match_pieces(F.col("text"), word))
+    searched = cells.join(values.select("scope").distinct(), "scope", "left_semi").select(
+        "scope",
+        *_CELL,
+        F.regexp_extract_all("text", F.lit(f"({word})")).alias("words"),
+        F.split("text", word, -1).alias("gaps"),
+    )
     starts = (
-        searched.select("scope", *_CELL, F.posexplode("pieces").alias("at", "word"))
-        .where(F.col("at") % 2 == 1)
+        searched.select("scope", *_CELL, F.posexplode("words").alias("at", "word"))
         .join(anchors, ["scope", "word"])
         .groupBy(*_CELL)
-        .agg(F.collect_list(F.struct("at", "lead", "tail", "n_words")).alias("starts"))
+        .agg(F.collect_set(F.struct("at", "lead", "tail", "n_words")).alias("starts"))
     )
-    begun = staged(searched.join(starts, list(_CELL)), "candidate-texts")
     found = (
-        begun.select("scope", *_CELL, F.explode(_candidates()).alias("c"))
+        searched.join(starts, list(_CELL))
+        .select("scope", *_CELL, F.explode(_candidates()).alias("c"))
         .select("scope", *_CELL, "c.*")
         .join(shaped.select("scope", "value", "type"), ["scope", "value"])
         .groupBy(*_CELL)
-        .agg(F.collect_list(F.struct("start", "end", "type")).alias("found"))
-    )
-    return (
-        begun.select(*_CELL, "text")
-        .join(found, list(_CELL))
-        .select(*_CELL, "text", leftmost_longest(F.col("found")).alias("spans"))
+        .agg(F.collect_set(F.struct("start", "end", "type")).alias("found"))
+        .select(*_CELL, leftmost_longest(F.col("found")).alias("spans"))
     )
+    return cells.select(*_CELL, "text").join(found, list(_CELL)).select(*_CELL, "text", "spans")
 
 
 def _candidates() -> Column:
-    """Pieces of the text ``struct<start,end,value>`` that begin and end outside a word."""
-    text, pieces = F.col("text"), F.col("pieces")
+    """Pieces of the text ``struct<start,end,value>`` that begin and end outside a word.
 
-    def offset(n_pieces: Column) -> Column:
-        return F.length(F.array_join(F.slice(pieces, F.lit(1), n_pieces), ""))
-
-    def candidate(s: Column) -> Column:
-        start = offset(s["at"]) - s["lead"]
-        last = s["at"] + 2 * s["n_words"] - 1
-        end = F.when(last < F.size(pieces), offset(last) + s["tail"])
-        return let(
-            F.struct(start.alias("start"), end.alias("end")),
-            lambda c: F.struct(
-                c["start"], c["end"], cut(text, c["start"], c["end"]).alias("value")
-            ),
+    ``gaps`` stand around the ``words``: gap 0, word 0, gap 1, and so on to the last gap.
+    """
+    words, gaps = F.col("words"), F.col("gaps")
+    before = F.concat(F.array(F.lit("")), words)
+    starts = running_totals(F.zip_with(gaps, before, lambda g, w: F.length(g) + F.length(w)))
+
+    def candidate(s: Column, at: Column) -> Column:
+        n, lead, tail = s["n_words"], s["lead"], s["tail"]
+        first, last = F.get(gaps, s["at"]), F.get(gaps, s["at"] + n)
+        # Each word but the first with the gap before it.
+        inner = F.zip_with(
+            F.slice(words, s["at"] + 1, n),
+            F.concat(F.array(F.lit("")), F.slice(gaps, s["at"] + 2, n - 1)),
+            lambda w, g: F.concat(g, w),
         )
-
-    def bounded(c: Column) -> Column:
-        before = F.when(c["start"] > 0, F.substring(text, c["start"], F.lit(1))).otherwise("")
-        after = F.substring(text, c["end"] + 1, F.lit(1))
-        return (
-            c["end"].isNotNull()
-            & (c["start"] >= 0)
-            & (c["end"] <= F.length(text))
-            & ~before.rlike(f"[{WORD}]")
-            & ~after.rlike(f"[{WORD}]")
+        value = F.concat(
+            F.when(lead > 0, F.right(first, lead)).otherwise(""),
+            F.array_join(inner, ""),
+            F.left(last, tail),
+        )
+        start = F.get(at, s["at"]) - lead
+        # A neighbouring word touches the piece if the piece uses up the gap between them.
+        free = ((lead < F.length(first)) | ((s["at"] == 0) & (lead == F.length(first)))) & (
+            (tail < F.length(last)) | ((s["at"] + n == F.size(words)) & (tail == F.length(last)))
+        )
+        fits = (s["at"] + n <= F.size(words)) & free
+        return F.when(
+            fits,
+            F.struct(
+                start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value")
+            ),
         )
 
-    return F.filter(F.transform("starts", candidate), bounded)
+    return let(
+        starts,
+        lambda at: F.filter(
+            F.transform("starts", lambda s: candidate(s, at)), lambda c: c.isNotNull()
+        ),
+    )
 
 
 def leftmost_longest(found: Column) -> Column:
@@ -151,7 +130,7 @@ def leftmost_longest(found: Column) -> Column:
             ),
         )
     )
-    start = F.struct(F.lit(0).alias("free"), F.array().cast(SPANS).alias("taken"))
+    none = F.array().cast(SPANS)
 
     def take(acc: Column, f: Column) -> Column:
         hit = F.struct(f["start"].alias("start"), (-f["back"]).alias("end"), f["type"])
@@ -161,4 +140,19 @@ def leftmost_longest(found: Column) -> Column:
             F.when(fits, F.concat(acc["taken"], F.array(hit))).otherwise(acc["taken"]).alias("taken"),
         )
 
-    return F.aggregate(ordered, start, take)["taken"]
+    def take_block(acc: Column, block: Column) -> Column:
+        begin = F.struct(acc["free"].alias("free"), none.alias("taken"))
+        return let(
+            F.aggregate(block, begin, take),
+            lambda done: F.struct(
+                done["free"].alias("free"),
+                F.concat(acc["taken"], F.array(done["taken"])).alias("taken"),
+            ),
+        )
+
+    begin = F.struct(
+        F.lit(0).alias("free"), F.array().cast(f"array<{SPANS}>").alias("taken")
+    )
+    return F.aggregate(
+        let(ordered, blocks_of), begin, take_block, lambda acc: F.flatten(acc["taken"])
+    )

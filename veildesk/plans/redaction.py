@@ -37,7 +37,13 @@ from veildesk.functions.text import let, needs_scan
 from veildesk.functions.tree import map_strings, string_leaves
 from veildesk.functions.urls import is_own_url, sanitize_url, url_parts
 from veildesk.plans.propagation import propagate, scope_values
-from veildesk.plans.vault import empty_vault, first_seen, number_values, pseudonym_key
+from veildesk.plans.vault import (
+    distinct_values,
+    empty_vault,
+    first_seen,
+    keyed,
+    number_values,
+)
 from veildesk.staging import staged, with_found
 
 
@@ -66,10 +72,16 @@ class Policy:
 
 @dataclass(frozen=True)
 class Sanitized:
-    """A redacted table and the vault after the run."""
+    """A redacted table and the vault after the run.
+
+    ``originals`` has (sanitized, original) for each own URL that changed, wherever in the
+    columns it stood; of several the last one in key order wins. It holds what the redaction
+    took out, so it stays with the job, as the vault does.
+    """
 
     frame: DataFrame
     vault: DataFrame
+    originals: DataFrame | None = None
 
 
 # ----------------------------------------------------------------- per record
@@ -185,14 +197,25 @@ def distinct_texts(cells: DataFrame) -> DataFrame:
     return cells.select("text").distinct().withColumn("digest", F.sha2("text", 256))
 
 
+def record_id(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """What tells records apart: the keys, which may be null or repeated, and the content.
+
+    Rows of equal keys and equal content have equal redactions, so they may share an id; rows
+    that share only their keys do not, however many they are. A struct compares its null
+    fields as equal, so joins on it find rows with null keys as well.
+    """
+    content = F.sha2(F.to_json(F.struct(*columns)), 256)
+    return F.struct(*keys, content.alias("_content"))
+
+
 def record_cells(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy
 ) -> DataFrame:
     """One row per text to scan: ``record, scope, cell, text``."""
-    scope = policy.scope or keys
+    record = record_id(keys, columns)
     return df.select(
-        F.struct(*keys).alias("record"),
-        F.struct(*scope).alias("scope"),
+        record.alias("record"),
+        (F.struct(*policy.scope) if policy.scope else record).alias("scope"),
         F.posexplode(record_texts(df, columns, policy)).alias("cell", "text"),
     )
 
@@ -239,7 +262,8 @@ def _merged_per_record(
 ) -> DataFrame:
     """``record, cell, text, merged`` without a shuffle: the record is the scope."""
     texts = df.select(
-        F.struct(*keys).alias("record"), record_texts(df, columns, policy).alias("_texts")
+        record_id(keys, columns).alias("record"),
+        record_texts(df, columns, policy).alias("_texts"),
     )
     cells = F.transform(
         merged_in_record("_texts", policy),
@@ -260,30 +284,33 @@ def merged_cells(
 
 
 def occurrences(merged: DataFrame) -> DataFrame:
-    """One row per span: ``record, cell, start, end, type, value, key, seen``."""
+    """One row per span: ``record, cell, start, end, type, value, seen``."""
     text = F.col("text")
-    return (
-        merged.select("record", "cell", "text", F.explode("merged").alias("s"))
-        .select(
-            "record",
-            "cell",
-            "s.*",
-            cut(text, F.col("s.start"), F.col("s.end")).alias("value"),
-        )
-        .withColumns(
-            {"key": pseudonym_key("value"), "seen": F.struct("record", "cell", "start")}
-        )
+    return merged.select(
+        "record", "cell", "text", F.explode("merged").alias("s")
+    ).select(
+        "record",
+        "cell",
+        "s.*",
+        cut(text, F.col("s.start"), F.col("s.end")).alias("value"),
+        F.struct("record", "cell", F.col("s.start").alias("start")).alias("seen"),
     )
 
 
-def _named_cells(merged: DataFrame, vault: DataFrame) -> DataFrame:
+def named_values(merged: DataFrame) -> DataFrame:
+    """Each distinct value once: ``value, type, seen, key``, written for the steps after it."""
+    return staged(keyed(distinct_values(occurrences(merged))), "values")
+
+
+def _named_cells(merged: DataFrame, values: DataFrame, vault: DataFrame) -> DataFrame:
     """``record, cell, text, clean`` with numbered placeholders from the vault."""
+    names = values.select("value", "key").join(vault.select("key", "placeholder"), "key")
     named = (
         occurrences(merged)
-        .select("record", "cell", "start", "end", "key")
-        .join(vault.select("key", "placeholder"), "key")
+        .select("record", "cell", "start", "end", "value")
+        .join(names.select("value", "placeholder"), "value")
         .groupBy("record", "cell")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "placeholder"))).alias("named"))
+        .agg(F.array_sort(F.collect_set(F.struct("start", "end", "placeholder"))).alias("named"))
     )
     return merged.join(named, ["record", "cell"]).select(
         "record",
@@ -300,19 +327,51 @@ def sanitize(
     policy: Policy = Policy(),
     vault: DataFrame | None = None,
 ) -> Sanitized:
-    """Redact ``columns`` of ``df``; ``keys`` identify a record and are never null.
+    """Redact ``columns`` of ``df``; ``keys`` name a record, nulls and repeats are safe.
 
     With numbered placeholders the returned vault holds ``vault`` plus the new values.
     """
     vault = empty_vault(df.sparkSession) if vault is None else vault
     if policy.narrow and not policy.pseudonyms:
-        return Sanitized(_sanitize_narrow(df, columns, policy), vault)
+        pairs = _sanitize_narrow(df, columns, policy)
+        return _result(df, keys, columns, policy, pairs, vault)
 
     merged = staged(merged_cells(df, keys, columns, policy), "merged")
+    values = None
     if policy.pseudonyms:
-        seen = first_seen(occurrences(merged))
-        vault = staged(vault.unionByName(number_values(seen, vault)), "vault")
-    return Sanitized(put_back(df, keys, columns, policy, merged, vault), vault)
+        values = named_values(merged)
+        vault = staged(vault.unionByName(number_values(first_seen(values), vault)), "vault")
+    pairs = _put_back(df, keys, columns, policy, merged, values, vault)
+    return _result(df, keys, columns, policy, pairs, vault)
+
+
+def _result(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    policy: Policy,
+    pairs: DataFrame,
+    vault: DataFrame,
+) -> Sanitized:
+    """The redacted table, and the originals of the helpdesk's own URLs if there is a site."""
+    frame = pairs.select(*[F.col(f"_clean_{c}").alias(c) if c in columns else c for c in df.columns])
+    if policy.site is None:
+        return Sanitized(frame, vault)
+    own = [
+        F.filter(
+            F.arrays_zip(
+                string_leaves(F.col(c), df.schema[c].dataType).alias("original"),
+                string_leaves(F.col(f"_clean_{c}"), df.schema[c].dataType).alias("sanitized"),
+            ),
+            lambda p: is_own_url(p["original"], _site(policy)) & (p["original"] != p["sanitized"]),
+        )
+        for c in columns
+    ]
+    changed = pairs.select(F.struct(*keys).alias("seen"), F.inline(F.concat(*own)))
+    originals = changed.groupBy("sanitized").agg(
+        F.max_by("original", F.struct("seen", "original")).alias("original")
+    )
+    return Sanitized(frame, vault, originals)
 
 
 def put_back(
@@ -321,29 +380,49 @@ def put_back(
     columns: Sequence[str],
     policy: Policy,
     merged: DataFrame,
+    values: DataFrame | None,
     vault: DataFrame,
 ) -> DataFrame:
     """``df`` with the merged cells replaced by placeholders (the vault's, if numbered)."""
-    if policy.pseudonyms:
-        cleaned = _named_cells(merged, vault)
+    pairs = _put_back(df, keys, columns, policy, merged, values, vault)
+    return _result(df, keys, columns, policy, pairs, vault).frame
+
+
+def _put_back(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    policy: Policy,
+    merged: DataFrame,
+    values: DataFrame | None,
+    vault: DataFrame,
+) -> DataFrame:
+    """``df`` and, as ``_clean_<column>``, its redacted columns."""
+    if values is not None:
+        cleaned = _named_cells(merged, values, vault)
     else:
         cleaned = merged.withColumn(
             "clean", redact(F.col("text"), F.col("merged"), plain_placeholder)
         )
-    changed = cleaned.groupBy("record").agg(
-        F.collect_list(F.struct("text", "clean")).alias("_changed")
+    changed = cleaned.groupBy(F.col("record").alias("_record")).agg(
+        F.collect_set(F.struct("text", "clean")).alias("_changed")
     )
-    joined = df.join(changed.select("record.*", "_changed"), list(keys), "left").withColumns(
-        {
-            "_texts": F.transform("_changed", lambda c: c["text"]),
-            "_clean": F.transform("_changed", lambda c: c["clean"]),
-        }
+    joined = (
+        df.withColumn("_record", record_id(keys, columns))
+        .join(changed, "_record", "left")
+        .withColumns(
+            {
+                "_texts": F.transform("_changed", lambda c: c["text"]),
+                "_clean": F.transform("_changed", lambda c: c["clean"]),
+            }
+        )
     )
     rebuilt = _rebuilt(df, columns, policy, F.col("_texts"), F.col("_clean"))
-    return joined.withColumns(rebuilt).select(*df.columns)
+    return joined.select(*df.columns, *[new.alias(f"_clean_{c}") for c, new in rebuilt.items()])
 
 
 def _sanitize_narrow(df: DataFrame, columns: Sequence[str], policy: Policy) -> DataFrame:
+    """``df`` and, as ``_clean_<column>``, its redacted columns, in one projection."""
     texts = F.col("_texts")
     clean = F.zip_with(
         texts,
@@ -352,7 +431,7 @@ def _sanitize_narrow(df: DataFrame, columns: Sequence[str], policy: Policy) -> D
     )
     scanned = df.withColumn("_texts", record_texts(df, columns, policy)).withColumn("_clean", clean)
     rebuilt = _rebuilt(df, columns, policy, texts, F.col("_clean"))
-    return scanned.withColumns(rebuilt).select(*df.columns)
+    return scanned.select(*df.columns, *[new.alias(f"_clean_{c}") for c, new in rebuilt.items()])
 
 
 def sanitize_df(
@@ -365,27 +444,6 @@ def sanitize_df(
     return sanitize(df, keys, columns, policy, vault).frame
 
 
-def sanitize_urls(
-    df: DataFrame, keys: Sequence[str], column: str, policy: Policy, original: str = "original"
-) -> DataFrame:
-    """``df`` with ``column`` redacted and its unredacted form kept next to it.
-
-    Only for the table of originals: nothing that leaves the job may carry ``original``.
-    """
-    return sanitize_df(df.withColumn(original, F.col(column)), keys, [column], policy)
-
-
-def url_originals(
-    sanitized: DataFrame, keys: Sequence[str], column: str, original: str = "original"
-) -> DataFrame:
-    """(sanitised, original) of each URL that changed; the last one in key order wins."""
-    return (
-        sanitized.where(F.col(column) != F.col(original))
-        .groupBy(F.col(column).alias("sanitized"))
-        .agg(F.max_by(original, F.struct(*keys)).alias("original"))
-    )
-
-
 def restore_urls(df: DataFrame, originals: DataFrame, column: str) -> DataFrame:
     """Put the real URL back where a sanitised one is known; others pass through."""
     known = originals.select(
@@ -412,16 +470,41 @@ def sanitize_errors(
 def redaction_report(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy = Policy()
 ) -> DataFrame:
-    """Per record and type: spans found by the formats, kept by policy, redacted."""
-    texts = record_texts(df, columns, policy)
-    kept = [name.upper() for name in policy.keep]
-    raw = F.flatten(F.transform(texts, lambda t: detect_patterns(t)))
-    rows = df.select(*keys, F.explode(raw).alias("s")).select(*keys, "s.type")
-    is_kept = F.col("type").isin(kept) if kept else F.lit(False)
-    return rows.groupBy(*keys, "type").agg(
-        F.count("*").alias("n_found"),
-        F.count_if(is_kept).alias("n_kept"),
-        F.count_if(~is_kept).alias("n_redacted"),
-    )
+    """Per record and type: spans found, kept by policy, and left to redact.
 
+    Found are the formats' and the detector's spans; left are those that are not kept, after
+    widening and the allowlist, which may cut one in several or remove it.
+    """
+    cells = record_cells(df, keys, columns, policy).select("record", "text")
+    text = F.col("text")
+    if policy.detector is None:
+        raw = detect_patterns(text)
+    else:
+        scored = run_detector(distinct_texts(cells), policy.detector)
+        model = scored.select("digest", F.col("spans").alias("model"))
+        cells = cells.withColumn("digest", F.sha2("text", 256)).join(model, "digest")
+        raw = F.concat(detect_patterns(text), F.col("model"))
+
+    def stages(spans: Column) -> Column:
+        kept = keep_entities(spans, policy.keep)
+        left = allow_terms(text, widen_spans(text, kept), policy.allow)
+        return F.struct(spans.alias("found"), kept.alias("open"), left.alias("left"))
+
+    def types(stage: str) -> Column:
+        return F.transform(
+            F.col(f"s.{stage}"),
+            lambda x: F.struct(F.lit(stage).alias("stage"), x["type"].alias("type")),
+        )
+
+    found = cells.select("record", let(raw, stages).alias("s"))
+    all_types = F.concat(*[types(stage) for stage in ("found", "open", "left")])
+    rows = found.select("record", F.explode(all_types).alias("x")).select("record.*", "x.*")
 
+    def count(stage: str) -> Column:
+        return F.count_if(F.col("stage") == stage)
+
+    return rows.groupBy(*keys, "type").agg(
+        count("found").alias("n_found"),
+        (count("found") - count("open")).alias("n_kept"),
+        count("left").alias("n_redacted"),
+    )

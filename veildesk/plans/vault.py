@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veildesk.functions.text import SPACE
 from veildesk.schemas import VAULT
 from veildesk.staging import ranked
 
-# Fixed value: characters that do not tell two spellings of a value apart.
-_SEPARATORS = re.compile(
-    "[\t\n\x0b\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff_.\\-]+"
-)
+# Fixed value: marks that, like white space, do not tell two spellings of a value apart.
+_MARKS = "_.\\-"
+_SEPARATORS = re.compile(f"[{SPACE}{_MARKS}]+")
+_ASCII_SEPARATORS = "\\t\\n\\x0B\\f\\r " + _MARKS
 
 
 @F.pandas_udf(T.StringType())
@@ -35,10 +36,28 @@ def empty_vault(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], VAULT)
 
 
-def first_seen(occurrences: DataFrame) -> DataFrame:
-    """(key, type, seen) of each key's first occurrence; map-side combined, so a value
+def distinct_values(occurrences: DataFrame) -> DataFrame:
+    """(value, type, seen) of each value's first occurrence; map-side combined, so a value
     that makes up much of the data still reaches the shuffle as one row per task."""
-    return occurrences.groupBy("key").agg(
+    return occurrences.groupBy("value").agg(
+        F.min_by("type", "seen").alias("type"), F.min("seen").alias("seen")
+    )
+
+
+def keyed(values: DataFrame) -> DataFrame:
+    """Add ``key`` to distinct values: in the JVM for ASCII, where NFKC changes nothing, and by
+    ``pseudonym_key`` for the others."""
+    ascii_only = F.col("value").rlike("\\A[\\x00-\\x7F]*+\\z")
+    plain = F.trim(F.regexp_replace(F.lower("value"), f"[{_ASCII_SEPARATORS}]++", " "))
+    return (
+        values.where(ascii_only).withColumn("key", plain)
+        .unionByName(values.where(~ascii_only).withColumn("key", pseudonym_key("value")))
+    )
+
+
+def first_seen(values: DataFrame) -> DataFrame:
+    """(key, type, seen) of each key's first value, from rows of ``key, type, seen``."""
+    return values.groupBy("key").agg(
         F.min_by("type", "seen").alias("type"), F.min("seen").alias("seen")
     )
 
@@ -68,4 +87,5 @@ def numbered_placeholder(kind: str, n: str):
 
 def entity_counts(occurrences: DataFrame) -> DataFrame:
     """Distinct values per type, each value counted under the type it was first seen with."""
-    return first_seen(occurrences).groupBy("type").agg(F.count("*").alias("n_values"))
+    values = first_seen(keyed(distinct_values(occurrences)))
+    return values.groupBy("type").agg(F.count("*").alias("n_values"))

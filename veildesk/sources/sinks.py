@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from veildesk.plans.redaction import Policy, Sanitized, sanitize
 
@@ -26,7 +25,3 @@ def write_sanitized(
     done.frame.write.mode(mode).format(file_format).save(path)
     return done
 
-
-def json_rows(df: DataFrame) -> DataFrame:
-    """Each record as one JSON text."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("json"))

@@ -19,7 +19,7 @@ from veildesk.functions.detectors import Detector, run_detector
 from veildesk.plans.redaction import (
     Policy,
     merged_cells,
-    occurrences,
+    named_values,
     put_back,
     sanitize_df,
 )
@@ -101,10 +101,10 @@ def stream_pseudonyms(
     def work(batch: DataFrame, number: int) -> None:
         spark, number = batch.sparkSession, number + first_batch
         merged = staged(merged_cells(batch, keys, columns, policy), "merged")
-        seen = first_seen(occurrences(merged))
-        vault.write(number_values(seen, vault.before(spark, number)), number)
+        values = named_values(merged)
+        vault.write(number_values(first_seen(values), vault.before(spark, number)), number)
         names = vault.before(spark, number + 1)
-        done = put_back(batch, keys, columns, policy, merged, names)
+        done = put_back(batch, keys, columns, policy, merged, values, names)
         done.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return _start(stream, work, checkpoint)
