@@ -228,8 +228,11 @@ def links(fps: DataFrame, radius: int = RADIUS, sample: int = TREE_SAMPLE, shard
     if radius > 3:
         raise ValueError("two halves need a radius of 3 or less")
     count = fps.count()
-    rows = fps.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
-    drawn = np.array([r["fp"] for r in rows], np.int64).view(np.uint64)
+    # A share of the fingerprints by hash, about ``sample`` of them; the limit is the bound.
+    share = int(min(1.0, sample / max(1, count)) * (1 << 31))
+    some = fps.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 31)) < share).limit(2 * sample)
+    drawn = np.array(sorted(r["fp"] for r in some.collect()), np.int64).view(np.uint64)
+    drawn = drawn[np.argsort(drawn * np.uint64(0x9E3779B97F4A7C15), kind="stable")]
     shards = min(-(-count // shard), max(1, sample // 8))
     trees = [VantageTree(_half(drawn, shift), shards) for shift in _HALVES]
     routed = "half:int,shard:int,home:boolean,fp:bigint"
