@@ -1,9 +1,14 @@
 """State across micro-batches and across streams."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
+from veildesk.functions.detectors import GazetteerDetector
 from veildesk.plans.redaction import Policy
-from veildesk.staging import scratch_path
+from veildesk.sources.sinks import write_sanitized
+from veildesk.staging import scratch_path, staging_root
 from veildesk.streaming import sanitize as S
 
 
@@ -36,10 +41,66 @@ def test_placeholders_outlive_a_stream(spark):
 
 def test_a_repeated_batch_gives_the_same_numbers(spark):
     vault = S.vault_table(scratch_path(spark, "vault"))
-    first = spark.createDataFrame([("a", "P", 1, "[P_1]")], vault.schema)
+    first = spark.createDataFrame([("a", "P", 1, "[P_1]")], S.VAULT)
     vault.write(first, 0)
-    again = spark.createDataFrame([("b", "P", 2, "[P_2]")], vault.schema)
+    again = spark.createDataFrame([("b", "P", 2, "[P_2]")], S.VAULT)
     vault.write(again, 1)
     vault.write(again, 1)
     assert vault.all(spark).count() == 2
     assert [r.key for r in vault.before(spark, 1).collect()] == ["a"]
+    assert [r.highest for r in vault.highest(spark, 2).collect()] == [2]
+
+
+def test_files_read_do_not_grow_with_batches(spark):
+    vault = S.Vault(scratch_path(spark, "vault"), buckets=4)
+    counts = []
+    for batch in range(6):
+        rows = [(f"k{batch}-{i}", "P", batch * 20 + i, "x") for i in range(20)]
+        vault.write(spark.createDataFrame(rows, S.VAULT), batch)
+        counts.append(len(vault.before(spark, batch + 1).inputFiles()))
+    assert max(counts) <= 4 and vault.all(spark).count() == 120
+    one = spark.createDataFrame([("k3-7",)], "key string")
+    part = vault.before(spark, None, one)
+    assert len(part.inputFiles()) == 1 and part.where("key = 'k3-7'").count() == 1
+
+
+def test_numbered_streams_need_a_vault(spark):
+    stream = files(spark, [(1, "a@b.co")], 1)
+    with pytest.raises(ValueError):
+        S.stream_sanitize(stream, ["id"], ["body"], Policy(), "out", "progress")
+
+
+def test_detections_belong_to_a_detector_and_have_a_bound(spark):
+    rows = [(i, f"Ann {i % 5}") for i in range(20)]
+    table = S.detection_table(scratch_path(spark, "detections"), keep=1)
+    for name, kind in (("a", "X"), ("b", "Y")):
+        S.stream_detect_once(
+            files(spark, rows, 1), "body", GazetteerDetector({"Ann": kind}), table,
+            scratch_path(spark, name), trigger={"availableNow": True},
+        ).awaitTermination()
+        found = table.all(spark)
+        assert {s.type for r in found.collect() for s in r.spans} == {kind}
+        assert found.count() == 5 and "text" not in found.columns
+    digest = table.all(spark).first().digest
+    rows = spark.createDataFrame([(digest, "d", [])], table.schema)
+    table.write(rows, 9)
+    assert [r.detector for r in table.before(spark, None, rows).collect()] == ["d"]
+
+
+def test_staging_goes_with_the_run(spark):
+    before = listing(spark)
+    out = scratch_path(spark, "out")
+    S.stream_pseudonyms(
+        files(spark, [(1, "mail a@b.co")], 1), ["id"], ["body"], Policy(),
+        S.vault_table(scratch_path(spark, "vault")), out, scratch_path(spark, "c"),
+    ).awaitTermination()
+    df = spark.createDataFrame([(1, "mail a@b.co")], "id long, body string")
+    write_sanitized(df, scratch_path(spark, "w"), ["id"], ["body"], vault_path=scratch_path(spark, "v"))
+    with pytest.raises(Exception):
+        write_sanitized(df, scratch_path(spark, "w"), ["nope"], ["body"], Policy(pseudonyms=False, scope=["id"]))
+    assert not [p for p in listing(spark) - before if "run-" in p]
+
+
+def listing(spark):
+    root = f"{staging_root(spark)}/veildesk"
+    return set(os.listdir(root.removeprefix("file://"))) if os.path.isdir(root.removeprefix("file://")) else set()

@@ -22,6 +22,7 @@ QUERIES: dict = {}
 ORACLES: dict = {}
 
 BATCHES = 3
+FILE_ROWS = 50_000
 
 
 def check(sql: str):
@@ -34,22 +35,33 @@ def check(sql: str):
 
 
 def arriving(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` as a stream of a few files, one file to a micro-batch."""
-    path = scratch_path(spark, "arriving")
-    df.repartition(BATCHES).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    """``df`` as a stream of files of bounded size, taken in about three micro-batches."""
+    path, rows = scratch_path(spark, "arriving"), df.count()
+    per_file = max(1, min(FILE_ROWS, rows // (4 * BATCHES)))
+    df.write.option("maxRecordsPerFile", per_file).parquet(path)
+    per_batch = max(1, rows // per_file // BATCHES)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 @check(f"""
-    select id as doc_id, text
+    select id as doc_id, text, true as plain
+    from {_redacted_sql("'[' || t || ']'")} where source = 'document'
+    union all
+    select id, text, false
     from {_redacted_sql("'[' || t || ']'")} where source = 'document'""")
 def stream_sanitize(spark, sf_dir):
+    """Both modes; numbers are compared by ``stream_pseudonyms``, so they are taken out here."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = scratch_path(spark, "sink")
-    sanitize(
-        arriving(spark, docs), ["doc_id"], ["text"], PLAIN, out, scratch_path(spark, "progress")
-    ).awaitTermination()
-    return spark.read.schema(docs.schema).parquet(out).drop("batch")
+    done = []
+    for policy in (PLAIN, Policy()):
+        out = scratch_path(spark, "sink")
+        sanitize(
+            arriving(spark, docs), ["doc_id"], ["text"], policy, out,
+            scratch_path(spark, "progress"), vault_table(scratch_path(spark, "vault")),
+        ).awaitTermination()
+        done.append(spark.read.schema(docs.schema).parquet(out).drop("batch"))
+    numbered = done[1].withColumn("text", F.regexp_replace("text", "_[0-9]+\\]", "]"))
+    return done[0].withColumn("plain", F.lit(True)).union(numbered.withColumn("plain", F.lit(False)))
 
 
 @check(f"""

@@ -62,21 +62,29 @@ def first_seen(values: DataFrame) -> DataFrame:
     )
 
 
-def number_values(seen: DataFrame, vault: DataFrame) -> DataFrame:
+def highest_numbers(vault: DataFrame) -> DataFrame:
+    """``type, highest`` number given out."""
+    return vault.groupBy("type").agg(F.max("n").alias("highest"))
+
+
+def number_values(
+    seen: DataFrame, vault: DataFrame, highest: DataFrame | None = None
+) -> DataFrame:
     """Vault rows for the keys in ``seen`` that ``vault`` does not have yet.
 
     Numbers continue after the highest one of each type, in order of ``seen``. ``ranked``
-    gives them without a task for a whole type.
+    gives them without a task for a whole type. A caller that keeps the highest numbers needs
+    to pass only the part of the vault that may hold the keys.
     """
     # The few new keys meet the large vault as the right side of a semi join, which Spark
     # can broadcast; the vault is then read but not shuffled.
     known = vault.select("key").join(seen.select("key"), "key", "left_semi")
     fresh = seen.join(known, "key", "left_anti")
-    taken = vault.groupBy("type").agg(F.max("n").alias("_taken"))
+    taken = highest_numbers(vault) if highest is None else highest
     numbered = (
         ranked(fresh, ["type"], [F.col("seen")], "_rank")
         .join(taken, "type", "left")
-        .withColumn("n", (F.coalesce("_taken", F.lit(0)) + F.col("_rank")).cast("bigint"))
+        .withColumn("n", (F.coalesce("highest", F.lit(0)) + F.col("_rank")).cast("bigint"))
     )
     return numbered.select("key", "type", "n", numbered_placeholder("type", "n"))
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,24 +16,51 @@ NULL_KEY_SALTS = 256
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
+_RUN: ContextVar[str | None] = ContextVar("veildesk_run", default=None)
+
+
 def staging_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and tasks are one machine, may fall back to a
-    temporary folder; on a cluster a missing setting is an error.
+    Only a local master, where driver and tasks are one machine, may leave it unset; it then
+    gets a folder that goes with the process. On a cluster a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="veildesk-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    own = tempfile.TemporaryDirectory(prefix="veildesk-")
+    atexit.register(own.cleanup)
+    spark.conf.set("spark.checkpoint.dir", own.name)
+    return own.name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark)}/veildesk/{uuid.uuid4().hex}/{label}"
+    """A new path, inside the run's folder if there is a run."""
+    run = _RUN.get() or f"{staging_root(spark)}/veildesk"
+    return f"{run}/{uuid.uuid4().hex}/{label}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Everything staged inside lies in one folder, which goes at the end, also on failure.
+
+    Only for work that is finished inside: a DataFrame that leaves must not read staged data.
+    """
+    path = f"{staging_root(spark)}/veildesk/run-{uuid.uuid4().hex}"
+    before = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(before)
+        delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this run made, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -45,15 +75,6 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use the whole cluster for CPU-heavy work on a scan of fewer splits than cores.
-
-    Large tables have more splits than cores and are returned unchanged, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Number the rows of each group from 1 in ``order``, without a task for a whole group.
 

@@ -1,67 +1,142 @@
 """Redaction of arriving records with Structured Streaming.
 
-Every micro-batch runs the batch plan. State that outlives a batch lies in plain tables,
-one ``batch=<id>`` folder per micro-batch, written with overwrite. A batch that runs again
-after a failure reads only the folders before its own and writes its own again, so it
-gives the same numbers and leaves nothing twice.
+Every micro-batch runs the batch plan, in a staging folder that goes with the batch. State
+that outlives a batch lies in ``KeyedTable``s: dealt into buckets by a hash of the key, one
+version of a bucket being one folder that holds it whole. A batch reads only the buckets its
+keys fall into and writes those anew, so what it reads does not grow with the number of
+batches. A batch that runs again after a failure starts from the versions before its own and
+writes its own again, so it gives the same numbers and leaves nothing twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
-from veildesk.functions.detectors import Detector, run_detector
+from veildesk.functions.detectors import Detector, detector_digest, run_detector
 from veildesk.plans.redaction import (
     Policy,
+    distinct_texts,
     merged_cells,
     named_values,
     put_back,
     sanitize_df,
 )
-from veildesk.plans.vault import first_seen, number_values
+from veildesk.plans.vault import first_seen, highest_numbers, number_values
 from veildesk.schemas import SPANS, VAULT
-from veildesk.staging import staged
+from veildesk.staging import run_folder, staged
 
-_DETECTIONS = f"digest string, text string, spans {SPANS}"
+_DETECTIONS = f"digest string, detector string, spans {SPANS}"
+_AVAILABLE = {"availableNow": True}
 
 
-class BatchTable:
-    """A table that grows by one folder per micro-batch."""
+class KeyedTable:
+    """A table in buckets by ``key``, written batch by batch.
 
-    def __init__(self, path: str, schema: str) -> None:
-        self.path, self.schema = path, schema
+    ``catalog/batch=<n>`` tells, for each bucket, the batch that wrote its latest version, and
+    carries a few extra rows (the highest numbers of a vault). With ``keep`` a row goes once
+    that many batches have passed since it was written.
+    """
+
+    def __init__(
+        self, path: str, schema: str, key: str, buckets: int = 64, keep: int | None = None
+    ) -> None:
+        self.path, self.schema, self.key, self.buckets, self.keep = path, schema, key, buckets, keep
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def _catalog(self, spark: SparkSession, before: int | None) -> dict[int, int]:
+        """``{bucket: batch}`` of the latest catalog, at most one entry for each bucket."""
+        rows = _read(spark, f"{self.path}/catalog", "bucket int, version bigint, batch bigint")
+        rows = rows if before is None else rows.where(F.col("batch") < before)
+        last = rows.agg(F.max("batch")).scalar()
+        return {r.bucket: r.version for r in rows.where(F.col("batch") == last).collect()}
+
+    def _rows(self, spark: SparkSession, versions: Mapping[int, int]) -> DataFrame:
+        paths = [
+            f"{self.path}/data/batch={v}/bucket={b}" for b, v in sorted(versions.items())
+        ]
+        schema = f"{self.schema}, written bigint"
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*paths)
 
-    def before(self, spark: SparkSession, batch: int) -> DataFrame:
-        """Rows of all earlier batches."""
-        rows = self._read(spark)
-        return rows.where(F.col("batch") < batch).drop("batch")
+    def before(self, spark: SparkSession, batch: int | None, keys: DataFrame | None = None):
+        """Rows of the batches before; only buckets that ``keys`` fall into, if given."""
+        versions = self._catalog(spark, batch)
+        if keys is not None:
+            hit = {r[0] for r in keys.select(self._bucket()).distinct().collect()}
+            versions = {b: v for b, v in versions.items() if b in hit}
+        return self._rows(spark, versions).drop("written")
 
     def all(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark).drop("batch")
+        return self.before(spark, None)
 
     def write(self, rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
-
-    def _read(self, spark: SparkSession) -> DataFrame:
-        schema = f"{self.schema}, batch bigint"
-        try:
-            return spark.read.schema(schema).parquet(self.path)
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return spark.createDataFrame([], schema)
+        """Add rows, whose keys are new, as the given batch."""
+        spark = rows.sparkSession
+        versions = self._catalog(spark, batch)
+        new = staged(rows.withColumn("written", F.lit(batch).cast("bigint")), "rows").withColumn(
+            "bucket", self._bucket()
+        )
+        hit = [r[0] for r in new.select("bucket").distinct().collect()]
+        old = self._rows(spark, {b: versions[b] for b in hit if b in versions})
+        if self.keep is not None:
+            old = old.where(F.col("written") >= batch - self.keep)
+        whole = old.withColumn("bucket", self._bucket()).unionByName(new)
+        # One file for a bucket, so a batch reads at most as many files as there are buckets.
+        whole.repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy(
+            "bucket"
+        ).parquet(f"{self.path}/data/batch={batch}")
+        versions.update(dict.fromkeys(hit, batch))
+        catalog = spark.createDataFrame(list(versions.items()), "bucket int, version bigint")
+        catalog.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/catalog/batch={batch}")
+
+
+class Vault(KeyedTable):
+    """Placeholders by key, with the highest number of each type kept beside them."""
+
+    def __init__(self, path: str, buckets: int = 64) -> None:
+        super().__init__(path, VAULT, "key", buckets)
+
+    def highest(self, spark: SparkSession, batch: int) -> DataFrame:
+        rows = _read(spark, f"{self.path}/highest", "type string, highest bigint, batch bigint")
+        rows = rows.where(F.col("batch") < batch)
+        return rows.groupBy("type").agg(F.max("highest").alias("highest"))
 
+    def write(self, rows: DataFrame, batch: int) -> None:
+        rows = staged(rows, "numbered")
+        super().write(rows, batch)
+        highest = highest_numbers(rows).unionByName(self.highest(rows.sparkSession, batch))
+        top = highest.groupBy("type").agg(F.max("highest").alias("highest"))
+        top.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/highest/batch={batch}")
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _start(
+    stream: DataFrame, work: Callable, checkpoint: str, trigger: Mapping | None
+) -> StreamingQuery:
+    def in_folder(batch: DataFrame, number: int) -> None:
+        with run_folder(batch.sparkSession):
+            work(batch, number)
 
-def _start(stream: DataFrame, work: Callable, checkpoint: str) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(work)
+        stream.writeStream.foreachBatch(in_folder)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or _AVAILABLE))
         .start()
     )
 
@@ -73,14 +148,26 @@ def stream_sanitize(
     policy: Policy,
     out: str,
     checkpoint: str,
+    vault: Vault | None = None,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    """Redact arriving rows with plain placeholders; same result as the batch plan."""
+    """Redact arriving rows; same result as the batch plan.
+
+    Numbers must go on from batch to batch, so a policy with numbered placeholders needs a
+    ``vault``. ``trigger`` is what ``writeStream.trigger`` takes; by default what is available.
+    """
+    if policy.pseudonyms:
+        if vault is None:
+            raise ValueError("numbered placeholders need a vault that outlives the batches")
+        return stream_pseudonyms(
+            stream, keys, columns, policy, vault, out, checkpoint, trigger=trigger
+        )
 
     def work(batch: DataFrame, number: int) -> None:
         done = sanitize_df(batch, keys, columns, policy)
         done.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return _start(stream, work, checkpoint)
+    return _start(stream, work, checkpoint, trigger)
 
 
 def stream_pseudonyms(
@@ -88,10 +175,11 @@ def stream_pseudonyms(
     keys: Sequence[str],
     columns: Sequence[str],
     policy: Policy,
-    vault: BatchTable,
+    vault: Vault,
     out: str,
     checkpoint: str,
     first_batch: int = 0,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """Redact arriving rows with placeholders that stay the same from batch to batch.
 
@@ -102,35 +190,44 @@ def stream_pseudonyms(
         spark, number = batch.sparkSession, number + first_batch
         merged = staged(merged_cells(batch, keys, columns, policy), "merged")
         values = named_values(merged)
-        vault.write(number_values(first_seen(values), vault.before(spark, number)), number)
-        names = vault.before(spark, number + 1)
+        known = vault.before(spark, number, values)
+        new = number_values(first_seen(values), known, vault.highest(spark, number))
+        vault.write(new, number)
+        names = vault.before(spark, number + 1, values)
         done = put_back(batch, keys, columns, policy, merged, values, names)
         done.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return _start(stream, work, checkpoint)
+    return _start(stream, work, checkpoint, trigger)
 
 
-def vault_table(path: str) -> BatchTable:
-    return BatchTable(path, VAULT)
+def vault_table(path: str) -> Vault:
+    return Vault(path)
 
 
-def detection_table(path: str) -> BatchTable:
-    return BatchTable(path, _DETECTIONS)
+def detection_table(path: str, keep: int | None = None) -> KeyedTable:
+    """Detections by text digest, without the texts; ``keep`` bounds it to so many batches."""
+    return KeyedTable(path, _DETECTIONS, "digest", keep=keep)
 
 
 def stream_detect_once(
-    stream: DataFrame, column: str, detector: Detector, detections: BatchTable, checkpoint: str
+    stream: DataFrame,
+    column: str,
+    detector: Detector,
+    detections: KeyedTable,
+    checkpoint: str,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    """Run the detector only on texts that no earlier batch has seen."""
+    """Run the detector only on texts that it has not answered in an earlier batch.
+
+    Answers belong to the detector's digest, so one that was changed starts anew.
+    """
+    mark = detector_digest(detector)
 
     def work(batch: DataFrame, number: int) -> None:
-        texts = (
-            batch.select(F.col(column).alias("text"))
-            .distinct()
-            .withColumn("digest", F.sha2("text", 256))
-        )
-        known = detections.before(batch.sparkSession, number).select("digest")
-        fresh = texts.join(known, "digest", "left_anti")
-        detections.write(run_detector(fresh, detector), number)
+        texts = distinct_texts(batch.select(F.col(column).alias("text")))
+        known = detections.before(batch.sparkSession, number, texts)
+        known = known.where(F.col("detector") == mark).select("digest")
+        found = run_detector(texts.join(known, "digest", "left_anti"), detector)
+        detections.write(found.select("digest", F.lit(mark).alias("detector"), "spans"), number)
 
-    return _start(stream, work, checkpoint)
+    return _start(stream, work, checkpoint, trigger)
