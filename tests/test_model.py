@@ -7,7 +7,14 @@ from veildesk.checks.tables import table
 from veildesk.operators import activity, changes, directory, tickets, views
 from veildesk.schemas import ATTACHMENT
 from veildesk.sources.attachments import read_attachment_files, with_attachment_names
-from veildesk.sources.exports import number_or_null, read_paged_export, read_resource, sideload_index
+from veildesk.sources.exports import (
+    comment_table,
+    number_or_null,
+    read_paged_export,
+    read_resource,
+    sideload_index,
+    ticket_tables,
+)
 from veildesk.staging import left_lookup, scratch_path
 
 PAGES = [
@@ -47,6 +54,33 @@ def test_export_fails_on_broken_pages(spark):
         export(spark, [(1, "{not json")]).items.collect()
 
 
+def test_fields_of_another_type_are_null(spark):
+    body = """{"tickets":[
+        {"id":1,"tags":"abc","subject":5,"custom_fields":[{"id":3,"value":"v"},{"id":"4","value":true}]},
+        {"id":2,"tags":["a",7],"group_id":"12","requester_id":9,"custom_fields":{}},
+        {"id":1,"tags":[],"subject":"again"}, "no ticket", null],
+        "users":[{"id":9,"name":"Ann","active":"yes"}]}"""
+    made = ticket_tables(spark.createDataFrame([(1, body)], "page_no long, body string"))
+    rows = {r.id: r for r in made["tickets"].collect()}
+    assert set(rows) == {1, 2}
+    assert (rows[1].subject, rows[1].tags) == ("again", [])
+    assert (rows[2].tags, rows[2].group_id, rows[2].requester_id) == (["a", "7"], None, 9)
+    assert made["custom_values"].count() == 0
+    user = made["users"].first()
+    assert (user.id, user.name, user.active) == (9, "Ann", None)
+    first = body.replace(""",
+        {"id":1,"tags":[],"subject":"again"}""", "")
+    made = ticket_tables(spark.createDataFrame([(1, first)], "page_no long, body string"))
+    row = made["tickets"].where("id = 1").first()
+    assert (row.subject, row.tags) == ("5", None)
+    values = [(r.ticket_id, r.field_id, r.pos, r.value) for r in made["custom_values"].collect()]
+    assert sorted(values, key=str) == [(1, 3, 0, "v"), (1, None, 1, "true")]
+    page = '{"comments":[{"id":5,"attachments":[{"id":1,"size":"12"},{"id":2,"size":12}]},{"id":6,"attachments":4}]}'
+    made = comment_table(spark.createDataFrame([(7, 0, page)], "ticket_id long, page_no long, body string"))
+    flat = [(r.ticket_id, r.seq, r.pos, r.size) for r in tickets.attachments_flat(made).collect()]
+    assert flat == [(7, 0, 0, None), (7, 0, 1, 12)]
+
+
 def test_last_record_per_id_wins(spark):
     rows = sideload_index(export(spark).sideloads["users"], ["page_no", "pos"])
     assert {r.id: r.name for r in rows.collect()} == {9: "b", 8: "c", 7: "d"}

@@ -11,11 +11,14 @@ from veildesk.operators import activity, changes, directory, search, tickets, vi
 from veildesk.plans.redaction import Policy
 from veildesk.sources.attachments import attachment_manifest, with_attachment_names
 from veildesk.sources.exports import (
+    comment_table,
     read_paged_export,
     read_resource,
     resource_field,
     sideload_index,
+    ticket_tables,
 )
+from veildesk.staging import staged
 
 BASE = "https://desk.example.com"
 TICKET_ITEM = (
@@ -57,7 +60,15 @@ def ticket_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("requester_id"), F.col("c_name").alias("name")
     )
-    item = F.struct("id", "subject", "status", "priority", "requester_id", "tags")
+    tags = F.when(F.col("id") % 13 == 5, F.lit('"abc"')).otherwise(F.to_json("tags"))
+    item = F.to_json(
+        F.struct(
+            "id", "subject", "status", "priority", "type", "requester_id", "assignee_id", "group_id",
+            F.col("created_at").cast("string").alias("created_at"),
+            F.col("updated_at").cast("string").alias("updated_at"),
+            F.parse_json(F.coalesce(tags, F.lit("null"))).alias("tags"),
+        )
+    )
     side = F.struct(
         F.col("requester_id").alias("id"),
         F.concat("name", F.lit(" p"), F.col("page_no").cast("string")).alias("name"),
@@ -67,19 +78,21 @@ def ticket_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.join(users, "requester_id", "left")
         .groupBy("page_no")
         .agg(
-            F.array_sort(F.collect_list(item)).alias("tickets"),
+            F.array_sort(F.collect_list(F.struct("id", item.alias("item")))).alias("tickets"),
             F.array_sort(F.collect_set(side)).alias("users"),
         )
     )
-    body = F.to_json(
+    links = F.to_json(
         F.struct(
-            "tickets",
             "users",
             F.struct((F.col("page_no") < last).alias("has_more")).alias("meta"),
             F.struct(F.lit(f"{BASE}/next").alias("next")).alias("links"),
         )
     )
-    return grouped.select("page_no", body.alias("body"))
+    body = F.concat(
+        F.lit('{"tickets":['), F.array_join("tickets.item", ","), F.lit("],"), F.substring(links, 2, 1 << 30)
+    )
+    return staged(grouped.select("page_no", body.alias("body")), "pages")
 
 
 def _export(spark, sf_dir):
@@ -90,7 +103,8 @@ def _export(spark, sf_dir):
 @check("""
     select cast(floor(id / 100) as bigint) as page_no,
            row_number() over (partition by floor(id / 100) order by id) - 1 as pos,
-           id, subject, status, requester_id, array_to_string(tags, ',') as tags
+           id, subject, status, requester_id,
+           case when id % 13 <> 5 then array_to_string(tags, ',') end as tags
     from {tickets}""")
 def read_paged_export_(spark, sf_dir):
     items = _export(spark, sf_dir).items
@@ -171,9 +185,9 @@ _NAMED = """
     left join {organizations} o on o.id = t.organization_id"""
 
 
-def _ticket_rows(spark, sf_dir):
+def _ticket_rows(spark, sf_dir, given=None):
     return tickets.ticket_rows(
-        table(spark, sf_dir, "tickets"),
+        table(spark, sf_dir, "tickets") if given is None else given,
         table(spark, sf_dir, "users"),
         table(spark, sf_dir, "groups"),
         BASE,
@@ -184,9 +198,12 @@ def _ticket_rows(spark, sf_dir):
     select t.id, '{BASE}/agent/tickets/' || t.id as url, subject, status, priority, type,
            r.name as requester, a.name as assignee, g.name as group_name,
            cast(t.created_at as varchar) as created_at, cast(t.updated_at as varchar) as updated_at,
-           coalesce(array_to_string(tags, ','), '') as tags {_NAMED}""")
+           case when t.id % 13 = 5 then '' else coalesce(array_to_string(tags, ','), '') end as tags
+           {_NAMED}""")
 def ticket_rows(spark, sf_dir):
-    return _ticket_rows(spark, sf_dir).select(
+    """From export pages, some of whose tags are no array."""
+    given = ticket_tables(ticket_pages(spark, sf_dir))["tickets"]
+    return _ticket_rows(spark, sf_dir, given).select(
         "id", "url", "subject", "status", "priority", "type", "requester", "assignee",
         F.col("group").alias("group_name"), _text("created_at"), _text("updated_at"), _tags(),
     )
@@ -235,11 +252,42 @@ def comments_with_files(spark, sf_dir):
     ).drop("files")
 
 
+def comment_pages(spark, sf_dir):
+    """Comments as JSON pages of four per ticket; some sizes are text, as bad exports have them."""
+
+    def file(f):
+        size = F.coalesce(f["size"].cast("string"), F.lit("null"))
+        odd = F.concat(F.lit('"'), size, F.lit('"'))
+        return F.struct(
+            f["id"].alias("id"), f["file_name"].alias("file_name"),
+            f["content_url"].alias("content_url"), f["content_type"].alias("content_type"),
+            F.parse_json(F.when(f["id"] % 7 == 3, odd).otherwise(size)).alias("size"),
+        )
+
+    item = F.to_json(
+        F.struct(
+            "id", "author_id", "public", "body", "plain_body", "html_body",
+            F.transform("attachments", file).alias("attachments"),
+        )
+    )
+    pages = (
+        comments_with_files(spark, sf_dir)
+        .groupBy("ticket_id", F.floor(F.col("seq") / 4).alias("page_no"))
+        .agg(F.array_sort(F.collect_list(F.struct("seq", item.alias("item")))).alias("items"))
+    )
+    body = F.concat(F.lit('{"comments":['), F.array_join("items.item", ","), F.lit("]}"))
+    return pages.select("ticket_id", "page_no", body.alias("body"))
+
+
 @check("""
-    select a.ticket_id, a.seq, a.pos, a.id, content_url, content_type, size
-    from {attachments} a join {comments} c on c.ticket_id = a.ticket_id and c.seq = a.seq""")
+    select a.ticket_id, cast(floor(a.seq / 4) as bigint) * 1048576 + place as seq, a.pos, a.id,
+           content_url, content_type, case when a.id % 7 <> 3 then size end as size
+    from {attachments} a
+    join (select ticket_id, seq, row_number() over (partition by ticket_id, floor(seq / 4)
+                                                    order by seq) - 1 as place
+          from {comments}) c on c.ticket_id = a.ticket_id and c.seq = a.seq""")
 def attachments_flat(spark, sf_dir):
-    return tickets.attachments_flat(comments_with_files(spark, sf_dir)).select(
+    return tickets.attachments_flat(comment_table(comment_pages(spark, sf_dir))).select(
         "ticket_id", "seq", F.col("pos").cast("bigint").alias("pos"), "id", "content_url",
         "content_type", "size",
     )

@@ -35,7 +35,6 @@ USER = (
     "id bigint, name string, email string, phone string, role string, "
     "organization_id bigint, active boolean, created_at string"
 )
-NAMED = "id bigint, name string"
 TICKET = (
     "id bigint, subject string, description string, status string, priority string, "
     "type string, requester_id bigint, submitter_id bigint, assignee_id bigint, "
@@ -50,15 +49,7 @@ COMMENT = (
 VAULT = "key string, type string, n bigint, placeholder string"
 
 
-def page_schema(item_key: str, item: str, sideloads: dict[str, str] | None = None) -> str:
-    """DDL of one export page: the item array, named side arrays, continuation links."""
-    arrays = {item_key: item, **(sideloads or {})}
-    fields = [f"{name}: array<struct<{_struct_body(ddl)}>>" for name, ddl in arrays.items()]
-    fields += ["meta: struct<has_more: boolean>", "links: struct<next: string>", "next_page: string"]
-    return "struct<" + ", ".join(fields) + ">"
-
-
-def _struct_body(columns: str) -> str:
+def struct_body(columns: str) -> str:
     """Turn ``a int, b array<..>`` (column DDL) into ``a:int, b:array<..>`` (struct DDL)."""
     out, depth, part = [], 0, ""
     for ch in columns + ",":
