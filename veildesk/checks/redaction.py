@@ -85,16 +85,29 @@ _IBAN_OK = f"""
         string_split(substr({_COMPACT}, 5) || substr({_COMPACT}, 1, 4), ''),
         lambda c: case when c >= 'A' then ascii(c) - 55 else cast(c as integer) end),
         lambda a, d: (case when d > 9 then a * 100 else a * 10 end + d) % 97, 0) = 1"""
+_LOCAL = r"regexp_extract(substr(a.p, a.used + 1), '[\p{L}\p{N}._%+-]+$')"
+_LABELS = r"string_split(regexp_extract(b.p, '^[\p{L}\p{N}.-]+'), '.')"
+_FULL = f"coalesce(list_position({_LABELS}, ''), len({_LABELS}) + 1) - 1"
+_DOMAIN = f"case when {_FULL} >= 2 then array_to_string(({_LABELS})[1:{_FULL}], '.') else '' end"
+# What an octet, a version before an address and an account number look like.
 _OCTET = "(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _IP_PARTS = r"(\b(?:[vV]|[vV]er\.?|[vV]ersion)\s?)?([0-9.]+)"
 
 # Values found per text, in order: (source, id, ord, value).
 FOUND = {
+    # Text is cut at every "@"; an address is the end of the piece before (what an earlier
+    # address did not use) and the labels that the piece after begins with.
     patterns.EMAIL: rf"""
         select source, id, unnest(v) as value, generate_subscripts(v, 1) as ord
-        from (select source, id, regexp_extract_all(text,
-                  '[\p{{L}}\p{{N}}._%+-]+@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+)+') as v
-              from {TEXTS})""",
+        from (select source, id, list_reduce(list_transform(string_split(text, '@'),
+                  lambda p: struct_pack(p := p, used := 0, found := cast([] as varchar[]))),
+                  lambda a, b: struct_pack(
+                      p := b.p,
+                      used := case when {_LOCAL} <> '' then length({_DOMAIN}) else 0 end,
+                      found := case when {_LOCAL} <> '' and {_DOMAIN} <> ''
+                          then list_append(a.found, {_LOCAL} || '@' || {_DOMAIN})
+                          else a.found end)).found as v
+              from {TEXTS} where contains(text, '@'))""",
     patterns.IBAN: rf"""
         select source, id, value, ord
         from (select source, id, unnest(v) as value, generate_subscripts(v, 1) as ord
@@ -178,9 +191,7 @@ _IBANS = """
     "detect_iban",
     f"""
     select id, value, length(value) as n_chars
-    from (select id, unnest(regexp_extract_all(text,
-              '\\b[A-Z]{{2}}\\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,4}})?\\b')) as value
-          from ({_IBANS}))
+    from (select id, split_part(substr(text, 7), ',', 1) as value from ({_IBANS}))
     where {_IBAN_OK}""",
 )
 def detect_iban(spark, sf_dir):
@@ -525,7 +536,7 @@ _WITH_KNOWN = f"""
 MERGED = _merged_sql(f"select * from {_WITH_KNOWN}", "source, id")
 
 
-def _redacted_sql(placeholder: str, merged: str = MERGED, prefix: str = "") -> str:
+def _redacted_sql(placeholder: str, merged: str = MERGED) -> str:
     """Texts rebuilt from merged spans, each replaced by ``placeholder``."""
     return f"""
     (select source, id, coalesce(clean, text) as text

@@ -399,6 +399,7 @@ def user_search(spark, sf_dir):
     return directory.user_search(table(spark, sf_dir, "users"), "002")
 
 
+# Fixed value in the SQL: the form of an ISO timestamp, which needs no scan.
 @check(r"""
     select source, id, regexp_matches(text, '[\p{L}\p{N}]') and not regexp_full_match(text,
         '\d{4}-\d\d-\d\dT\d\d:\d\d(:\d\d(\.\d+)?)?(Z|[+-]\d\d:?\d\d)?') as needs_scan
@@ -842,6 +843,41 @@ def update_tickets(spark, sf_dir):
     )
 
 
+@check(f"""
+    with valid as (select * from {_PATCHES} where status is distinct from 'bogus'
+                   and ticket_id in (select id from {{tickets}})),
+    folded as (
+        select ticket_id as id, arg_max(status, seq) filter (status <> '') as status,
+               arg_max(assignee_id, seq) filter (assignee_id is not null) as assignee_id,
+               count(comment) as n_said
+        from valid group by ticket_id),
+    old as (select ticket_id, count(*) as n from {{comments}} group by ticket_id)
+    select f.id, coalesce(f.status, t.status) as status, r.name as requester, a.name as assignee,
+           '{BASE}/agent/tickets/' || f.id as url, coalesce(n, 0) + n_said as n_comments
+    from folded f join {{tickets}} t on t.id = f.id left join {{users}} r on r.id = t.requester_id
+    left join {{users}} a on a.id = coalesce(f.assignee_id, t.assignee_id)
+    left join old on old.ticket_id = f.id""")
+def updated_details(spark, sf_dir):
+    """The detail that a write returns: touched tickets only, with their whole threads."""
+    done = changes.update_tickets(
+        table(spark, sf_dir, "tickets"),
+        table(spark, sf_dir, "custom_values"),
+        spark.sql(f"select * from {_PATCHES}", events=table(spark, sf_dir, "events")).drop(
+            "field_id", "field_value"
+        ),
+        comments_with_files(spark, sf_dir),
+    )
+    detail = details(spark, sf_dir, done.tickets, done.custom_values, done.thread)
+    header = changes.changed_details(detail.header, done.touched)
+    counts = detail.thread.groupBy(F.col("ticket_id").alias("id")).agg(
+        F.count("*").alias("n_comments")
+    )
+    return header.join(counts, "id", "left").select(
+        "id", "status", "requester", "assignee", "url",
+        F.coalesce("n_comments", F.lit(0)).cast("bigint").alias("n_comments"),
+    )
+
+
 _ACTIONS = """
     (select p_partkey as macro_id, 0 as pos, 'status' as field,
             case when p_size > 25 then 'solved' else 'open' end as value
