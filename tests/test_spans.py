@@ -210,3 +210,13 @@ def test_match_known_is_whole_word_case_sensitive_longest_first(spark):
 def test_settings():
     assert comma_list(" a, b ,,c") == ["a", "b", "c"]
     assert [probability(x) for x in (None, 0, 0.3, 1, 2)] == [0.5, 0.5, 0.3, 1, 0.5]
+
+
+@pytest.mark.parametrize("n", [120, 124, 125, 126, 127, 128, 129, 130, 500])
+def test_widen_over_long_words(spark, n):
+    for word in ("x" * n, "a." * (n // 2) + "b", "@" * 3 + "x" * n):
+        text = f"so {word} said"
+        at = text.index("x") if "x" in word else 3
+        for start, end in ((at, at + 1), (3 + len(word) - 1, 3 + len(word)), (at + 5, at + 7)):
+            out = run(spark, text, [(start, end, "X")], S.widen_spans)
+            assert [text[s[0] : s[1]] for s in out] == [word.lstrip("@")]

@@ -34,6 +34,9 @@ NOT_PROPAGATED = ("PERSON_ATTRIBUTE", "PERSON_ROLE_OR_TITLE", "FINANCIAL_AMOUNT"
 # The rest of a word after one character of context. Read on reversed text it is the
 # part of the word before a position, because the rule is the same in both directions.
 _WORD_REST = f"(?s)\\A.([{WORD}]*+(?:(?<=[{WORD}])[{CONNECTOR}][{WORD}]++)*+)"
+# Characters beside a span that are read to find the rest of its word; nearly every word ends
+# within them, and for one that may not, all of the text is read.
+_NEAR = 128
 
 
 def span(start: Column, end: Column, kind: Column) -> Column:
@@ -54,14 +57,28 @@ def keep_entities(spans: Column, kept: Iterable[str]) -> Column:
 
 
 def widen_spans(text: Column, spans: Column) -> Column:
-    """Grow each span to the whole word it sits in, then shed punctuation at its edges."""
+    """Spans moved outward to word ends, then inward past punctuation; empty ones go.
+
+    Each span reads a few characters on either side, so the work follows the spans and not
+    the length of the text around them.
+    """
+
+    def rest(near: Column, whole: Column) -> Column:
+        found = F.length(F.regexp_extract(near, _WORD_REST, 1))
+        return let(
+            found,
+            lambda n: F.when(n < _NEAR - 2, n).otherwise(
+                F.length(F.regexp_extract(whole, _WORD_REST, 1))
+            ),
+        )
 
     def grow(s: Column) -> Column:
-        before = F.reverse(F.substring(text, F.lit(1), s["start"] + 1))
-        after = F.substring(text, s["end"], F.length(text))
+        begin = F.greatest(s["start"] + 2 - _NEAR, F.lit(1))
+        before = F.reverse(F.substring(text, begin, s["start"] + 2 - begin))
+        after = F.substring(text, s["end"], F.lit(_NEAR))
         return span(
-            s["start"] - F.length(F.regexp_extract(before, _WORD_REST, 1)),
-            s["end"] + F.length(F.regexp_extract(after, _WORD_REST, 1)),
+            s["start"] - rest(before, F.reverse(F.substring(text, F.lit(1), s["start"] + 1))),
+            s["end"] + rest(after, F.substring(text, s["end"], F.length(text))),
             s["type"],
         )
 

@@ -1,8 +1,9 @@
-"""URLs of the helpdesk's own site: scan their decoded parts, keep the URL usable.
+"""Addresses inside the helpdesk's own site, taken apart so that each part is a text.
 
-Path segments and query values are scanned one by one; only changed parts are encoded
-again and an untouched URL comes back exactly as it was. Two deliberate extensions,
-each with a switch: fragments are scanned too, and repeated query keys are all kept.
+Path segments, query values and the fragment are decoded and redacted as texts of their own;
+a part that did not change keeps its spelling, so an address without personal data is the
+same string as before. Whether fragments count, and whether a key that repeats is kept each
+time, is up to the caller.
 """
 
 from __future__ import annotations
