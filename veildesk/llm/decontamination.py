@@ -225,15 +225,15 @@ def decontaminate(
         )
     )
     verdicts = words.join(items, "text_hash", "left")
-    (n_hit,) = fresh(spots, "n_hit")
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     nothing = F.sha2(F.lit(""), 256)
     return spots.drop("spots").join(verdicts, "text_hash", "left").select(
         id_col,
         "n_words",
-        F.coalesce(n_hit, F.lit(0).cast("bigint")).alias("n_hit"),
+        n_hit.alias("n_hit"),
         F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
         F.coalesce("items_sha256", nothing).alias("items_sha256"),
-        (F.coalesce(n_hit, F.lit(0)) > 0).alias("contaminated"),
+        (n_hit > 0).alias("contaminated"),
     )
 
 
