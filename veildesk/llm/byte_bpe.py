@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from veildesk.llm.common import id_field, map_rows, once_per_worker
 
-#: Distinct pre-tokens whose ids a worker remembers; when full it starts anew.
+#: Distinct pre-tokens whose ids a worker remembers in each of two generations.
 REMEMBERED = 400_000
 
 # White space, letters and numbers among U+0000..U+00FF. Texts within this range
@@ -42,8 +42,11 @@ class PreTokens:
         self._narrow = re.compile(_in_classes(pattern, _SPACE, _LETTER, _NUMBER))
 
     def __call__(self, text: str) -> list[str]:
-        narrow = text.isascii() or max(text) <= "\xff"
-        return (self._narrow if narrow else self._any).findall(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._any.findall(text)
+        return self._narrow.findall(text)
 
 
 def _in_classes(pattern: str, space: str, letter: str, number: str) -> str:
@@ -127,8 +130,7 @@ class ByteBpe:
         for piece, rank in ranks.items():
             self._bytes[rank] = piece
         self._shown = byte_characters()
-        self._remembered = remembered
-        self._known = _Memo(self._encode_piece)
+        self._known = Memo(self._encode_piece, remembered)
 
     def _encode_piece(self, piece: str) -> bytes:
         raw = piece.encode()
@@ -143,21 +145,31 @@ class ByteBpe:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if len(self._known) > self._remembered:
-            self._known.clear()
         return b"".join(map(self._known.__getitem__, self._cut(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-class _Memo(dict):
-    def __init__(self, make):
+class Memo(dict):
+    """``make(key)`` for keys seen lately: two generations of at most ``limit`` keys.
+
+    When the young generation is full it becomes the old one; a key that is used again moves
+    back to the young one, so keys that are frequent stay while rare ones go.
+    """
+
+    def __init__(self, make, limit: int):
         super().__init__()
-        self._make = make
+        self._make, self._limit, self._old = make, limit, {}
 
     def __missing__(self, key):
-        value = self[key] = self._make(key)
+        if len(self) >= self._limit:
+            self._old = dict(self)
+            self.clear()
+        value = self._old.pop(key, None)
+        if value is None:
+            value = self._make(key)
+        self[key] = value
         return value
 
 

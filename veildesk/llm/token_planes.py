@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veildesk.llm.byte_bpe import REMEMBERED, PreTokens, _Memo
+from veildesk.llm.byte_bpe import REMEMBERED, Memo, PreTokens
 from veildesk.llm.common import map_rows, once_per_worker, open_folder, shared_folder
 from veildesk.staging import staged
 
@@ -154,30 +154,35 @@ def tokenizer_encoder(path: str, pattern: str, remembered: int = REMEMBERED) ->
     """``text -> ids`` by a byte-level tokenizer file of the tokenizers library.
 
     Its pre-tokens depend on the pattern alone and are encoded independently of each other, so
-    the library is asked once for each distinct pre-token. Strings of special tokens in a text
-    are ordinary text.
+    the library's model is asked once for each pre-token that a worker has not met lately.
+    Strings of special tokens in a text are ordinary text.
     """
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    model = Tokenizer.from_file(path).model
+    shown = byte_level_characters()
     cut = PreTokens(pattern)
 
     def one(piece: str) -> bytes:
-        return np.array(tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        tokens = model.tokenize("".join([shown[b] for b in piece.encode()]))
+        return np.array([t.id for t in tokens], "<u4").tobytes()
 
-    known = _Memo(one)
+    known = Memo(one, remembered)
 
     def encode(text: str | None) -> bytes:
-        if not text:
-            return b""
-        if len(known) > remembered:
-            known.clear()
-        return b"".join(map(known.__getitem__, cut(text)))
+        return b"".join(map(known.__getitem__, cut(text))) if text else b""
 
     return encode
 
 
+def byte_level_characters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: visible Latin-1
+    characters stand for themselves, the other bytes follow from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
+
+
 def write_tokens(
     docs: DataFrame,
     path: str,
