@@ -346,5 +346,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row).alias("row"))
     found = components(fps.withColumnRenamed(fp, "fp"), order)
-    keep = found.select(F.col("best.row").alias(row)).distinct()
-    return numbered.join(staged(keep, "kept-rows"), row, "left_semi").drop(row)
+    keep = staged(found.select(F.col("best.row").alias(row)).distinct(), "kept-rows")
+    # A number per kept document grows with the documents, so it is never broadcast; hashing
+    # the numbers spares a sort of the texts.
+    return numbered.join(keep.hint("shuffle_hash"), row, "left_semi").drop(row)
