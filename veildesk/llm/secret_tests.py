@@ -296,7 +296,8 @@ def without_secrets(
     clean = let(
         spans,
         lambda x: F.when(
-            F.size(x) > 0, redact(text, merge_spans(text, x), lambda s: F.lit("[SECRET]"))
+            F.size(x) > 0,
+            let(merge_spans(text, x), lambda m: redact(text, m, lambda s: F.lit("[SECRET]"))),
         ).otherwise(text),
     )
     bound = found.select("row", clean.alias("clean"))
