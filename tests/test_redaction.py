@@ -88,6 +88,17 @@ def test_nested_columns_maps_and_json(spark):
     assert row.body == '{"k":7,"to":["[EMAIL_ADDRESS_3]",{"deep":"call [EMAIL_ADDRESS_1]"}]}'
 
 
+def test_deeply_nested_columns_with_every_option(spark):
+    df = spark.sql("""
+        select 1L as id, array(array(map('k', 'mail a@b.co'))) as deep,
+               named_struct('list', array('x', 'https://d.example/t/c@d.co?x=a@b.co')) as tree""")
+    policy = R.Policy(pseudonyms=False, site="https://d.example", allow=["never there"])
+    row = R.sanitize_df(df, ["id"], ["deep", "tree"], policy).first()
+    mail = "%5BEMAIL_ADDRESS%5D"
+    assert row.deep == [[{"k": "mail [EMAIL_ADDRESS]"}]]
+    assert row.tree.list == ["x", f"https://d.example/t/{mail}?x={mail}"]
+
+
 def test_urls(spark):
     rows = [
         (1, "https://d.example/t/a%40b.co?x=1"),

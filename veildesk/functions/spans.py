@@ -37,6 +37,7 @@ _WORD_REST = f"(?s)\\A.([{WORD}]*+(?:(?<=[{WORD}])[{CONNECTOR}][{WORD}]++)*+)"
 # Characters beside a span that are read to find the rest of its word; nearly every word ends
 # within them, and for one that may not, all of the text is read.
 _NEAR = 128
+_PAGE = 512
 
 
 def span(start: Column, end: Column, kind: Column) -> Column:
@@ -50,6 +51,21 @@ def cut(text: Column, start: Column, end: Column) -> Column:
     return F.substring(text, start + 1, F.greatest(end - start, F.lit(0)))
 
 
+def pages_of(text: Column) -> Column:
+    """The text in pages of ``_PAGE`` characters. Finding a character counts all those before
+    it, so many cuts from a long text are made from the few pages that they touch."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0))
+
+
+def cut_pages(pages: Column, start: Column, end: Column) -> Column:
+    """``text[start:end]`` from ``pages_of(text)``; empty when the bounds are reversed."""
+    first, last = F.floor(start / _PAGE).cast("int"), F.floor((end - 1) / _PAGE).cast("int")
+    near = F.slice(pages, first + 1, F.greatest(last - first + 1, F.lit(0)))
+    return F.substring(
+        F.array_join(near, ""), start - first * _PAGE + 1, F.greatest(end - start, F.lit(0))
+    )
+
+
 def keep_entities(spans: Column, kept: Iterable[str]) -> Column:
     """Drop spans whose type is deliberately left readable."""
     kept = [name.upper() for name in kept]
@@ -65,33 +81,35 @@ def widen_spans(text: Column, spans: Column) -> Column:
 
     def rest(near: Column, whole: Column) -> Column:
         found = F.length(F.regexp_extract(near, _WORD_REST, 1))
-        return let(
-            found,
-            lambda n: F.when(n < _NEAR - 2, n).otherwise(
-                F.length(F.regexp_extract(whole, _WORD_REST, 1))
-            ),
+        return F.when(found < _NEAR - 2, found).otherwise(
+            F.length(F.regexp_extract(whole, _WORD_REST, 1))
         )
 
-    def grow(s: Column) -> Column:
-        begin = F.greatest(s["start"] + 2 - _NEAR, F.lit(1))
-        before = F.reverse(F.substring(text, begin, s["start"] + 2 - begin))
-        after = F.substring(text, s["end"], F.lit(_NEAR))
-        return span(
-            s["start"] - rest(before, F.reverse(F.substring(text, F.lit(1), s["start"] + 1))),
-            s["end"] + rest(after, F.substring(text, s["end"], F.length(text))),
-            s["type"],
-        )
+    def widened(pages: Column) -> Column:
+        def grow(s: Column) -> Column:
+            before = cut_pages(pages, F.greatest(s["start"] + 1 - _NEAR, F.lit(0)), s["start"] + 1)
+            at = F.greatest(s["end"] - 1, F.lit(0))
+            after = cut_pages(pages, at, at + _NEAR)
+            return span(
+                s["start"]
+                - rest(F.reverse(before), F.reverse(F.substring(text, F.lit(1), s["start"] + 1))),
+                s["end"] + rest(after, F.substring(text, s["end"], F.length(text))),
+                s["type"],
+            )
 
-    def shed(s: Column) -> Column:
-        value = cut(text, s["start"], s["end"])
-        no_lead = F.regexp_replace(value, f"\\A[{LEADING_PUNCT}]++", "")
-        core = F.regexp_replace(no_lead, f"(?<![{TRAILING_PUNCT}])[{TRAILING_PUNCT}]++\\z", "")
-        return let(
-            s["end"] - F.length(no_lead), lambda at: span(at, at + F.length(core), s["type"])
+        def shed(s: Column) -> Column:
+            value = cut_pages(pages, s["start"], s["end"])
+            no_lead = F.regexp_replace(value, f"\\A[{LEADING_PUNCT}]++", "")
+
+            core = F.regexp_replace(no_lead, f"(?<![{TRAILING_PUNCT}])[{TRAILING_PUNCT}]++\\z", "")
+            at = s["end"] - F.length(no_lead)
+            return span(at, at + F.length(core), s["type"])
+
+        return F.filter(
+            F.transform(F.transform(spans, grow), shed), lambda s: s["end"] > s["start"]
         )
 
-    grown = F.transform(spans, lambda s: let(grow(s), shed))
-    return F.filter(grown, lambda s: s["end"] > s["start"])
+    return let(pages_of(text), widened)
 
 
 def allow_terms(text: Column, spans: Column, terms: Iterable[str]) -> Column:
@@ -117,11 +135,8 @@ def allow_terms(text: Column, spans: Column, terms: Iterable[str]) -> Column:
 
     def trimmed(p: Column) -> Column:
         value = cut(text, p["start"], p["end"])
-        no_lead = F.regexp_replace(value, f"\\A[{SPACE}]++", "")
-        return let(
-            p["end"] - F.length(no_lead),
-            lambda at: span(at, at + F.length(strip_space(value)), p["type"]),
-        )
+        at = p["end"] - F.length(F.regexp_replace(value, f"\\A[{SPACE}]++", ""))
+        return span(at, at + F.length(strip_space(value)), p["type"])
 
     def carve(found: Column, ranges: Column) -> Column:
         pieces = F.flatten(
@@ -216,19 +231,22 @@ def merge_spans(text: Column, spans: Column) -> Column:
 
 
 def redact(text: Column, merged: Column, placeholder: Callable[[Column], Column]) -> Column:
-    """``text`` with every merged span replaced by ``placeholder(span)``."""
+    """``text`` with every merged span replaced by ``placeholder(span)``.
 
-    def rebuild(spans: Column) -> Column:
+    ``merged`` is used several times: a column or a bound value, not an expression.
+    """
+
+    def rebuild(spans: Column, pages: Column) -> Column:
         def piece(s: Column, i: Column) -> Column:
             previous = F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(F.lit(0))
-            return F.concat(cut(text, previous, s["start"]), placeholder(s))
+            return F.concat(cut_pages(pages, previous, s["start"]), placeholder(s))
 
         tail = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
-        return F.when(
-            F.size(spans) > 0, F.concat(F.array_join(F.transform(spans, piece), ""), tail)
-        ).otherwise(text)
+        return F.concat(F.array_join(F.transform(spans, piece), ""), tail)
 
-    return let(merged, rebuild)
+    return F.when(
+        F.size(merged) > 0, let(pages_of(text), lambda pages: rebuild(merged, pages))
+    ).otherwise(text)
 
 
 def plain_placeholder(s: Column) -> Column:
@@ -253,20 +271,29 @@ def known_values(text: Column, spans: Column) -> Column:
 
 def first_types(known: Column) -> Column:
     """One entry per value, the first type winning, longest value first."""
+    placed = F.array_sort(
+        F.transform(
+            known, lambda k, i: F.struct(k["value"].alias("value"), i.alias("seq"), k["type"].alias("type"))
+        )
+    )
+
+    # Sorted by value and place, the first of each value is the one whose neighbour differs.
     def once(entries: Column) -> Column:
-        return let(
-            F.transform(entries, lambda k: k["value"]),
-            lambda names: F.filter(
-                entries, lambda k, i: F.array_position(names, k["value"]) == (i + 1).cast("bigint")
-            ),
+        nothing = F.lit(None).cast("struct<value:string,seq:int,type:string>")
+        before = F.concat(F.array(nothing), entries)
+        marked = F.zip_with(
+            entries,
+            F.slice(before, F.lit(1), F.size(entries)),
+            lambda k, b: F.when(b.isNull() | (k["value"] != b["value"]), k),
         )
+        return F.filter(marked, lambda k: k.isNotNull())
 
     ranked = F.array_sort(
         F.transform(
-            let(known, once),
-            lambda k, i: F.struct(
+            let(placed, once),
+            lambda k: F.struct(
                 (-F.length(k["value"])).alias("size"),
-                i.alias("seq"),
+                k["seq"].alias("seq"),
                 k["value"].alias("value"),
                 k["type"].alias("type"),
             ),

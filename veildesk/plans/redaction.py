@@ -44,7 +44,7 @@ from veildesk.plans.vault import (
     keyed,
     number_values,
 )
-from veildesk.staging import staged, with_found
+from veildesk.staging import allow_deep_expressions, staged, with_found
 
 
 @dataclass(frozen=True)
@@ -278,6 +278,7 @@ def merged_cells(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy
 ) -> DataFrame:
     """Every text with something to redact and its final, disjoint spans."""
+    allow_deep_expressions(df.sparkSession)
     if policy.narrow:
         return _merged_per_record(df, keys, columns, policy)
     return _merged_in_scope(record_cells(df, keys, columns, policy), policy)
@@ -331,6 +332,7 @@ def sanitize(
 
     With numbered placeholders the returned vault holds ``vault`` plus the new values.
     """
+    allow_deep_expressions(df.sparkSession)
     vault = empty_vault(df.sparkSession) if vault is None else vault
     if policy.narrow and not policy.pseudonyms:
         pairs = _sanitize_narrow(df, columns, policy)

@@ -75,6 +75,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def allow_deep_expressions(spark: SparkSession) -> None:
+    """Spark resolves nested lambdas level by level and gives up after a number of passes; a
+    whole redaction in one expression, over nested columns, can need more than the default."""
+    setting, passes = "spark.sql.analyzer.maxIterations", 400
+    if int(spark.conf.get(setting, "100")) < passes:
+        spark.conf.set(setting, str(passes))
+
+
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Number the rows of each group from 1 in ``order``, without a task for a whole group.
 
