@@ -16,6 +16,7 @@ NULL_KEY_SALTS = 256
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
+_OWN_ROOT: list[str] = []
 _RUN: ContextVar[str | None] = ContextVar("veildesk_run", default=None)
 
 
@@ -30,10 +31,11 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.TemporaryDirectory(prefix="veildesk-")
-    atexit.register(own.cleanup)
-    spark.conf.set("spark.checkpoint.dir", own.name)
-    return own.name
+    if not _OWN_ROOT:
+        own = tempfile.TemporaryDirectory(prefix="veildesk-")
+        atexit.register(own.cleanup)
+        _OWN_ROOT.append(own.name)
+    return _OWN_ROOT[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
