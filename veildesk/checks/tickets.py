@@ -784,7 +784,7 @@ def _field_text(values: DataFrame) -> DataFrame:
                                     where conv_id = ticket_id), -1) + 1 + seq, comment, true
         from valid where comment is not null),
     thread as (select ticket_id, count(*) as n_comments, count_if(public) as n_public,
-                      arg_max(body, seq) as last_comment, max(seq) as last_seq
+                      arg_max(body, seq) filter (body is not null) as last_comment, max(seq) as last_seq
                from said group by ticket_id),
     bad as (select ticket_id, count(*) as n_rejected, count_if(unknown) as n_unknown
             from given where status = 'bogus' or unknown group by ticket_id)
@@ -822,7 +822,7 @@ def update_tickets(spark, sf_dir):
     thread = done.thread.groupBy("ticket_id").agg(
         F.count("*").alias("n_comments"),
         F.count_if(said).alias("n_public"),
-        F.max_by("body", "seq").alias("last_comment"),
+        F.max_by("body", F.when(F.col("body").isNotNull(), F.col("seq"))).alias("last_comment"),
         F.max("seq").alias("last_seq"),
     )
     touched = done.touched.select(F.col("id").alias("ticket_id"), F.lit(True).alias("touched"))
@@ -914,7 +914,7 @@ _APPLIED = """
                arg_max(f11, seq) filter (f11 is not null) as f11,
                count(said) as n_said, arg_max(said, seq) filter (said is not null) as last_said
         from uses group by ticket_id),
-    old as (select ticket_id, count(*) as n, arg_max(body, seq) as last_body
+    old as (select ticket_id, count(*) as n, arg_max(body, seq) filter (body is not null) as last_body
             from {{comments}} group by ticket_id)
     select u.ticket_id, u.macro_id, u.seq, u.status as applied_status,
            u.priority as applied_priority, u.f11 as applied_field, t.id is null as rejected,
@@ -947,7 +947,7 @@ def apply_macros(spark, sf_dir):
         F.coalesce(F.array_join("tags", ","), F.lit("")).alias("tags"), "requester_id",
     )
     thread = done.thread.groupBy("ticket_id").agg(
-        F.count("*").alias("n_comments"), F.max_by("body", "seq").alias("last_comment")
+        F.count("*").alias("n_comments"), F.max_by("body", F.when(F.col("body").isNotNull(), F.col("seq"))).alias("last_comment")
     )
     good = (
         applied.join(final, "ticket_id")
