@@ -129,3 +129,30 @@ def test_battery_tells_random_strings(documents_of):
     # Strings without a letter and a digit are no candidates, so a few random ones are missed.
     assert sum(found[i] for i in range(600)) > 540
     assert sum(found[1000 + i] for i in range(600)) < 30
+
+
+def random_keys(count, seed, length=40):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(S.ALPHABETS[2][2], k=length - 2)) + "a1" for _ in range(count)]
+
+
+def test_a_key_is_found_in_a_table_of_any_size(documents_of):
+    keys = [k for k in random_keys(60, 11) if battery_by_hand(k)[1] > 0.01]
+    assert any(battery_by_hand(k)[1] < 0.4 for k in keys)
+    for key in [k for k in keys if battery_by_hand(k)[1] < 0.4][:2]:
+        assert "random" in S.scan(documents_of([(1, f"see {key} here")])).first()["spans"]
+    for size in (2, 5, len(keys)):
+        docs = documents_of([(i, f"see {k} here") for i, k in enumerate(keys[:size])])
+        assert all("random" in r["spans"] for r in S.scan(docs).collect())
+
+
+def test_thresholds_need_evidence():
+    def row(ps):
+        return {f"above_{i}": sum(p > t for p in ps) for i, t in enumerate(S.THRESHOLDS)}
+
+    assert S.lowest_threshold(row([]), 0.1) == S.lowest_threshold(row([0.3]), 0.1) == 0.001
+    assert S.lowest_threshold(row([0.3] * 4), 0.1) == 0.001
+    uniform = [(i + 0.5) / 1000 for i in range(1000)]
+    assert S.lowest_threshold(row(uniform), 0.1) == 0.001
+    assert S.lowest_threshold(row([*uniform, *[0.02] * 1000]), 0.1) == 0.03
+    assert S.lowest_threshold(row([0.3] * 1000), 0.1) <= 0.5

@@ -8,15 +8,18 @@ above and below the alphabet's middle, and serial correlation of neighbours. The
 the three p-values, corrected for there being three, is the candidate's p-value.
 
 Random candidates have uniform p-values, others have small ones, so among candidates of one
-encoding and length band the share of random ones follows from the p-values above a half. Each
-band accepts p-values above the lowest threshold at which the estimated share of non-random
-candidates among the accepted stays within the false-discovery limit. Short strings, on which
-the tests have little power, thereby get thresholds of their own. The counts cover all
-documents; a band is one of at most 4 x 32, so the table of thresholds has a fixed bound.
+encoding and length band the share of random ones follows from the p-values above a half. A
+candidate is accepted if its p-value is above 0.001, whatever the table's size. A band's
+threshold is raised only as far as its counts show, with confidence, that the share of
+non-random candidates among the accepted exceeds the false-discovery limit; few candidates
+show nothing. Short strings, on which the tests have little power, thereby get thresholds of
+their own. The counts cover all documents; a band is one of at most 4 x 63, so the table of
+thresholds has a fixed bound.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +61,8 @@ ALPHABETS = (
 #: Thresholds tried for a band, from the most to the least inclusive.
 THRESHOLDS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.5)
 FALSE_DISCOVERIES = 0.1
+#: Normal quantile of the confidence, 99%, that raises a band's threshold.
+CONFIDENCE = 2.326
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
@@ -204,14 +209,28 @@ def thresholds(found: DataFrame, limit: float = FALSE_DISCOVERIES) -> dict[tuple
 
 
 def lowest_threshold(row, limit: float) -> float:
-    """The lowest threshold whose estimated share of false discoveries is within the limit."""
+    """The lowest threshold at which the counts do not show too many false discoveries.
+
+    The first one holds for every band, however few candidates it has. A higher one is taken
+    only if, with confidence, more than ``limit`` of what the lower one accepts is not random:
+    of random strings above ``t`` a share of 0.5 / (1 - t) lies above a half.
+    """
     half = THRESHOLDS[-1]
-    random = min(row["n"], row[f"above_{len(THRESHOLDS) - 1}"] / (1 - half))
-    for i, t in enumerate(THRESHOLDS):
-        accepted = row[f"above_{i}"]
-        if accepted and 1 - random * (1 - t) / accepted <= limit:
+    high = row[f"above_{len(THRESHOLDS) - 1}"]
+    for i, t in enumerate(THRESHOLDS[:-1]):
+        random = upper_bound(high, row[f"above_{i}"]) * (1 - t) / (1 - half)
+        if 1 - random <= limit:
             return t
-    return 1.0
+    return half
+
+
+def upper_bound(hits: int, n: int) -> float:
+    """One-sided upper bound (Wilson's) on a share of which ``hits`` of ``n`` were seen."""
+    if not n:
+        return 1.0
+    z, share = CONFIDENCE, hits / n
+    middle = share + z * z / (2 * n)
+    return (middle + z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
 def _text_spans(docs: DataFrame, text_col: str, columns: list[Column]) -> DataFrame:
