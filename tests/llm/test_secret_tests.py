@@ -156,3 +156,19 @@ def test_thresholds_need_evidence():
     assert S.lowest_threshold(row(uniform), 0.1) == 0.001
     assert S.lowest_threshold(row([*uniform, *[0.02] * 1000]), 0.1) == 0.03
     assert S.lowest_threshold(row([0.3] * 1000), 0.1) <= 0.5
+
+
+def test_copies_do_not_move_a_threshold(documents_of):
+    keys = random_keys(200, 12)
+    known = {t: battery_by_hand(t)[1] for t in random_keys(400, 13)}
+    low = next(t for t, p in known.items() if 0.01 < p < 0.05)
+    high = next(t for t, p in known.items() if p > 0.6)
+    weak = [t for t in random_keys(6000, 14) if 0.001 < battery_by_hand(t)[1] < 0.05]
+    for copy, others in ((low, []), (high, weak)):
+        once = [(i, f"see {t} here") for i, t in enumerate([copy, *keys, *others])]
+        many = [*once, *[(10_000 + i, f"see {copy} here") for i in range(1000)]]
+        alone, copied = (
+            S.thresholds(documents_of(rows).select(S.candidates(F.col("text")).alias("candidates")))
+            for rows in (once, many)
+        )
+        assert alone == copied and (max(alone.values()) > 0.001) == bool(others)

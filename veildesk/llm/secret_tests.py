@@ -13,7 +13,7 @@ candidate is accepted if its p-value is above 0.001, whatever the table's size.
 threshold is raised only as far as its counts show, with confidence, that the share of
 non-random candidates among the accepted exceeds the false-discovery limit; few candidates
 show nothing. Short strings, on which the tests have little power, thereby get thresholds of
-their own. The counts cover all documents; a band is one of at most 4 x 63, so the table of
+their own. The counts cover the distinct strings of all documents; a band is one of at most 4 x 63, so the table of
 thresholds has a fixed bound.
 """
 
@@ -100,7 +100,8 @@ def base_spans(text: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """``array<struct<start,end,encoding,n,p>>`` of the runs that may be random."""
+    """``array<struct<start,end,encoding,n,token,p>>`` of the runs that may be random; ``token``
+    is a hash of the run without its padding."""
 
     def entry(hit: Column) -> Column:
         token = F.regexp_replace(hit["value"], "=+$", "")
@@ -128,6 +129,7 @@ def _tested(token: Column, number: int, hit: Column) -> Column:
         hit["end"].alias("end"),
         F.lit(number).alias("encoding"),
         F.length(token).alias("n"),
+        F.xxhash64(token).alias("token"),
         let(codes, lambda x: p_value(x, len(alphabet))).alias("p"),
     )
 
@@ -192,10 +194,16 @@ def band(length: Column) -> Column:
 
 
 def thresholds(found: DataFrame, limit: float = FALSE_DISCOVERIES) -> dict[tuple[int, int], float]:
-    """``{(encoding, band): threshold}`` from rows with an array ``candidates``."""
+    """``{(encoding, band): threshold}`` from rows with an array ``candidates``.
+
+    Each distinct token counts once, so copies do not outweigh the others of their band.
+    """
     each = found.select(F.inline("candidates"))
+    tokens = each.groupBy("encoding", band(F.col("n")).alias("band"), "token").agg(
+        F.first("p").alias("p")  # a token's p-value is the same everywhere
+    )
     counts = (
-        each.groupBy("encoding", band(F.col("n")).alias("band"))
+        tokens.groupBy("encoding", "band")
         .agg(
             F.count("*").alias("n"),
             *[
