@@ -81,3 +81,19 @@ def test_odd_rows(documents_of, odd_rows, expected):
     strip = lambda rows: sorted([(r[0], *r[2:]) for r in rows], key=repr)
     assert strip(found) == strip(by_hand(odd_rows, expected))
     assert P.token_files(docs.where("1 = 0"), PATH, PATTERN, 2).count() == 0
+
+
+def test_added_tokens_have_their_own_ids(documents_of):
+    tokenizer = Tokenizer.from_file(PATH)
+    ids = lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+    token = next(iter(tokenizer.get_added_tokens_decoder().values())).content
+    texts = [
+        f"one {token} two", token, token * 3, f"{token}\n {token}é", f"x{token[:-1]} {token}", f"a  {token}  b",
+        f"漢{token}🎉", "plain",
+    ]
+    encode = P.tokenizer_encoder(PATH, PATTERN)
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == ids(text)
+    rows = list(enumerate(texts))
+    found = sorted(tuple(r) for r in P.token_files(documents_of(rows), PATH, PATTERN, 2).collect())
+    assert found == by_hand(rows, ids)

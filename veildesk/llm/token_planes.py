@@ -16,6 +16,7 @@ their range, so a document's place among all ids follows from the counts of earl
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -153,13 +154,21 @@ class PlaneReader:
 def tokenizer_encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> Callable:
     """``text -> ids`` by a byte-level tokenizer file of the tokenizers library.
 
-    Its pre-tokens depend on the pattern alone and are encoded independently of each other, so
-    the library's model is asked once for each pre-token that a worker has not met lately.
-    Strings of special tokens in a text are ordinary text.
+    A text is cut at the file's added tokens first, as the library does, and they give their own
+    ids. The pre-tokens between them depend on the pattern alone and are encoded independently of
+    each other, so the library's model is asked once for each one that a worker has not met lately.
     """
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path).model
+    tokenizer = Tokenizer.from_file(path)
+    model = tokenizer.model
+    added = {
+        t.content: np.array([number], "<u4").tobytes()
+        for number, t in plain_added_tokens(tokenizer).items()
+    }
+    # The leftmost and then the longest one, as the library's automaton finds them.
+    marks = sorted(map(re.escape, added), key=len, reverse=True)
+    split = re.compile(f"({'|'.join(marks)})").split if added else lambda text: [text]
     shown = byte_level_characters()
     cut = PreTokens(pattern)
 
@@ -170,11 +179,29 @@ def tokenizer_encoder(path: str, pattern: str, remembered: int = REMEMBERED) ->
     known = Memo(one, remembered)
 
     def encode(text: str | None) -> bytes:
-        return b"".join(map(known.__getitem__, cut(text))) if text else b""
+        if not text:
+            return b""
+        out = []
+        for piece in split(text):
+            if piece in added:
+                out.append(added[piece])
+            else:
+                out.extend(map(known.__getitem__, cut(piece)))
+        return b"".join(out)
 
     return encode
 
 
+def plain_added_tokens(tokenizer) -> dict:
+    """``{id: token}`` of the added tokens; those that take in what stands beside them, or stand
+    only at words' ends, are refused, as no cut by their strings alone finds them."""
+    added = tokenizer.get_added_tokens_decoder()
+    for token in added.values():
+        if token.lstrip or token.rstrip or token.single_word:
+            raise ValueError(f"added token {token.content!r} depends on its neighbours")
+    return added
+
+
 def byte_level_characters() -> list[str]:
     """The character that byte-level vocabularies write for each byte: visible Latin-1
     characters stand for themselves, the other bytes follow from U+0100 on."""
