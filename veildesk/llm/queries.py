@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veildesk.llm import (
     byte_bpe,
     decontamination,
+    dimension_scan,
     language_id,
     license_templates,
     quality_hosts,
     secret_tests,
     simhash_vptree,
+    spelling_variants,
     sql,
+    term_treap,
     token_planes,
     warc_archive,
     weak_quality,
@@ -24,6 +28,8 @@ from veildesk.llm.common import table
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+#: Share of the places of words that are damaged before spelling variants are looked for.
+SLIP_EVERY = 199
 
 
 def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +77,23 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("n_lines", "host", "host_rate")
 
 
+def ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_treap.ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asks = F.coalesce(F.pmod("vec_id", F.lit(100)) == 0, F.lit(False))
+    return dimension_scan.nearest(table(spark, sf_dir, "embeddings"), asks)
+
+
+def spelling_variant_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(
+        table(spark, sf_dir, "documents"), slip_every=SLIP_EVERY
+    )
+
+
 QUERIES = {
     "op1_language_id": language_identification,
     "op2_quality_classifier": quality_classifier,
@@ -82,10 +105,15 @@ QUERIES = {
     "op8_token_id_output": token_id_output,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_quality_rules": quality_rules,
+    "op11_ranked_lexical_search": ranked_lexical_search,
+    "op12_nearest_neighbours": nearest_neighbours,
+    "op13_spelling_variants": spelling_variant_grouping,
 }
 ORACLES: dict[str, str] = {
     "op3_license_scans": sql.LICENSE_SCANS,
     "op4_warc": sql.WARC,
     "op9_benchmark_decontamination": sql.DECONTAMINATION,
     "op10_quality_rules": sql.QUALITY_RULES,
+    "op11_ranked_lexical_search": sql.RANKED_SEARCH,
+    "op13_spelling_variants": sql.SPELLING_VARIANTS,
 }

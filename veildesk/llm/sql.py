@@ -172,3 +172,86 @@ select doc_id, len(words)::bigint as n_words, len(starts)::bigint as n_base,
   case when len(notices) > 0 then 1.0 when len(starts) > 0 then 0.5 else 0.0 end::double as score
 from labelled
 """
+
+
+RANKED_SEARCH = f"""
+with docs as (
+  select row_number() over () as r, doc_id, unnest({_WORDS}) as term from documents
+), grid as (
+  select r, doc_id, term, count(*) as tf from docs group by all
+), lengths as (
+  select r, count(*) as n from docs group by r
+), corpus as (
+  select count(*) as n_docs, sum(n)::bigint as n_terms from lengths
+), frequencies as (
+  select term, count(*) as df from grid group by term
+), weights as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint as w
+  from frequencies, corpus
+), items as (
+  select distinct item_id, unnest({_WORDS}) as term from benchmark
+), scored as (
+  select item_id, r, any_value(doc_id) as doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::bigint
+      as score
+  from items join weights using (term) join grid using (term) join lengths using (r), corpus
+  group by item_id, r
+), ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank,
+    doc_id, score
+  from scored where score > 0
+)
+select * from ranked where rank <= 50
+"""
+
+#: crc32, byte by byte from the polynomial, over hexadecimal digits.
+_CRC_BIT = "if(({c}) & 1 = 1, xor(({c}) >> 1, 3988292384), ({c}) >> 1)"
+_CRC_STEP = "list_reduce(range(8), lambda c, k: {bit}, xor(c, b))".format(bit=_CRC_BIT.format(c="c"))
+_BYTES = "list_transform(range(strlen({t})), lambda i: ('0x' || substr(hex(encode({t})), 2 * i + 1, 2))::bigint)"
+_CRC = (
+    "xor(list_reduce(" + _BYTES + ", lambda c, b: " + _CRC_STEP + ", 4294967295::bigint), 4294967295)"
+)
+
+SPELLING_VARIANTS = f"""
+with recursive runs as (
+  select coalesce(doc_id::varchar, '') as d,
+    unnest(regexp_extract_all({_LOWER.format("text")}, '[a-z\u00C0-\u00FF]+')) as run
+  from documents
+), counted as (
+  select run, d || ':' || run as place, count(*) as n from runs group by d, run
+), hashed as (
+  select run, n, {_CRC.format(t="place")} as h from counted where length(run) >= 6
+), slipped as (
+  select if(h % 199 = 0,
+    left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2), run) as word, n
+  from hashed
+), words as (
+  select word, sum(n)::bigint as n from slipped where length(word) >= 6
+  group by word having sum(n) >= 5
+), cut as (
+  select word, n, unnest(range(length(word))) as i from words
+), less as (
+  select word, n, i, left(word, i::int) || substr(word, i::int + 2) as rest from cut
+), pairs as (
+  select distinct a.word, a.n, b.word as near, b.n as m
+  from less a join less b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union
+  select less.word, less.n, words.word, words.n from less join words on words.word = rest
+), both_ways as (
+  select word, near, m from pairs union select near, word, n from pairs
+), best as (
+  select word, count(*) as n_near, max(m) as m,
+    (list(near order by m desc, near))[1] as near
+  from both_ways group by word
+), forms as (
+  select word, n, if(m >= 5 * n, near, null) as form, if(m >= 5 * n, m, null)::bigint as form_n,
+    coalesce(n_near, 0)::bigint as n_near
+  from words left join best using (word)
+), chain as (
+  select word, word as root, form as ahead from forms
+  union all
+  select chain.word, forms.word, forms.form from chain join forms on forms.word = chain.ahead
+)
+select word, form, root, n, n_near, form_n
+from forms join (select word, root from chain where ahead is null) using (word)
+"""
