@@ -1,8 +1,12 @@
 """State across micro-batches and across streams."""
 
 import os
+import sys
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from veildesk.functions.detectors import GazetteerDetector
@@ -11,6 +15,9 @@ from veildesk.sources.sinks import write_sanitized
 from veildesk.staging import scratch_path, staging_root
 from veildesk.streaming import sanitize as S
 
+# Workers cannot import this file.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def files(spark, rows, n):
     path = scratch_path(spark, "in")
@@ -39,29 +46,53 @@ def test_placeholders_outlive_a_stream(spark):
     assert per_user is not None and done.where(F.contains("body", F.lit("@"))).count() == 0
 
 
+def ask(spark, vault, keys):
+    rows = [(k, "P", i) for i, k in enumerate(keys)]
+    found = vault.numbered(spark.createDataFrame(rows, "key string, type string, seen int"))
+    return {r.key: r.n for r in found.collect()}
+
+
 def test_a_repeated_batch_gives_the_same_numbers(spark):
     vault = S.vault_table(scratch_path(spark, "vault"))
-    first = spark.createDataFrame([("a", "P", 1, "[P_1]")], S.VAULT)
-    vault.write(first, 0)
-    again = spark.createDataFrame([("b", "P", 2, "[P_2]")], S.VAULT)
-    vault.write(again, 1)
-    vault.write(again, 1)
-    assert vault.all(spark).count() == 2
-    assert [r.key for r in vault.before(spark, 1).collect()] == ["a"]
-    assert [r.highest for r in vault.highest(spark, 2).collect()] == [2]
-
-
-def test_files_read_do_not_grow_with_batches(spark):
-    vault = S.Vault(scratch_path(spark, "vault"), buckets=4)
-    counts = []
-    for batch in range(6):
-        rows = [(f"k{batch}-{i}", "P", batch * 20 + i, "x") for i in range(20)]
-        vault.write(spark.createDataFrame(rows, S.VAULT), batch)
-        counts.append(len(vault.before(spark, batch + 1).inputFiles()))
-    assert max(counts) <= 4 and vault.all(spark).count() == 120
-    one = spark.createDataFrame([("k3-7",)], "key string")
-    part = vault.before(spark, None, one)
-    assert len(part.inputFiles()) == 1 and part.where("key = 'k3-7'").count() == 1
+    assert ask(spark, vault, ["a", "c"]) == {"a": 1, "c": 2}
+    assert ask(spark, vault, ["b", "a"]) == {"b": 3, "a": 1}
+    assert ask(spark, vault, ["b", "a"]) == {"b": 3, "a": 1}
+    assert ask(spark, S.vault_table(vault.path), ["d", "c"]) == {"d": 4, "c": 2}
+    assert sorted((r.key, r.n, r.placeholder) for r in vault.all(spark).collect()) == [
+        ("a", 1, "[P_1]"), ("b", 3, "[P_3]"), ("c", 2, "[P_2]"), ("d", 4, "[P_4]"),
+    ]
+
+
+def test_a_batch_that_fails_before_it_told_is_numbered_again(spark, monkeypatch):
+    vault = S.vault_table(scratch_path(spark, "vault"))
+    ask(spark, vault, ["a"])
+    with monkeypatch.context() as broken:
+        broken.setattr(S, "number_values", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ask(spark, vault, ["b", "c"])
+    assert ask(spark, vault, ["b", "c"]) == {"b": 2, "c": 3}
+
+
+def written(path, *folders):
+    return sum(
+        os.path.getsize(os.path.join(d, f))
+        for folder in folders for d, _, names in os.walk(f"{path}/{folder}") for f in names
+    )
+
+
+def test_bytes_written_follow_the_new_keys(spark):
+    path = scratch_path(spark, "vault")
+    vault, told, state = S.vault_table(path), [0], [0]
+    for batch in range(5):
+        new = 0 if batch == 4 else 300
+        keys = [f"key {batch} {i}" for i in range(new)] + [f"key 0 {i}" for i in range(20)]
+        assert len(ask(spark, vault, keys)) == new + 20 * (batch > 0) or batch == 0
+        told.append(written(path, "told"))
+        state.append(written(path, "state"))
+    steps = [b - a for a, b in zip(told, told[1:])]
+    assert max(steps[1:4]) < 1.2 * min(steps[:4]) and steps[4] < 0.5 * steps[3]
+    # The last run told nothing new, so its changelog holds the 300 keys of the one before.
+    assert state[5] - state[4] < 1.5 * (state[3] - state[2])
 
 
 def test_numbered_streams_need_a_vault(spark):
@@ -70,21 +101,57 @@ def test_numbered_streams_need_a_vault(spark):
         S.stream_sanitize(stream, ["id"], ["body"], Policy(), "out", "progress")
 
 
-def test_detections_belong_to_a_detector_and_have_a_bound(spark):
+def test_detections_belong_to_a_detector(spark):
     rows = [(i, f"Ann {i % 5}") for i in range(20)]
-    table = S.detection_table(scratch_path(spark, "detections"), keep=1)
-    for name, kind in (("a", "X"), ("b", "Y")):
+    table = S.detection_table(scratch_path(spark, "detections"))
+    progress = scratch_path(spark, "progress")
+    detectors = [GazetteerDetector({"Ann": "X"}), GazetteerDetector({"Ann": "Y"})]
+    source = files(spark, rows, 1)
+    for number, detector in enumerate(detectors):
+        own = S.detection_table(f"{table.path}/run={number}")
         S.stream_detect_once(
-            files(spark, rows, 1), "body", GazetteerDetector({"Ann": kind}), table,
-            scratch_path(spark, name), trigger={"availableNow": True},
+            source, "body", detector, own, f"{progress}/{number}", trigger={"availableNow": True}
         ).awaitTermination()
-        found = table.all(spark)
-        assert {s.type for r in found.collect() for s in r.spans} == {kind}
+        found = own.of(spark, detector)
+        assert {s.type for r in found.collect() for s in r.spans} == {"XY"[number]}
         assert found.count() == 5 and "text" not in found.columns
-    digest = table.all(spark).first().digest
-    rows = spark.createDataFrame([(digest, "d", [])], table.schema)
-    table.write(rows, 9)
-    assert [r.detector for r in table.before(spark, None, rows).collect()] == ["d"]
+        assert own.of(spark, detectors[1 - number]).count() == 0
+
+
+@dataclass(frozen=True)
+class Counting(GazetteerDetector):
+    """Notes every text that it is asked about in a file."""
+
+    log: str = ""
+
+    def detect(self, model, texts):
+        with open(self.log, "a") as out:
+            out.writelines(f"{t}\n" for t in texts)
+        return super().detect(model, texts)
+
+
+def test_state_within_a_time_stays_level(spark, tmp_path):
+    path = scratch_path(spark, "in")
+    kind = "body string, at timestamp"
+    spark.createDataFrame([], kind).write.parquet(path)
+    detector = Counting({"Ann": "X"}, log=str(tmp_path / "log"))
+    table, progress = S.detection_table(scratch_path(spark, "detections")), scratch_path(spark, "p")
+    start, sizes = datetime(2024, 1, 1), []
+    for batch in range(20):
+        at = start + timedelta(hours=batch)
+        rows = [(f"Ann {batch} {i}", at) for i in range(10)]
+        # Copies of texts of the hour before, inside the bound, some with an earlier time.
+        rows += [(f"Ann {batch - 1} {i}", at - timedelta(minutes=30)) for i in range(5) if batch]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(path)
+        query = S.stream_detect_once(
+            spark.readStream.schema(kind).parquet(path), "body", detector, table, progress,
+            event_time="at", within="2 hours",
+        )
+        query.awaitTermination()
+        sizes += [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators][-1:]
+    asked = (tmp_path / "log").read_text().split("\n")[:-1]
+    assert sorted(asked) == sorted(f"Ann {b} {i}" for b in range(20) for i in range(10))
+    assert len(sizes) == 20 and max(sizes[5:]) <= 50 and table.of(spark, detector).count() == 200
 
 
 def test_staging_goes_with_the_run(spark):

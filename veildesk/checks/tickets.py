@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veildesk.checks.tables import duck, table
 from veildesk.functions.text import needs_scan
-from veildesk.operators import activity, changes, directory, search, tickets, views
+from veildesk.operators import activity, changes, directory, search, tickets, versions, views
 from veildesk.plans.redaction import Policy
 from veildesk.sources.attachments import attachment_manifest, with_attachment_names
 from veildesk.sources.exports import (
@@ -18,7 +18,7 @@ from veildesk.sources.exports import (
     sideload_index,
     ticket_tables,
 )
-from veildesk.staging import staged
+from veildesk.staging import scratch_path, staged
 
 BASE = "https://desk.example.com"
 TICKET_ITEM = (
@@ -26,6 +26,9 @@ TICKET_ITEM = (
     "tags array<string>"
 )
 
+#: What a folder of the stored ticket tables holds.
+TICKETS_IN_A_FOLDER = 100_000
+
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -711,7 +714,13 @@ def search_(spark, sf_dir):
     from events""")
 def add_comment(spark, sf_dir):
     comments = table(spark, sf_dir, "comments").drop("plain_body")
-    new = table(spark, sf_dir, "events").select(
+    return changes.add_comments(comments, _new_comments(spark, sf_dir)).select(
+        "id", "ticket_id", "seq", "author_id", "public", "body", "html_body"
+    )
+
+
+def _new_comments(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
         (F.lit(1_000_000_000) + F.col("event_id")).alias("id"),
         F.col("user_id").alias("ticket_id"),
         F.col("event_id").alias("pos"),
@@ -723,9 +732,6 @@ def add_comment(spark, sf_dir):
         F.when(F.col("event_id") % 3 == 0, F.lit(False)).alias("is_public"),
         F.col("ts").alias("created_at"),
     )
-    return changes.add_comments(comments, new).select(
-        "id", "ticket_id", "seq", "author_id", "public", "body", "html_body"
-    )
 
 
 _PATCHES = """
@@ -752,7 +758,26 @@ def _field_text(values: DataFrame) -> DataFrame:
     )
 
 
-@check(f"""
+_ACTIONS = """
+    (select p_partkey as macro_id, 0 as pos, 'status' as field,
+            case when p_size > 25 then 'solved' else 'open' end as value
+     from {part} where p_size > 10
+     union all select p_partkey, 5, 'status', 'hold' from {part} where p_size % 4 = 0
+     union all select p_partkey, 6, 'comment', concat('macro ', p_name) from {part}
+     where p_size % 3 = 0
+     union all select p_partkey, 1, 'priority', case when p_size > 40 then 'high' else 'low' end
+     from {part} where p_type <> 'ECONOMY'
+     union all select p_partkey, 2, 'tags', concat(p_brand, ',', lower(p_type)) from {part}
+     where p_brand < 'Brand#2'
+     union all select p_partkey, 3, 'requester_id', '1' from {part}
+     union all select p_partkey, 4, 'custom_fields_11', p_brand from {part} where p_size < 30)"""
+_APPLIED = """
+    (select case when l_orderkey % 50 = 7 then l_orderkey + 100000000 else l_orderkey end
+                as ticket_id, cast(l_linenumber as bigint) as seq, min(l_partkey) as macro_id
+     from {lineitem} group by l_orderkey, l_linenumber)"""
+
+
+_UPDATED = f"""
     with given as (select *, ticket_id not in (select id from {{tickets}}) as unknown
                    from {_PATCHES}),
     valid as (select * from given where status is distinct from 'bogus' and not unknown),
@@ -796,30 +821,89 @@ def _field_text(values: DataFrame) -> DataFrame:
            n_comments, n_public, last_comment, last_seq, f.ticket_id is not null as touched
     from {{tickets}} t left join folded f on f.ticket_id = t.id
     left join fields on fields.ticket_id = t.id left join thread on thread.ticket_id = t.id
-    full join bad r on r.ticket_id = t.id""")
-def update_tickets(spark, sf_dir):
+    full join bad r on r.ticket_id = t.id"""
+
+
+def _patches(spark, sf_dir):
     given = spark.sql(
         f"select * from {_PATCHES}", events=table(spark, sf_dir, "events")
     )
-    patches = given.withColumn(
+    return given.withColumn(
         "custom_fields",
         F.when(
             F.col("field_id").isNotNull(),
             F.array(F.struct(F.col("field_id").alias("id"), F.col("field_value").alias("value"))),
         ),
     ).drop("field_id", "field_value")
+
+
+@check(_UPDATED)
+def update_tickets(spark, sf_dir):
     done = changes.update_tickets(
         table(spark, sf_dir, "tickets"),
         table(spark, sf_dir, "custom_values"),
-        patches,
+        _patches(spark, sf_dir),
+        table(spark, sf_dir, "comments"),
+    )
+    return _updated(spark, sf_dir, done.tickets, done.custom_values, done.thread, done)
+
+
+@check(_UPDATED)
+def update_stored_tickets(spark, sf_dir):
+    """The same patches on stored tables, of which only the folders they fall into are rewritten."""
+    stored = _stored(spark, sf_dir)
+    done = stored.update(_patches(spark, sf_dir))
+    return _updated(spark, sf_dir, stored.tickets, stored.custom_values, stored.comments, done)
+
+
+@check(f"""
+    with acts as (
+        select macro_id, arg_max(value, pos) filter (field = 'status') as status,
+               max(value) filter (field = 'comment') as said
+        from {_ACTIONS} group by macro_id),
+    uses as (select u.ticket_id, u.seq, a.status, a.said from {_APPLIED} u
+             join acts a on a.macro_id = u.macro_id
+             where u.ticket_id in (select id from {{tickets}})),
+    folded as (select ticket_id, arg_max(status, seq) filter (status is not null) as status,
+                      count(said) as n_said from uses group by ticket_id),
+    added as (select user_id, count(*) as n from events group by user_id),
+    old as (select ticket_id, count(*) as n from {{comments}} group by ticket_id)
+    select t.id, coalesce(f.status, t.status) as status,
+           coalesce(old.n, 0) + coalesce(n_said, 0) + coalesce(added.n, 0) as n_comments
+    from {{tickets}} t left join folded f on f.ticket_id = t.id
+    left join old on old.ticket_id = t.id left join added on added.user_id = t.id""")
+def change_stored_tickets(spark, sf_dir):
+    """Macros and then comments on stored tables; the second only adds rows."""
+    stored = _stored(spark, sf_dir)
+    stored.apply_macros(
+        spark.sql(f"select * from {_ACTIONS}", part=table(spark, sf_dir, "part")),
+        spark.sql(f"select * from {_APPLIED}", lineitem=table(spark, sf_dir, "lineitem")),
+    )
+    stored.add_comments(_new_comments(spark, sf_dir))
+    said = stored.comments.groupBy(F.col("ticket_id").alias("id")).agg(F.count("*").alias("n"))
+    return stored.tickets.join(said, "id", "left").select(
+        "id", "status", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_comments")
+    )
+
+
+def _stored(spark, sf_dir):
+    all_tickets = table(spark, sf_dir, "tickets")
+    return versions.TicketTables.create(
+        scratch_path(spark, "ticket-tables"),
+        all_tickets,
+        table(spark, sf_dir, "custom_values"),
         table(spark, sf_dir, "comments"),
+        buckets=max(8, all_tickets.count() // TICKETS_IN_A_FOLDER),
     )
+
+
+def _updated(spark, sf_dir, tickets, custom_values, thread, done):
     rejected = done.rejected.groupBy("ticket_id").agg(F.count("*").alias("n_rejected"))
     missing = done.rejected.join(
         table(spark, sf_dir, "tickets").select(F.col("id").alias("ticket_id")), "ticket_id", "left_anti"
     ).groupBy("ticket_id").agg(F.count("*").alias("n_unknown"))
     said = F.coalesce("public", F.lit(True))
-    thread = done.thread.groupBy("ticket_id").agg(
+    said_by = thread.groupBy("ticket_id").agg(
         F.count("*").alias("n_comments"),
         F.count_if(said).alias("n_public"),
         F.max_by("body", F.when(F.col("body").isNotNull(), F.col("seq"))).alias("last_comment"),
@@ -827,9 +911,9 @@ def update_tickets(spark, sf_dir):
     )
     touched = done.touched.select(F.col("id").alias("ticket_id"), F.lit(True).alias("touched"))
     return (
-        done.tickets.withColumnRenamed("id", "ticket_id")
-        .join(_field_text(done.custom_values), "ticket_id", "left")
-        .join(thread, "ticket_id", "left")
+        tickets.withColumnRenamed("id", "ticket_id")
+        .join(_field_text(custom_values), "ticket_id", "left")
+        .join(said_by, "ticket_id", "left")
         .join(touched, "ticket_id", "left")
         .join(rejected.join(missing, "ticket_id", "left"), "ticket_id", "full")
         .select(
@@ -878,25 +962,6 @@ def updated_details(spark, sf_dir):
     )
 
 
-_ACTIONS = """
-    (select p_partkey as macro_id, 0 as pos, 'status' as field,
-            case when p_size > 25 then 'solved' else 'open' end as value
-     from {part} where p_size > 10
-     union all select p_partkey, 5, 'status', 'hold' from {part} where p_size % 4 = 0
-     union all select p_partkey, 6, 'comment', concat('macro ', p_name) from {part}
-     where p_size % 3 = 0
-     union all select p_partkey, 1, 'priority', case when p_size > 40 then 'high' else 'low' end
-     from {part} where p_type <> 'ECONOMY'
-     union all select p_partkey, 2, 'tags', concat(p_brand, ',', lower(p_type)) from {part}
-     where p_brand < 'Brand#2'
-     union all select p_partkey, 3, 'requester_id', '1' from {part}
-     union all select p_partkey, 4, 'custom_fields_11', p_brand from {part} where p_size < 30)"""
-_APPLIED = """
-    (select case when l_orderkey % 50 = 7 then l_orderkey + 100000000 else l_orderkey end
-                as ticket_id, cast(l_linenumber as bigint) as seq, min(l_partkey) as macro_id
-     from {lineitem} group by l_orderkey, l_linenumber)"""
-
-
 @check(f"""
     with acts as (
         select macro_id, arg_max(value, pos) filter (field = 'status') as status,

@@ -1,7 +1,8 @@
 """Change sets: comments, sparse updates and macros applied to whole tables.
 
 Nothing is changed in place. Each function returns the new versions of the tables it
-touches, for the caller to write and swap in.
+touches, for the caller to write and swap in; ``versions`` keeps stored tables and rewrites
+only the part of them that a change touches.
 """
 
 from __future__ import annotations
@@ -55,15 +56,18 @@ class Changes:
     thread: DataFrame | None = None
 
 
-def add_comments(comments: DataFrame, new: DataFrame) -> DataFrame:
+def add_comments(
+    comments: DataFrame, new: DataFrame, last_in: DataFrame | None = None
+) -> DataFrame:
     """Append comments, public unless said otherwise; an HTML body replaces the text.
 
     ``new`` has ``id, ticket_id, pos, author_id, body, html_body, is_public, created_at``
     with ``pos`` the order within the batch and ticket. Places continue after the ticket's
-    last comment, found by one aggregate limited to the touched tickets.
+    last comment, found by one aggregate limited to the touched tickets; ``last_in`` is where
+    to look for it, ``comments`` by default.
     """
     last = (
-        comments.join(new.select("ticket_id").distinct(), "ticket_id", "left_semi")
+        (comments if last_in is None else last_in).join(new.select("ticket_id").distinct(), "ticket_id", "left_semi")
         .groupBy("ticket_id")
         .agg(F.max("seq").alias("_last"))
     )
@@ -116,15 +120,22 @@ def _checked(tickets: DataFrame, patches: DataFrame) -> DataFrame:
     """Complete patches with their ``problem``, written once and dealt by ticket.
 
     Everything an update makes starts from these rows, so they are neither derived nor
-    validated again, and the folds by ticket find a ticket's patches together.
+    validated again, and the folds by ticket find a ticket's patches together. A patch that was
+    sent twice counts once. Different patches of a ticket with the same ``seq``, or without one,
+    have no order that could settle them, so all of them are rejected.
     """
+    patches = _complete(patches).distinct()
+    shared = (
+        patches.groupBy("ticket_id", "seq").agg(F.count("*").alias("_n")).where("_n > 1")
+        .select("ticket_id", "seq", F.lit("repeated seq").alias("_shared"))
+    )
     known = tickets.select(F.col("id").alias("ticket_id"), F.lit(True).alias("_known"))
     unknown = F.when(F.col("_known").isNull(), F.lit("unknown ticket"))
     return staged(
-        _complete(patches)
-        .join(known, "ticket_id", "left")
-        .withColumn("problem", F.coalesce(_problem(), unknown))
-        .drop("_known"),
+        patches.join(known, "ticket_id", "left")
+        .join(shared, ["ticket_id", "seq"], "left")
+        .withColumn("problem", F.coalesce(_problem(), unknown, "_shared"))
+        .drop("_known", "_shared"),
         "patches",
     )
 
@@ -141,7 +152,8 @@ def update_tickets(
     clears, custom fields are set one by one by id, a comment is appended to ``thread``,
     public by default. Patches of one ticket apply in ``seq`` order: the last value given for
     a column wins, so they are folded to one row per ticket before the join. A patch with a
-    bad enumeration value is rejected whole, and so is one of an unknown ticket.
+    bad enumeration value is rejected whole, and so is one of an unknown ticket, and one whose
+    ``seq`` another patch of its ticket has.
     """
     checked = _checked(tickets, patches)
     return _apply(tickets, custom_values, checked, thread)

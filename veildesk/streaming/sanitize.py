@@ -1,129 +1,183 @@
 """Redaction of arriving records with Structured Streaming.
 
-Every micro-batch runs the batch plan, in a staging folder that goes with the batch. State
-that outlives a batch lies in ``KeyedTable``s: dealt into buckets by a hash of the key, one
-version of a bucket being one folder that holds it whole. A batch reads only the buckets its
-keys fall into and writes those anew, so what it reads does not grow with the number of
-batches. A batch that runs again after a failure starts from the versions before its own and
-writes its own again, so it gives the same numbers and leaves nothing twice.
+Every micro-batch runs the batch plan, in a staging folder that goes with the batch. What
+outlives a batch lies in Spark's state store, in RocksDB on the executors with a changelog in
+the query's checkpoint: placeholder numbers by value key, digests of detected texts. A batch
+reads and writes the state of its own keys only, so what it writes follows its new keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from veildesk.functions.detectors import Detector, detector_digest, run_detector
 from veildesk.plans.redaction import (
     Policy,
-    distinct_texts,
     merged_cells,
     named_values,
     put_back,
     sanitize_df,
 )
-from veildesk.plans.vault import first_seen, highest_numbers, number_values
-from veildesk.schemas import SPANS, VAULT
-from veildesk.staging import run_folder, staged
+from veildesk.plans.vault import (
+    empty_vault,
+    first_seen,
+    highest_numbers,
+    number_values,
+    numbered_placeholder,
+)
+from veildesk.schemas import SPANS
+from veildesk.staging import run_folder, scratch_path, staged
 
 _DETECTIONS = f"digest string, detector string, spans {SPANS}"
+_TOLD = "of string, key string, ask string, type string, n bigint"
 _AVAILABLE = {"availableNow": True}
+_STORE = "spark.sql.streaming.stateStore"
+_ROCKSDB = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Only the changes of a batch go to the checkpoint; snapshots are made in the background.
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state in RocksDB; they copy the session's settings
+    at their start, so the session gets its own back."""
+    before = {name: spark.conf.get(name, None) for name in _ROCKSDB}
+    for name, value in _ROCKSDB.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+class _Numbers(StatefulProcessor):
+    """The number of a key: rows with ``n`` tell it, rows with ``ask`` are answered with it."""
+
+    def init(self, handle) -> None:
+        self.known = handle.getValueState("number", "type string, n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        asks: list = []
+        kind, n, told = None, None, False
+        if self.known.exists():
+            kind, n = self.known.get()
+        for batch in rows:
+            asks += batch["ask"].dropna().tolist()
+            for new_kind, new in zip(*(batch.loc[batch["n"].notna(), ["type", "n"]].T.values)):
+                if n is None or new > n:
+                    kind, n, told = new_kind, int(new), True
+        if told:
+            self.known.update((kind, n))
+        if asks and n is not None:
+            found = {"of": key[0], "key": key[1], "ask": asks, "type": kind, "n": n}
+            yield pd.DataFrame(found)
+
+    def close(self) -> None:
+        pass
+
+
+class Vault:
+    """Placeholders by value key, numbered on from batch to batch.
+
+    ``told`` is the vault as a table, to which a batch adds its new keys. A stateful query over
+    it, with its state in ``state``, knows the number of every key and the highest of each type;
+    a batch puts its keys as questions into ``asks``, runs the query over what is new there and
+    in ``told``, and numbers only the keys without an answer. Told numbers never change: a batch
+    that runs again finds those that it told before, or gives the same ones.
+    """
 
+    def __init__(self, path: str) -> None:
+        self.path = path
 
-class KeyedTable:
-    """A table in buckets by ``key``, written batch by batch.
+    def all(self, spark: SparkSession) -> DataFrame:
+        """The whole vault; a key that was told twice has the same number both times."""
+        told = spark.read.schema(_TOLD).parquet(self._folder(spark, "told"))
+        rows = told.where("of = 'key'").select("key", "type", "n").distinct()
+        return rows.select("key", "type", "n", numbered_placeholder("type", "n"))
+
+    def _folder(self, spark: SparkSession, name: str) -> str:
+        path = f"{self.path}/{name}"
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+        return path
+
+    def numbered(self, values: DataFrame) -> DataFrame:
+        """Vault rows of the keys in ``values`` (``key, type, seen``, a row for each key);
+        keys that the vault does not have yet are numbered in order of ``seen`` and added."""
+        spark, ask = values.sparkSession, uuid.uuid4().hex
+        none = F.lit(None).cast("bigint").alias("n")
+        keys = values.select(F.lit("key").alias("of"), "key", F.lit(ask).alias("ask"), "type", none)
+        types = values.select("type").distinct().select(
+            F.lit("type").alias("of"), F.col("type").alias("key"), F.lit(ask).alias("ask"), "type", none
+        )
+        keys.unionAll(types).write.mode("append").parquet(self._folder(spark, "asks"))
+        answers = self._answers(spark, ask)
+        known = answers.where("of = 'key'").select("key", "type", "n")
+        highest = answers.where("of = 'type'").select("type", F.col("n").alias("highest"))
+        known = known.select("key", "type", "n", numbered_placeholder("type", "n"))
+        fresh = values.join(known.select("key"), "key", "left_anti")
+        new = staged(number_values(fresh, empty_vault(spark), highest), "numbered")
+        told = new.select(F.lit("key").alias("of"), "key", F.lit(None).cast("string").alias("ask"), "type", "n")
+        top = highest_numbers(new).select(
+            F.lit("type").alias("of"), F.col("type").alias("key"),
+            F.lit(None).cast("string").alias("ask"), "type", F.col("highest").alias("n"),
+        )
+        told.unionAll(top).write.mode("append").parquet(self._folder(spark, "told"))
+        return known.unionByName(new)
+
+    def _answers(self, spark: SparkSession, ask: str) -> DataFrame:
+        reader = spark.readStream.schema(_TOLD)
+        asks = reader.option("cleanSource", "delete").parquet(self._folder(spark, "asks"))
+        told = reader.option("cleanSource", "off").parquet(self._folder(spark, "told"))
+        found = (
+            told.unionByName(asks)
+            .groupBy("of", "key")
+            .transformWithStateInPandas(_Numbers(), _TOLD, "Append", "None")
+        )
+        out = scratch_path(spark, "answers")
 
-    ``catalog/batch=<n>`` tells, for each bucket, the batch that wrote its latest version, and
-    carries a few extra rows (the highest numbers of a vault). With ``keep`` a row goes once
-    that many batches have passed since it was written.
-    """
+        def save(rows: DataFrame, number: int) -> None:
+            rows.where(F.col("ask") == ask).write.mode("overwrite").parquet(f"{out}/run={number}")
 
-    def __init__(
-        self, path: str, schema: str, key: str, buckets: int = 64, keep: int | None = None
-    ) -> None:
-        self.path, self.schema, self.key, self.buckets, self.keep = path, schema, key, buckets, keep
-
-    def _bucket(self):
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def _catalog(self, spark: SparkSession, before: int | None) -> dict[int, int]:
-        """``{bucket: batch}`` of the latest catalog, at most one entry for each bucket."""
-        rows = _read(spark, f"{self.path}/catalog", "bucket int, version bigint, batch bigint")
-        rows = rows if before is None else rows.where(F.col("batch") < before)
-        last = rows.agg(F.max("batch")).scalar()
-        return {r.bucket: r.version for r in rows.where(F.col("batch") == last).collect()}
-
-    def _rows(self, spark: SparkSession, versions: Mapping[int, int]) -> DataFrame:
-        paths = [
-            f"{self.path}/data/batch={v}/bucket={b}" for b, v in sorted(versions.items())
-        ]
-        schema = f"{self.schema}, written bigint"
-        if not paths:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(*paths)
-
-    def before(self, spark: SparkSession, batch: int | None, keys: DataFrame | None = None):
-        """Rows of the batches before; only buckets that ``keys`` fall into, if given."""
-        versions = self._catalog(spark, batch)
-        if keys is not None:
-            hit = {r[0] for r in keys.select(self._bucket()).distinct().collect()}
-            versions = {b: v for b, v in versions.items() if b in hit}
-        return self._rows(spark, versions).drop("written")
+        with _rocksdb(spark):
+            query = (
+                found.writeStream.foreachBatch(save)
+                .option("checkpointLocation", f"{self.path}/state")
+                .outputMode("append")
+                .trigger(**_AVAILABLE)
+                .start()
+            )
+        query.awaitTermination()
+        return spark.read.schema(_TOLD).parquet(out)
 
-    def all(self, spark: SparkSession) -> DataFrame:
-        return self.before(spark, None)
 
-    def write(self, rows: DataFrame, batch: int) -> None:
-        """Add rows, whose keys are new, as the given batch."""
-        spark = rows.sparkSession
-        versions = self._catalog(spark, batch)
-        new = staged(rows.withColumn("written", F.lit(batch).cast("bigint")), "rows").withColumn(
-            "bucket", self._bucket()
-        )
-        hit = [r[0] for r in new.select("bucket").distinct().collect()]
-        old = self._rows(spark, {b: versions[b] for b in hit if b in versions})
-        if self.keep is not None:
-            old = old.where(F.col("written") >= batch - self.keep)
-        whole = old.withColumn("bucket", self._bucket()).unionByName(new)
-        # One file for a bucket, so a batch reads at most as many files as there are buckets.
-        whole.repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(f"{self.path}/data/batch={batch}")
-        versions.update(dict.fromkeys(hit, batch))
-        catalog = spark.createDataFrame(list(versions.items()), "bucket int, version bigint")
-        catalog.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/catalog/batch={batch}")
-
-
-class Vault(KeyedTable):
-    """Placeholders by key, with the highest number of each type kept beside them."""
-
-    def __init__(self, path: str, buckets: int = 64) -> None:
-        super().__init__(path, VAULT, "key", buckets)
-
-    def highest(self, spark: SparkSession, batch: int) -> DataFrame:
-        rows = _read(spark, f"{self.path}/highest", "type string, highest bigint, batch bigint")
-        rows = rows.where(F.col("batch") < batch)
-        return rows.groupBy("type").agg(F.max("highest").alias("highest"))
+class Detections:
+    """Detections by text digest, without the texts: one row for each text and detector that was
+    run on it, in the folder of the batch that it arrived in."""
 
-    def write(self, rows: DataFrame, batch: int) -> None:
-        rows = staged(rows, "numbered")
-        super().write(rows, batch)
-        highest = highest_numbers(rows).unionByName(self.highest(rows.sparkSession, batch))
-        top = highest.groupBy("type").agg(F.max("highest").alias("highest"))
-        top.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/highest/batch={batch}")
+    def __init__(self, path: str) -> None:
+        self.path = path
 
+    def all(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(f"{_DETECTIONS}, batch bigint").parquet(self.path).drop("batch")
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], schema)
+    def of(self, spark: SparkSession, detector: Detector) -> DataFrame:
+        """``digest, spans`` of one detector; one that was changed has none yet."""
+        own = self.all(spark).where(F.col("detector") == detector_digest(detector))
+        return own.select("digest", "spans")
+
+    def write(self, rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
 
 
 def _start(
@@ -183,19 +237,16 @@ def stream_pseudonyms(
 ) -> StreamingQuery:
     """Redact arriving rows with placeholders that stay the same from batch to batch.
 
-    ``first_batch`` lets a second stream go on with the vault of an earlier one.
+    The vault may have been used by earlier streams, one at a time; ``first_batch`` then keeps
+    the folders of ``out`` apart.
     """
 
     def work(batch: DataFrame, number: int) -> None:
-        spark, number = batch.sparkSession, number + first_batch
         merged = staged(merged_cells(batch, keys, columns, policy), "merged")
         values = named_values(merged)
-        known = vault.before(spark, number, values)
-        new = number_values(first_seen(values), known, vault.highest(spark, number))
-        vault.write(new, number)
-        names = vault.before(spark, number + 1, values)
+        names = staged(vault.numbered(first_seen(values)), "names")
         done = put_back(batch, keys, columns, policy, merged, values, names)
-        done.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        done.write.mode("overwrite").parquet(f"{out}/batch={number + first_batch}")
 
     return _start(stream, work, checkpoint, trigger)
 
@@ -204,30 +255,44 @@ def vault_table(path: str) -> Vault:
     return Vault(path)
 
 
-def detection_table(path: str, keep: int | None = None) -> KeyedTable:
-    """Detections by text digest, without the texts; ``keep`` bounds it to so many batches."""
-    return KeyedTable(path, _DETECTIONS, "digest", keep=keep)
+def detection_table(path: str) -> Detections:
+    return Detections(path)
 
 
 def stream_detect_once(
     stream: DataFrame,
     column: str,
     detector: Detector,
-    detections: KeyedTable,
+    detections: Detections,
     checkpoint: str,
     trigger: Mapping | None = None,
+    event_time: str | None = None,
+    within: str = "1 day",
 ) -> StreamingQuery:
-    """Run the detector only on texts that it has not answered in an earlier batch.
+    """Run the detector only on texts that it has not met before.
 
-    Answers belong to the detector's digest, so one that was changed starts anew.
+    Which texts were met is known by their digests, in the state store. With ``event_time`` a
+    digest is forgotten once the watermark, ``within`` behind the latest event, has passed the
+    event it came with, so the state holds the texts of that much time; rows later than the
+    watermark are dropped. Without one every digest is kept. State belongs to the detector's
+    digest, so one that was changed starts anew. Null texts are not detected.
     """
     mark = detector_digest(detector)
+    once = ["digest", "detector"]
+    texts = stream.where(F.col(column).isNotNull()).select(
+        F.col(column).alias("text"),
+        F.sha2(F.col(column), 256).alias("digest"),
+        F.lit(mark).alias("detector"),
+        *([F.col(event_time).alias("event_time")] if event_time else []),
+    )
+    if event_time:
+        fresh = texts.withWatermark("event_time", within).dropDuplicatesWithinWatermark(once)
+    else:
+        fresh = texts.dropDuplicates(once)
 
     def work(batch: DataFrame, number: int) -> None:
-        texts = distinct_texts(batch.select(F.col(column).alias("text")))
-        known = detections.before(batch.sparkSession, number, texts)
-        known = known.where(F.col("detector") == mark).select("digest")
-        found = run_detector(texts.join(known, "digest", "left_anti"), detector)
+        found = run_detector(batch.select("digest", "text"), detector)
         detections.write(found.select("digest", F.lit(mark).alias("detector"), "spans"), number)
 
-    return _start(stream, work, checkpoint, trigger)
+    with _rocksdb(stream.sparkSession):
+        return _start(fresh, work, checkpoint, trigger)
