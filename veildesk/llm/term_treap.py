@@ -156,6 +156,8 @@ def search(
     found: list[np.ndarray] = []
     best = np.empty(0, np.int64)
     nodes = np.full((1, len(rows)), treap.root, np.int32)
+    if treap.root <= -2:
+        nodes[0, treap.row[-2 - treap.root] != rows] = _NONE
     level, low = np.zeros(1, np.int32), np.zeros(1, np.int64)
     bound = _bounds(treap, nodes, rows, weights)
     limit = floor
@@ -172,8 +174,7 @@ def search(
         parts = [(nodes[rest], level[rest], low[rest], bound[rest])]
         down, depth, start = nodes[take], level[take], low[take]
         bit = treap.height - 1 - depth
-        for right in (0, 1):
-            child = _step(treap, down, rows, start, bit, right)
+        for right, child in enumerate(_halves(treap, down, rows, bit)):
             there = start + (np.int64(right) << bit.astype(np.int64))
             above = _bounds(treap, child, rows, weights)
             good = above >= limit
@@ -194,39 +195,50 @@ def search(
     return columns[keep], scores[keep]
 
 
-def _step(treap, nodes, rows, low, bit, right) -> np.ndarray:
-    """Each term's child in the left or right half of the states' document ranges."""
-    out = np.full(nodes.shape, _NONE, np.int32)
-    i, j = np.nonzero(nodes >= 0)
-    if len(i):
-        at = nodes[i, j]
-        quarter = ((rows[j] >> bit[i]) & 1) * 2 + right
-        mask = treap.mask[at]
-        there = (mask >> quarter.astype(np.uint8)) & 1
-        before = np.bitwise_count(mask & ((1 << quarter) - 1).astype(np.uint8))
-        place = np.where(there == 1, treap.first[at] + before, 0)
-        child = np.where(there == 1, treap.child[place], _NONE)
-        # A square of one point belongs to one row; for the others it is empty.
-        alone = child <= -2
-        alien = treap.row[np.where(alone, -2 - child, 0)] != rows[j]
-        out[i, j] = np.where(alone & alien, _NONE, child)
-    i, j = np.nonzero(nodes <= -2)
-    if len(i):
-        point = -2 - nodes[i, j]
-        here = ((treap.column[point] >> bit[i]) & 1) == right
-        out[i, j] = np.where(here, nodes[i, j], _NONE)
-    return out
-
-
-def _bounds(treap, nodes, rows, weights) -> np.ndarray:
-    value = np.zeros(nodes.shape, np.int64)
-    square, point = nodes >= 0, nodes <= -2
-    value[square] = treap.most[nodes[square]]
-    if point.any():
-        at = -2 - nodes[point]
-        own = treap.row[at] == np.broadcast_to(rows, nodes.shape)[point]
-        value[point] = np.where(own, treap.impact[at], 0)
-    return value @ weights
+#: For each mask and quarter, how many of the mask's quarters come before it; -1 if it has not.
+_PLACE = np.array(
+    [(m & ((1 << q) - 1)).bit_count() if m >> q & 1 else -1 for m in range(16) for q in range(4)],
+    np.int32,
+)
+
+
+def _halves(treap: Treap, nodes: np.ndarray, rows: np.ndarray, bit: np.ndarray):
+    """Each term's child in the left and in the right half of the states' document ranges."""
+    flat = nodes.ravel()
+    left, right = np.full((2, len(flat)), _NONE, np.int32)
+    at = np.flatnonzero(flat >= 0)
+    if len(at):
+        state, term = np.divmod(at, len(rows))
+        square = flat[at]
+        quarter = ((rows[term] >> bit[state]) & 1) * 2
+        key = treap.mask[square].astype(np.int64) * 4 + quarter
+        first = treap.first[square]
+        for out, step in ((left, 0), (right, 1)):
+            place = _PLACE[key + step]
+            there = np.flatnonzero(place >= 0)
+            child = treap.child[first[there] + place[there]]
+            # A square of one point belongs to one row; for the others it is empty.
+            alone = np.flatnonzero(child <= -2)
+            alien = treap.row[-2 - child[alone]] != rows[term[there[alone]]]
+            child[alone[alien]] = _NONE
+            out[at[there]] = child
+    at = np.flatnonzero(flat <= -2)
+    if len(at):
+        half = (treap.column[-2 - flat[at]] >> bit[at // len(rows)]) & 1
+        left[at[half == 0]] = flat[at[half == 0]]
+        right[at[half == 1]] = flat[at[half == 1]]
+    return left.reshape(nodes.shape), right.reshape(nodes.shape)
+
+
+def _bounds(treap: Treap, nodes: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The states' weighted maxima; sums stay below 2 ** 53, so they are exact as doubles."""
+    flat = nodes.ravel()
+    value = np.zeros(len(flat))
+    at = np.flatnonzero(flat >= 0)
+    value[at] = treap.most[flat[at]]
+    at = np.flatnonzero(flat <= -2)
+    value[at] = treap.impact[-2 - flat[at]]
+    return (value.reshape(nodes.shape) @ weights.astype(np.float64)).astype(np.int64)
 
 
 class Shard:
