@@ -75,14 +75,24 @@ def test_host_verdicts(documents_of):
     rows = [(i, GOOD.format(i), f"host{i % 10}") for i in range(200)]
     rows += [(1000 + i, "# # # # # # # #", "host3") for i in range(180)]
     rows += [(2000, GOOD.format("x"), None), (2001, "# #", "tiny"), (2002, GOOD.format("y"), "tiny")]
+    rows += [(3000 + i, GOOD.format("# & # & #"), f"host{3 + i}") for i in range(2)]
     found = {r["doc_id"]: r for r in H.judge(documents_of(rows)).collect()}
-    assert not found[3]["kept"] and found[4]["kept"] and found[2000]["kept"]
+    # Clean documents of a rejected host stay, borderline ones go; elsewhere they stay as well.
+    assert found[3]["host_rate"] > 0.5 and found[3]["kept"]
+    assert not found[3000]["kept"] and found[3001]["kept"]
+    assert found[4]["kept"] and found[2000]["kept"]
     # One failure of two is little evidence: the rate is drawn towards the other hosts'.
     assert found[2001]["host_rate"] < 0.5 and found[2002]["kept"]
     kept = {r["doc_id"] for r in H.kept_documents(documents_of(rows)).collect()}
     assert kept == {i for i, r in found.items() if r["kept"]}
 
 
+def test_clean_documents_of_the_only_source_stay(documents_of):
+    rows = [(i, GOOD.format(i), "one") for i in range(49)]
+    rows += [(100 + i, "# " * 40, "one") for i in range(51)]
+    assert {r["doc_id"] for r in H.kept_documents(documents_of(rows)).collect()} == set(range(49))
+
+
 def test_prior():
     alpha, beta = H.beta_prior(0.2, 0.2 * 0.8 / 11, 0.0)
     assert alpha == pytest.approx(2) and beta == pytest.approx(8)

@@ -3,12 +3,13 @@
 Each document is measured in one projection. Failures are then summed by host (partial sums
 first, so a host with most of the rows costs no more than another), every host's failure rate
 is shrunk towards an empirical beta prior fitted to all hosts, and the verdicts on hosts are
-joined back: a document stays if it passes its own rules and its host is not rejected.
+joined back: a document stays if it passes its own rules, and on a rejected host only if none of
+its measures is borderline. Documents that are clear of the limits stay, whatever their host.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,19 @@ class Rules:
     max_word_tenths: int = 200
     max_host_rate: float = 0.5
 
+    @property
+    def borderline(self) -> Rules:
+        """Limits that documents of a rejected host have to keep: half of what is allowed in
+        excess, and words half as far again from the extremes. Short texts are not suspect."""
+        return replace(
+            self,
+            max_repeat_percent=self.max_repeat_percent // 2,
+            max_symbol_percent=self.max_symbol_percent // 2,
+            max_dup_line_percent=self.max_dup_line_percent // 2,
+            min_word_tenths=self.min_word_tenths * 3 // 2,
+            max_word_tenths=self.max_word_tenths * 3 // 4,
+        )
+
 
 RULES = Rules()
 
@@ -210,21 +224,29 @@ def judge(
 
     ``host`` is the source column by default. A null text has no words and fails; a null host
     leaves only the document's own rules. Rows are kept as they come, with repeated and null
-    ids; an empty table gives an empty result. A document is kept if it fails no rule and its
-    host is not rejected.
+    ids; an empty table gives an empty result. A document is kept if it fails no rule and, where
+    its host is rejected, is not borderline either.
     """
     host = F.col("source") if host is None else host
     narrow = docs.select(F.col(id_col).alias("id"), host.alias("host"), F.col(text_col).alias("t"))
     found = measured(narrow, F.col("host"), "t", rules).drop("t", "_host")
     found = staged(
-        found.withColumn("base_failed", base_failed(rules)).withColumn("failed", failed(rules)),
+        found.withColumns(
+            {
+                "base_failed": base_failed(rules),
+                "failed": failed(rules),
+                "borderline": failed(rules.borderline),
+            }
+        ),
         "document-measures",
     )
     verdicts = host_verdicts(found, rules).select("host", "rate", "host_rejected")
     return found.join(verdicts, "host", "left").select(
         F.col("id").alias(id_col),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"),
+        (
+            ~F.col("failed") & ~(F.col("borderline") & F.coalesce("host_rejected", F.lit(False)))
+        ).alias("kept"),
         "n_lines", "host", F.col("rate").alias("host_rate"),
     )
 
@@ -234,17 +256,21 @@ def kept_documents(
 ) -> DataFrame:
     """The documents that ``judge`` keeps, with all their columns.
 
-    The documents that pass their own rules are written once with their host; hosts' sums are
-    taken from all documents in the same pass, so texts are measured once and never shuffled
-    unless the hosts are too many to broadcast.
+    Nulls, empty texts, repeated rows and empty tables are as ``judge`` has them. Documents are
+    written once with their host; hosts' sums are taken from all documents in the same pass, so
+    texts are measured once and never shuffled unless the hosts are too many to broadcast. Only
+    borderline documents need their host's verdict.
     """
     host = F.col("source") if host is None else host
     columns = [F.col(f"`{c}`") for c in docs.columns]
     bare = docs.select(F.struct(*columns).alias("row"), host.alias("host"), F.col(text_col).alias("t"))
-    found = measured(bare, F.col("host"), "t", rules).withColumn("failed", failed(rules))
-    found = staged(found.select("row", "host", "failed"), "judged-documents")
-    verdicts = host_verdicts(found, rules).where("host_rejected").select("host")
+    found = measured(bare, F.col("host"), "t", rules).withColumns(
+        {"failed": failed(rules), "borderline": failed(rules.borderline)}
+    )
+    found = staged(found.select("row", "host", "failed", "borderline"), "judged-documents")
+    verdicts = host_verdicts(found, rules).where("host_rejected").select(F.col("host").alias("bad"))
+    rejected = F.col("borderline") & (F.col("host") == F.col("bad"))
     return (
-        found.where("not failed").join(staged(verdicts, "rejected-hosts"), "host", "left_anti")
+        found.where("not failed").join(staged(verdicts, "rejected-hosts"), rejected, "left_anti")
         .select("row.*")
     )

@@ -6,10 +6,8 @@ be written in it; their tests use brute force, round trips and held-out accuracy
 
 from __future__ import annotations
 
-import re
-
 from veildesk.llm.common import ascii_words
-from veildesk.llm.license_templates import BASE, NOTICES, Template
+from veildesk.llm.license_templates import BASE, MARK, NOTICES, Template
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = (
@@ -47,7 +45,10 @@ with docs as (
   select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from counted
 ), failing as (
   select *, base_failed or 100 * n_symbols > 30 * n_words or 100 * n_dup_lines > 50 * n_lines
-    or 10 * word_chars < 20 * n_words or 10 * word_chars > 200 * n_words as failed
+    or 10 * word_chars < 20 * n_words or 10 * word_chars > 200 * n_words as failed,
+    100 * n_repeat_words > 15 * n_words or 100 * n_symbols > 15 * n_words
+    or 100 * n_dup_lines > 25 * n_lines
+    or 10 * word_chars < 30 * n_words or 10 * word_chars > 150 * n_words as borderline
   from judged
 ), hosts as (
   select source, count(*)::double as n, sum(failed::int)::double as f
@@ -68,7 +69,7 @@ with docs as (
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars,
   n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines,
   n_repeat_words::bigint as n_repeat_words, base_failed,
-  not failed and not coalesce(rejected, false) as kept
+  not failed and not (borderline and coalesce(rejected, false)) as kept
 from failing left join verdicts using (source)
 """
 
@@ -126,19 +127,26 @@ from docs left join words using (r) left join named using (r)
 """
 
 
+def _other_than(word: str) -> str:
+    """Any word but one, in an expression language that cannot look ahead."""
+    parts = [f"[^ {word[0]}][^ ]*", f"{word}[^ ]+"]
+    parts += [f"{word[:k]}(?:[^ {word[k]}][^ ]*)?" for k in range(1, len(word))]
+    return f"(?:{'|'.join(parts)})"
+
+
 def _expression(template: Template) -> str:
     """A template as an expression over words that each end with a space."""
     out = []
-    marks = r'<<beginOptional>>|<<endOptional>>|<<var;match="(\d+)-(\d+)">>|[^<]+'
-    for mark in re.finditer(marks, template.wording):
+    for mark in MARK.finditer(template.wording):
         if mark[0] == "<<beginOptional>>":
             out.append("(?:")
         elif mark[0] == "<<endOptional>>":
             out.append(")?")
         elif mark[1]:
-            out.append(f"(?:[^ ]+ ){{{mark[1]},{mark[2]}}}")
+            word = _other_than(mark[3]) if mark[3] else "[^ ]+"
+            out.append(f"(?:{word} ){{{mark[1]},{mark[2]}}}")
         else:
-            out.append("".join(w.decode() + " " for w in ascii_words(mark[0])).replace(".", "[.]"))
+            out.append("".join(w.decode() + " " for w in ascii_words(mark[4])).replace(".", "[.]"))
     return " " + "".join(out)
 
 
