@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veildesk.functions.detectors import Detector, run_detector
-from veildesk.functions.patterns import detect_patterns, no_spans
+from veildesk.functions.patterns import detect_patterns, no_spans, running_totals
 from veildesk.functions.spans import (
     allow_terms,
     cut,
@@ -34,7 +34,7 @@ from veildesk.functions.spans import (
     widen_spans,
 )
 from veildesk.functions.text import let, needs_scan
-from veildesk.functions.tree import map_strings, string_leaves
+from veildesk.functions.tree import all_leaves, leaf_count, map_leaves, string_leaves
 from veildesk.functions.urls import is_own_url, sanitize_url, url_parts
 from veildesk.plans.propagation import propagate, scope_values
 from veildesk.plans.vault import (
@@ -44,7 +44,7 @@ from veildesk.plans.vault import (
     keyed,
     number_values,
 )
-from veildesk.staging import allow_deep_expressions, staged, with_found
+from veildesk.staging import deep_expressions, staged, with_found
 
 
 @dataclass(frozen=True)
@@ -91,22 +91,24 @@ def _site(policy: Policy) -> Column:
     return F.lit(policy.site) if isinstance(policy.site, str) else policy.site
 
 
-def record_texts(df: DataFrame, columns: Sequence[str], policy: Policy) -> Column:
-    """All texts of a record that need scanning, in traversal order."""
-    leaves = F.concat(
-        *[string_leaves(F.col(c), df.schema[c].dataType) for c in columns]
+def _leaves(df: DataFrame, columns: Sequence[str]) -> Column:
+    return F.concat(*[all_leaves(F.col(c), df.schema[c].dataType) for c in columns])
+
+
+def _parts(text: Column, policy: Policy) -> Column:
+    """What is scanned of a leaf: its own text, or the parts of one of the helpdesk's URLs."""
+    site = _site(policy)
+    return F.when(is_own_url(text, site), url_parts(text, site, policy.scan_fragment)).otherwise(
+        F.array(text)
     )
+
+
+def record_texts(df: DataFrame, columns: Sequence[str], policy: Policy) -> Column:
+    """All texts of a record in traversal order, by place; null where nothing needs a scan."""
+    texts = _leaves(df, columns)
     if policy.site is not None:
-        site = _site(policy)
-        leaves = F.flatten(
-            F.transform(
-                leaves,
-                lambda s: F.when(
-                    is_own_url(s, site), url_parts(s, site, policy.scan_fragment)
-                ).otherwise(F.array(s)),
-            )
-        )
-    return F.filter(leaves, needs_scan)
+        texts = F.flatten(F.transform(texts, lambda s: _parts(s, policy)))
+    return F.transform(texts, lambda s: F.when(needs_scan(s), s))
 
 
 def detected(text: Column, policy: Policy, model: Column | None = None) -> Column:
@@ -138,15 +140,18 @@ def _merged_in_record(column: str, keep: tuple[str, ...], allow: tuple[str, ...]
             lambda k: F.zip_with(
                 texts,
                 spans,
-                lambda t, s: merge_spans(
-                    t, F.concat(s, allow_terms(t, match_known(t, k), policy.allow))
-                ),
+                lambda t, s: F.when(
+                    t.isNotNull(),
+                    merge_spans(t, F.concat(s, allow_terms(t, match_known(t, k), policy.allow))),
+                ).otherwise(no_spans()),
             ),
         )
 
     empty = F.transform(texts, lambda _: no_spans())
     return let(
-        F.transform(texts, lambda t: detected(t, policy)),
+        F.transform(
+            texts, lambda t: F.when(t.isNotNull(), detected(t, policy)).otherwise(no_spans())
+        ),
         lambda spans: F.when(
             F.exists(spans, lambda s: F.size(s) > 0), with_known(spans)
         ).otherwise(empty),
@@ -154,39 +159,68 @@ def _merged_in_record(column: str, keep: tuple[str, ...], allow: tuple[str, ...]
 
 
 def _rebuilt(
-    df: DataFrame, columns: Sequence[str], policy: Policy, texts: Column, clean: Column
+    df: DataFrame, columns: Sequence[str], policy: Policy, clean: Column
 ) -> dict[str, Column]:
-    """The columns with each scanned text looked up among the record's cleaned texts."""
-
-    def rebuilt(name: str, known: Column) -> Column:
-        def lookup(text: Column) -> Column:
-            return let(
-                F.array_position(known["texts"], text),
-                lambda at: F.when(at > 0, F.get(known["clean"], (at - 1).cast("int"))).otherwise(
-                    text
-                ),
-            )
-
-        def leaf(s: Column) -> Column:
-            if policy.site is None:
-                return lookup(s)
-            site = _site(policy)
-            return F.when(
-                is_own_url(s, site),
-                sanitize_url(s, site, lookup, policy.scan_fragment, policy.keep_repeated),
-            ).otherwise(lookup(s))
+    """The columns with each text replaced by the one at its place in ``clean``, if there is one.
+
+    ``clean`` follows ``record_texts``; an empty one leaves the record as it is.
+    """
+    # Where the texts of each leaf begin: a URL has several.
+    ends = F.array().cast("array<int>")
+    if policy.site is not None:
+        sizes = F.transform(_leaves(df, columns), lambda s: F.size(_parts(s, policy)))
+        ends = running_totals(sizes)
+    # Bound once per record: a leaf inside an array must not clean the record again.
+    known = F.struct(clean.alias("clean"), F.when(F.size(clean) > 0, ends).alias("ends"))
+
+    def leaf(known: Column, text: Column, at: Column) -> Column:
+        if policy.site is None:
+            return F.coalesce(F.get(known["clean"], at), text)
+        site, start = _site(policy), F.coalesce(F.get(known["ends"], at - 1), F.lit(0))
+
+        def url(parts: Column) -> Column:
+            def lookup(part: Column) -> Column:
+                place = F.array_position(parts, part).cast("int")
+                new = F.when(place > 0, F.get(known["clean"], start + place - 1))
+                return F.coalesce(new, part)
+
+            return sanitize_url(text, site, lookup, policy.scan_fragment, policy.keep_repeated)
 
         return F.when(
-            F.size(known["texts"]) > 0, map_strings(F.col(name), df.schema[name].dataType, leaf)
-        ).otherwise(F.col(name))
+            is_own_url(text, site), let(url_parts(text, site, policy.scan_fragment), url)
+        ).otherwise(F.coalesce(F.get(known["clean"], start), text))
 
-    # Bound once per record: a leaf inside an array must not clean the record again.
-    known = F.struct(texts.alias("texts"), clean.alias("clean"))
+    def rebuilt(name: str, before: Column) -> Column:
+        kind = df.schema[name].dataType
+
+        def whole(k: Column) -> Column:
+            new = map_leaves(F.col(name), kind, before, lambda s, at: leaf(k, s, at))
+            return F.when(F.size(k["clean"]) > 0, new).otherwise(F.col(name))
+
+        return let(known, whole)
+
+    out, before = {}, F.lit(0)
+    for name in columns:
+        out[name] = rebuilt(name, before)
+        before = before + leaf_count(F.col(name), df.schema[name].dataType)
+    return out
 
-    def bound(name: str) -> Column:
-        return let(known, lambda k: rebuilt(name, k))
 
-    return {c: bound(c) for c in columns}
+def _by_place(changed: Column) -> Column:
+    """Cleaned texts by place, from an array of ``struct<cell,clean>`` in order of ``cell``."""
+
+    def none(n: Column) -> Column:
+        return F.array_repeat(F.lit(None).cast("string"), n)
+
+    def filled(rows: Column) -> Column:
+        def gap(x: Column, i: Column) -> Column:
+            return F.coalesce(F.get(rows, i + 1)["cell"] - x["cell"] - 1, F.lit(0))
+
+        rest = F.transform(rows, lambda x, i: F.concat(F.array(x["clean"]), none(gap(x, i))))
+        return F.concat(none(F.get(rows, F.lit(0))["cell"]), F.flatten(rest))
+
+    empty = F.array().cast("array<string>")
+    return F.when(F.size(changed) > 0, let(changed, filled)).otherwise(empty)
 
 
 # ------------------------------------------------------------------ the tables
@@ -197,31 +231,32 @@ def distinct_texts(cells: DataFrame) -> DataFrame:
     return cells.select("text").distinct().withColumn("digest", F.sha2("text", 256))
 
 
-def record_id(keys: Sequence[str], columns: Sequence[str]) -> Column:
-    """What tells records apart: the keys, which may be null or repeated, and the content.
+#: Number of a record, told from others even where keys are null or repeated.
+ROW = "_record_row"
 
-    Rows of equal keys and equal content have equal redactions, so they may share an id; rows
-    that share only their keys do not, however many they are. A struct compares its null
-    fields as equal, so joins on it find rows with null keys as well.
-    """
-    content = F.sha2(F.to_json(F.struct(*columns)), 256)
-    return F.struct(*keys, content.alias("_content"))
+
+def with_rows(df: DataFrame) -> DataFrame:
+    """The records with a number each, written once, so that the number stays the same."""
+    if ROW in df.columns:
+        return df
+    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), "records")
 
 
 def record_cells(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy
 ) -> DataFrame:
-    """One row per text to scan: ``record, scope, cell, text``."""
-    record = record_id(keys, columns)
+    """One row per text to scan: ``record, keys, scope, cell, text`` of ``with_rows`` records;
+    ``cell`` is the text's place in the record."""
     return df.select(
-        record.alias("record"),
-        (F.struct(*policy.scope) if policy.scope else record).alias("scope"),
+        F.col(ROW).alias("record"),
+        F.struct(*keys).alias("keys"),
+        (F.struct(*policy.scope) if policy.scope else F.col(ROW)).alias("scope"),
         F.posexplode(record_texts(df, columns, policy)).alias("cell", "text"),
-    )
+    ).where(F.col("text").isNotNull())
 
 
 def _hits(cells: DataFrame, policy: Policy) -> DataFrame:
-    """Cells with a detection: ``record, scope, cell, text, spans``."""
+    """Cells with a detection: ``record, keys, scope, cell, text, spans``."""
     text = F.col("text")
     if policy.detector is None:
         return with_found(cells, "spans", detected(text, policy))
@@ -229,24 +264,30 @@ def _hits(cells: DataFrame, policy: Policy) -> DataFrame:
         "spans", "model"
     )
     found = with_found(scored, "spans", detected(text, policy, F.col("model"))).drop("model")
-    places = cells.select("record", "scope", "cell", F.sha2("text", 256).alias("digest"))
-    return places.join(found, "digest").select("record", "scope", "cell", "text", "spans")
+    places = cells.select("record", "keys", "scope", "cell", F.sha2("text", 256).alias("digest"))
+    return places.join(found, "digest").select("record", "keys", "scope", "cell", "text", "spans")
 
 
 def _merged_in_scope(cells: DataFrame, policy: Policy) -> DataFrame:
-    """``record, cell, text, merged`` with known values searched in the whole scope."""
+    """``record, keys, cell, text, merged`` with known values searched in the whole scope."""
+    cells = staged(cells, "cells")
     hits = staged(_hits(cells, policy), "hits")
     known = propagate(cells, scope_values(hits)).withColumn(
         "spans", allow_terms(F.col("text"), F.col("spans"), policy.allow)
     )
-    parts = hits.select("record", "cell", "text", "spans", F.lit(0).alias("kind")).unionByName(
+    parts = hits.select("record", "keys", "cell", "text", "spans", F.lit(0).alias("kind")).unionByName(
         known.where(F.size("spans") > 0).withColumn("kind", F.lit(1))
     )
     return (
         parts.groupBy("record", "cell")
-        .agg(F.max("text").alias("text"), F.collect_list(F.struct("kind", "spans")).alias("parts"))
+        .agg(
+            F.first("keys").alias("keys"),
+            F.first("text").alias("text"),
+            F.collect_list(F.struct("kind", "spans")).alias("parts"),
+        )
         .select(
             "record",
+            "keys",
             "cell",
             "text",
             merge_spans(
@@ -260,9 +301,10 @@ def _merged_in_scope(cells: DataFrame, policy: Policy) -> DataFrame:
 def _merged_per_record(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy
 ) -> DataFrame:
-    """``record, cell, text, merged`` without a shuffle: the record is the scope."""
+    """``record, keys, cell, text, merged`` without a shuffle: the record is the scope."""
     texts = df.select(
-        record_id(keys, columns).alias("record"),
+        F.col(ROW).alias("record"),
+        F.struct(*keys).alias("keys"),
         record_texts(df, columns, policy).alias("_texts"),
     )
     cells = F.transform(
@@ -271,30 +313,37 @@ def _merged_per_record(
             i.alias("cell"), F.get("_texts", i).alias("text"), m.alias("merged")
         ),
     )
-    return texts.select("record", F.inline(F.filter(cells, lambda c: F.size(c["merged"]) > 0)))
+    changed = F.filter(cells, lambda c: F.size(c["merged"]) > 0)
+    return texts.select("record", "keys", F.inline(changed))
 
 
 def merged_cells(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy
 ) -> DataFrame:
-    """Every text with something to redact and its final, disjoint spans."""
-    allow_deep_expressions(df.sparkSession)
-    if policy.narrow:
-        return _merged_per_record(df, keys, columns, policy)
-    return _merged_in_scope(record_cells(df, keys, columns, policy), policy)
+    """Every text with something to redact and its final, disjoint spans.
+
+    ``record, keys, cell, text, merged``; what is to be put back needs the records of
+    ``with_rows``, others are numbered here.
+    """
+    with deep_expressions(df.sparkSession):
+        if policy.narrow:
+            if ROW not in df.columns:
+                df = df.withColumn(ROW, F.monotonically_increasing_id())
+            return _merged_per_record(df, keys, columns, policy)
+        return _merged_in_scope(record_cells(with_rows(df), keys, columns, policy), policy)
 
 
 def occurrences(merged: DataFrame) -> DataFrame:
     """One row per span: ``record, cell, start, end, type, value, seen``."""
     text = F.col("text")
     return merged.select(
-        "record", "cell", "text", F.explode("merged").alias("s")
+        "record", "keys", "cell", "text", F.explode("merged").alias("s")
     ).select(
         "record",
         "cell",
         "s.*",
         cut(text, F.col("s.start"), F.col("s.end")).alias("value"),
-        F.struct("record", "cell", F.col("s.start").alias("start")).alias("seen"),
+        F.struct("keys", "record", "cell", F.col("s.start").alias("start")).alias("seen"),
     )
 
 
@@ -304,7 +353,7 @@ def named_values(merged: DataFrame) -> DataFrame:
 
 
 def _named_cells(merged: DataFrame, values: DataFrame, vault: DataFrame) -> DataFrame:
-    """``record, cell, text, clean`` with numbered placeholders from the vault."""
+    """``record, cell, clean`` with numbered placeholders from the vault."""
     names = values.select("value", "key").join(vault.select("key", "placeholder"), "key")
     named = (
         occurrences(merged)
@@ -316,7 +365,6 @@ def _named_cells(merged: DataFrame, values: DataFrame, vault: DataFrame) -> Data
     return merged.join(named, ["record", "cell"]).select(
         "record",
         "cell",
-        "text",
         redact(F.col("text"), F.col("named"), lambda s: s["placeholder"]).alias("clean"),
     )
 
@@ -332,12 +380,19 @@ def sanitize(
 
     With numbered placeholders the returned vault holds ``vault`` plus the new values.
     """
-    allow_deep_expressions(df.sparkSession)
     vault = empty_vault(df.sparkSession) if vault is None else vault
+    with deep_expressions(df.sparkSession):
+        return _sanitize(df, keys, columns, policy, vault)
+
+
+def _sanitize(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], policy: Policy, vault: DataFrame
+) -> Sanitized:
     if policy.narrow and not policy.pseudonyms:
         pairs = _sanitize_narrow(df, columns, policy)
         return _result(df, keys, columns, policy, pairs, vault)
 
+    df = with_rows(df)
     merged = staged(merged_cells(df, keys, columns, policy), "merged")
     values = None
     if policy.pseudonyms:
@@ -356,7 +411,9 @@ def _result(
     vault: DataFrame,
 ) -> Sanitized:
     """The redacted table, and the originals of the helpdesk's own URLs if there is a site."""
-    frame = pairs.select(*[F.col(f"_clean_{c}").alias(c) if c in columns else c for c in df.columns])
+    frame = pairs.select(
+        *[F.col(f"_clean_{c}").alias(c) if c in columns else c for c in df.columns if c != ROW]
+    )
     if policy.site is None:
         return Sanitized(frame, vault)
     own = [
@@ -385,9 +442,11 @@ def put_back(
     values: DataFrame | None,
     vault: DataFrame,
 ) -> DataFrame:
-    """``df`` with the merged cells replaced by placeholders (the vault's, if numbered)."""
-    pairs = _put_back(df, keys, columns, policy, merged, values, vault)
-    return _result(df, keys, columns, policy, pairs, vault).frame
+    """``df`` (``with_rows``) with the merged cells replaced by placeholders (the vault's, if
+    numbered), without the rows' numbers."""
+    with deep_expressions(df.sparkSession):
+        pairs = _put_back(df, keys, columns, policy, merged, values, vault)
+        return _result(df, keys, columns, policy, pairs, vault).frame
 
 
 def _put_back(
@@ -406,33 +465,30 @@ def _put_back(
         cleaned = merged.withColumn(
             "clean", redact(F.col("text"), F.col("merged"), plain_placeholder)
         )
-    changed = cleaned.groupBy(F.col("record").alias("_record")).agg(
-        F.collect_set(F.struct("text", "clean")).alias("_changed")
+    changed = cleaned.groupBy(F.col("record").alias(ROW)).agg(
+        F.array_sort(F.collect_list(F.struct("cell", "clean"))).alias("_changed")
     )
-    joined = (
-        df.withColumn("_record", record_id(keys, columns))
-        .join(changed, "_record", "left")
-        .withColumns(
-            {
-                "_texts": F.transform("_changed", lambda c: c["text"]),
-                "_clean": F.transform("_changed", lambda c: c["clean"]),
-            }
-        )
-    )
-    rebuilt = _rebuilt(df, columns, policy, F.col("_texts"), F.col("_clean"))
+    joined = df.join(changed, ROW, "left").withColumn("_clean", _by_place(F.col("_changed")))
+    rebuilt = _rebuilt(df, columns, policy, F.col("_clean"))
     return joined.select(*df.columns, *[new.alias(f"_clean_{c}") for c, new in rebuilt.items()])
 
 
 def _sanitize_narrow(df: DataFrame, columns: Sequence[str], policy: Policy) -> DataFrame:
     """``df`` and, as ``_clean_<column>``, its redacted columns, in one projection."""
     texts = F.col("_texts")
-    clean = F.zip_with(
-        texts,
+    clean = let(
         merged_in_record("_texts", policy),
-        lambda t, m: redact(t, m, plain_placeholder),
+        lambda merged: F.when(
+            F.exists(merged, lambda m: F.size(m) > 0),
+            F.zip_with(
+                texts,
+                merged,
+                lambda t, m: F.when(F.size(m) > 0, redact(t, m, plain_placeholder)),
+            ),
+        ).otherwise(F.array().cast("array<string>")),
     )
     scanned = df.withColumn("_texts", record_texts(df, columns, policy)).withColumn("_clean", clean)
-    rebuilt = _rebuilt(df, columns, policy, texts, F.col("_clean"))
+    rebuilt = _rebuilt(df, columns, policy, F.col("_clean"))
     return scanned.select(*df.columns, *[new.alias(f"_clean_{c}") for c, new in rebuilt.items()])
 
 
@@ -477,7 +533,9 @@ def redaction_report(
     Found are the formats' and the detector's spans; left are those that are not kept, after
     widening and the allowlist, which may cut one in several or remove it.
     """
-    cells = record_cells(df, keys, columns, policy).select("record", "text")
+    if ROW not in df.columns:
+        df = df.withColumn(ROW, F.monotonically_increasing_id())
+    cells = record_cells(df, keys, columns, policy).select("keys", "text")
     text = F.col("text")
     if policy.detector is None:
         raw = detect_patterns(text)
@@ -498,9 +556,9 @@ def redaction_report(
             lambda x: F.struct(F.lit(stage).alias("stage"), x["type"].alias("type")),
         )
 
-    found = cells.select("record", let(raw, stages).alias("s"))
+    found = cells.select("keys", let(raw, stages).alias("s"))
     all_types = F.concat(*[types(stage) for stage in ("found", "open", "left")])
-    rows = found.select("record", F.explode(all_types).alias("x")).select("record.*", "x.*")
+    rows = found.select("keys", F.explode(all_types).alias("x")).select("keys.*", "x.*")
 
     def count(stage: str) -> Column:
         return F.count_if(F.col("stage") == stage)

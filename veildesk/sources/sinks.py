@@ -26,15 +26,16 @@ def write_sanitized(
     """Redact and write as one job; a failing detector fails it before the commit, so the
     target holds either the redacted table or nothing.
 
-    With ``vault_path`` the vault after the run is written there. What the job staged on its
-    way goes at its end, so without a path the numbered vault is not returned.
+    With ``vault_path`` the vault after the run is written there, before the table: whatever
+    fails after that, no placeholder stands in the table that the vault does not know. What the
+    job staged on its way goes at its end, so without a path the numbered vault is not returned.
     """
     spark = df.sparkSession
     with run_folder(spark):
         done = sanitize(df, keys, columns, policy, vault)
-        done.frame.write.mode(mode).format(file_format).save(path)
         if vault_path is not None:
             done.vault.write.mode("overwrite").parquet(vault_path)
+        done.frame.write.mode(mode).format(file_format).save(path)
     schema = done.frame.schema
     frame = spark.read.schema(schema).format(file_format).load(path)
     if vault_path is None:

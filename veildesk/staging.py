@@ -77,12 +77,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def allow_deep_expressions(spark: SparkSession) -> None:
+@contextmanager
+def deep_expressions(spark: SparkSession) -> Iterator[None]:
     """Spark resolves nested lambdas level by level and gives up after a number of passes; a
-    whole redaction in one expression, over nested columns, can need more than the default."""
+    whole redaction in one expression, over nested columns, can need more than the default.
+
+    A DataFrame is resolved when it is made, so the setting is the session's own again after.
+    """
     setting, passes = "spark.sql.analyzer.maxIterations", 400
-    if int(spark.conf.get(setting, "100")) < passes:
+    before = spark.conf.get(setting, None)
+    if int(before or 100) < passes:
         spark.conf.set(setting, str(passes))
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
 
 
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:

@@ -24,6 +24,7 @@ from veildesk.plans.redaction import (
     named_values,
     put_back,
     sanitize_df,
+    with_rows,
 )
 from veildesk.plans.vault import (
     empty_vault,
@@ -242,6 +243,7 @@ def stream_pseudonyms(
     """
 
     def work(batch: DataFrame, number: int) -> None:
+        batch = with_rows(batch)
         merged = staged(merged_cells(batch, keys, columns, policy), "merged")
         values = named_values(merged)
         names = staged(vault.numbered(first_seen(values)), "names")
