@@ -13,6 +13,7 @@ from veildesk.functions import patterns, scoring, spans, windows
 from veildesk.functions.detectors import GazetteerDetector, run_detector
 from veildesk.functions.text import needs_scan
 from veildesk.functions.tree import map_strings
+from veildesk.plans.memo import DetectionMemo
 from veildesk.plans.propagation import propagate, scope_values
 from veildesk.plans.redaction import (
     Policy,
@@ -908,3 +909,27 @@ def detector_plugin(spark, sf_dir):
         .groupBy("digest", "s.type")
         .agg(F.count("*").alias("n"))
     )
+
+
+@check(
+    "detector_memo",
+    f"""
+    select sha256(text) as digest, type, run, count(*) as n from (
+        select text, run, case w {" ".join(f"when '{w}' then '{t}'" for w, t in GAZETTEER.items())}
+                          end as type
+        from (select text, run, unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+')) as w
+              from (select text, if(bool_or(doc_id % 2 = 0), 1, 2) as run from documents group by text)))
+    where type is not null group by all""",
+)
+def detector_memo(spark, sf_dir):
+    """The documents of even id, then all: the second run detects only what the first had not."""
+    docs = table(spark, sf_dir, "documents").where(needs_scan(F.col("text")))
+    memo, detector = DetectionMemo(scratch_path(spark, "memo")), GazetteerDetector(GAZETTEER)
+    memo.detect(distinct_text_rows(docs.where("doc_id % 2 = 0").select("text")), detector)
+    found = memo.detect(distinct_text_rows(docs.select("text")), detector)
+    run = memo.answers(spark, detector).select("digest", F.substring("run", 1, 6).cast("int").alias("run"))
+    return (
+        found.join(run, "digest").select("digest", "run", F.explode("spans").alias("s"))
+        .groupBy("digest", "s.type", "run")
+        .agg(F.count("*").alias("n"))
+    )

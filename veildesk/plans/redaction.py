@@ -36,6 +36,7 @@ from veildesk.functions.spans import (
 from veildesk.functions.text import let, needs_scan
 from veildesk.functions.tree import all_leaves, leaf_count, map_leaves, string_leaves
 from veildesk.functions.urls import is_own_url, sanitize_url, url_parts
+from veildesk.plans.memo import DetectionMemo
 from veildesk.plans.propagation import propagate, scope_values
 from veildesk.plans.vault import (
     distinct_values,
@@ -52,7 +53,7 @@ class Policy:
     """What to redact and how.
 
     ``scope`` names the columns whose values bound the search for known values; None
-    means each record by itself. ``site`` is the address prefix of the helpdesk's own
+    means each record by itself. ``memo`` keeps a detector's answers from run to run. ``site`` is the address prefix of the helpdesk's own
     URLs, as text or as a column.
     """
 
@@ -61,6 +62,7 @@ class Policy:
     pseudonyms: bool = True
     scope: Sequence[str] | None = None
     detector: Detector | None = None
+    memo: DetectionMemo | None = None
     site: str | Column | None = None
     scan_fragment: bool = True
     keep_repeated: bool = True
@@ -255,14 +257,19 @@ def record_cells(
     ).where(F.col("text").isNotNull())
 
 
+def _scored(cells: DataFrame, policy: Policy) -> DataFrame:
+    """``digest, text, spans``: what the detector says of each text, once."""
+    if policy.memo is not None:
+        return policy.memo.detect(distinct_texts(cells), policy.detector)
+    return run_detector(distinct_texts(cells), policy.detector)
+
+
 def _hits(cells: DataFrame, policy: Policy) -> DataFrame:
     """Cells with a detection: ``record, keys, scope, cell, text, spans``."""
     text = F.col("text")
     if policy.detector is None:
         return with_found(cells, "spans", detected(text, policy))
-    scored = run_detector(distinct_texts(cells), policy.detector).withColumnRenamed(
-        "spans", "model"
-    )
+    scored = _scored(cells, policy).withColumnRenamed("spans", "model")
     found = with_found(scored, "spans", detected(text, policy, F.col("model"))).drop("model")
     places = cells.select("record", "keys", "scope", "cell", F.sha2("text", 256).alias("digest"))
     return places.join(found, "digest").select("record", "keys", "scope", "cell", "text", "spans")
@@ -540,7 +547,7 @@ def redaction_report(
     if policy.detector is None:
         raw = detect_patterns(text)
     else:
-        scored = run_detector(distinct_texts(cells), policy.detector)
+        scored = _scored(cells, policy)
         model = scored.select("digest", F.col("spans").alias("model"))
         cells = cells.withColumn("digest", F.sha2("text", 256)).join(model, "digest")
         raw = F.concat(detect_patterns(text), F.col("model"))
