@@ -9,6 +9,7 @@ from veildesk.checks.tables import duck, table
 from veildesk.functions.text import needs_scan
 from veildesk.operators import activity, changes, directory, search, tickets, versions, views
 from veildesk.plans.redaction import Policy
+from veildesk.sources import page_store
 from veildesk.sources.attachments import attachment_manifest, with_attachment_names
 from veildesk.sources.exports import (
     comment_table,
@@ -103,14 +104,32 @@ def _export(spark, sf_dir):
     return read_paged_export(pages, "tickets", TICKET_ITEM, {"users": "id bigint, name string"})
 
 
-@check("""
+_EXPORTED = """
     select cast(floor(id / 100) as bigint) as page_no,
            row_number() over (partition by floor(id / 100) order by id) - 1 as pos,
            id, subject, status, requester_id,
            case when id % 13 <> 5 then array_to_string(tags, ',') end as tags
-    from {tickets}""")
+    from {tickets}"""
+
+
+@check(_EXPORTED)
 def read_paged_export_(spark, sf_dir):
-    items = _export(spark, sf_dir).items
+    return _export_items(_export(spark, sf_dir).items)
+
+
+@check(_EXPORTED)
+def read_stored_export_(spark, sf_dir):
+    """The same pages stored by range, behind them a tail that a read must not reach."""
+    pages, path = ticket_pages(spark, sf_dir), scratch_path(spark, "stored-pages")
+    tail = pages.select((F.col("page_no") + 1_000_000_000).alias("page_no"), F.lit("no page").alias("body"))
+    page_store.store_pages(pages.unionByName(tail), path, "tickets", pages_in_a_range=16)
+    users = {"users": "id bigint, name string"}
+    return _export_items(
+        page_store.read_stored_export(spark, path, "tickets", TICKET_ITEM, users).items
+    )
+
+
+def _export_items(items):
     return items.select(
         "page_no", F.col("pos").cast("bigint").alias("pos"), "id", "subject", "status",
         "requester_id", _tags(),
