@@ -59,12 +59,37 @@ def whole_word(alternatives: Column | str) -> Column | str:
 
 
 def terms_regex(terms: Iterable[str]) -> str | None:
-    """Case-insensitive whole-word pattern for a configured term list, longest first."""
-    quoted = [
-        "".join("\\" + ch if ch in REGEX_SPECIALS else ch for ch in term)
-        for term in sorted(terms, key=len, reverse=True)
-    ]
-    return "(?iu)" + whole_word("|".join(quoted)) if quoted else None
+    """Case-insensitive whole-word pattern for a configured term list, the longest term first.
+
+    The terms become a tree of their shared beginnings, so a place in a text is compared with
+    the few branches that are still possible there and not with every term.
+    """
+    root: dict = {}
+    for term in terms:
+        node = root
+        for ch in term:
+            lower = ch.lower()
+            node = node.setdefault(lower if len(lower) == 1 else ch, {})
+        node[""] = {}
+    return "(?iu)" + whole_word(_branches(root)) if root else None
+
+
+def _branches(node: dict) -> str:
+    """The alternatives of a tree of characters; "" marks that a term ends at the node."""
+    out = []
+    for ch, below in node.items():
+        if ch == "":
+            continue
+        text = ch
+        while len(below) == 1 and "" not in below:  # no choice here
+            (ch, below), *_ = below.items()
+            text += ch
+        head = "".join("\\" + c if c in REGEX_SPECIALS else c for c in text)
+        rest = _branches(below)
+        if rest:
+            rest = f"(?:{rest})" + ("?" if "" in below else "")
+        out.append(head + rest)
+    return "|".join(out)
 
 
 def comma_list(value: str) -> list[str]:
