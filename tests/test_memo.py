@@ -84,3 +84,21 @@ def test_a_bounded_memo_forgets_old_runs(spark, tmp_path):
     assert left.select("run").distinct().count() == 2 and left.count() <= 4
     # What every run met was asked for again only once its own run had gone.
     assert asked(log).count("Ann always") == 2
+
+
+@pytest.mark.parametrize("pseudonyms", [False, True])
+def test_report_and_redaction_come_from_one_detection(spark, tmp_path, pseudonyms):
+    log = tmp_path / "log"
+    policy = R.Policy(
+        pseudonyms=pseudonyms, detector=Counting({"Ann": "X", "Bob": "FINANCIAL_AMOUNT"}, log=str(log)),
+        allow=["b.co"],
+    )
+    df = frame(spark, ["Ann to a@b.co", "to Bob", "Ann to a@b.co", None, "", "of Ann"])
+    done, report = R.sanitize_with_report(df, ["id"], ["body"], policy)
+    cleaned = [r.body for r in done.frame.orderBy("id").collect()]
+    counts = sorted(tuple(r) for r in report.collect())
+    assert asked(log) == ["Ann to a@b.co", "of Ann", "to Bob"]
+    assert counts == sorted(tuple(r) for r in R.redaction_report(df, ["id"], ["body"], policy).collect())
+    assert (1, "FINANCIAL_AMOUNT", 1, 1, 0) in counts
+    assert cleaned == clean(df, policy)
+    assert done.frame.columns == df.columns

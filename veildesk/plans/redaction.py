@@ -124,6 +124,38 @@ def detected(text: Column, policy: Policy, model: Column | None = None) -> Colum
     )
 
 
+def _stages(text: Column, raw: Column, policy: Policy) -> Column:
+    """Spans found, those not kept by policy, and what widening and the allowlist leave."""
+
+    def of(spans: Column) -> Column:
+        kept = keep_entities(spans, policy.keep)
+        left = allow_terms(text, widen_spans(text, kept), policy.allow)
+        return F.struct(spans.alias("found"), kept.alias("open"), left.alias("left"))
+
+    return let(raw, of)
+
+
+def _counted(stages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts by record key and type from rows of ``keys, s``, ``s`` as ``_stages`` has it."""
+
+    def types(stage: str) -> Column:
+        return F.transform(
+            F.col(f"s.{stage}"),
+            lambda x: F.struct(F.lit(stage).alias("stage"), x["type"].alias("type")),
+        )
+
+    def count(stage: str) -> Column:
+        return F.count_if(F.col("stage") == stage)
+
+    all_types = F.concat(*[types(stage) for stage in ("found", "open", "left")])
+    rows = stages.select("keys", F.explode(all_types).alias("x")).select("keys.*", "x.*")
+    return rows.groupBy(*keys, "type").agg(
+        count("found").alias("n_found"),
+        (count("found") - count("open")).alias("n_kept"),
+        count("left").alias("n_redacted"),
+    )
+
+
 def merged_in_record(texts: str, policy: Policy) -> Column:
     """Merged spans of each text in an array column, known values searched in the record."""
     return _merged_in_record(texts, tuple(policy.keep), tuple(policy.allow))
@@ -278,7 +310,10 @@ def _hits(cells: DataFrame, policy: Policy) -> DataFrame:
 def _merged_in_scope(cells: DataFrame, policy: Policy) -> DataFrame:
     """``record, keys, cell, text, merged`` with known values searched in the whole scope."""
     cells = staged(cells, "cells")
-    hits = staged(_hits(cells, policy), "hits")
+    return _merged_from_hits(cells, staged(_hits(cells, policy), "hits"), policy)
+
+
+def _merged_from_hits(cells: DataFrame, hits: DataFrame, policy: Policy) -> DataFrame:
     known = propagate(cells, scope_values(hits)).withColumn(
         "spans", allow_terms(F.col("text"), F.col("spans"), policy.allow)
     )
@@ -401,6 +436,17 @@ def _sanitize(
 
     df = with_rows(df)
     merged = staged(merged_cells(df, keys, columns, policy), "merged")
+    return _from_merged(df, keys, columns, policy, merged, vault)
+
+
+def _from_merged(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    policy: Policy,
+    merged: DataFrame,
+    vault: DataFrame,
+) -> Sanitized:
     values = None
     if policy.pseudonyms:
         values = named_values(merged)
@@ -543,35 +589,43 @@ def redaction_report(
     if ROW not in df.columns:
         df = df.withColumn(ROW, F.monotonically_increasing_id())
     cells = record_cells(df, keys, columns, policy).select("keys", "text")
-    text = F.col("text")
-    if policy.detector is None:
-        raw = detect_patterns(text)
-    else:
-        scored = _scored(cells, policy)
-        model = scored.select("digest", F.col("spans").alias("model"))
-        cells = cells.withColumn("digest", F.sha2("text", 256)).join(model, "digest")
-        raw = F.concat(detect_patterns(text), F.col("model"))
+    raw_cells, raw = _raw(cells, policy)
+    return _counted(raw_cells.select("keys", _stages(F.col("text"), raw, policy).alias("s")), keys)
 
-    def stages(spans: Column) -> Column:
-        kept = keep_entities(spans, policy.keep)
-        left = allow_terms(text, widen_spans(text, kept), policy.allow)
-        return F.struct(spans.alias("found"), kept.alias("open"), left.alias("left"))
 
-    def types(stage: str) -> Column:
-        return F.transform(
-            F.col(f"s.{stage}"),
-            lambda x: F.struct(F.lit(stage).alias("stage"), x["type"].alias("type")),
-        )
+def sanitize_with_report(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    policy: Policy = Policy(),
+    vault: DataFrame | None = None,
+) -> tuple[Sanitized, DataFrame]:
+    """``sanitize`` and ``redaction_report`` from one run: every text is read and detected once.
 
-    found = cells.select("keys", let(raw, stages).alias("s"))
-    all_types = F.concat(*[types(stage) for stage in ("found", "open", "left")])
-    rows = found.select("keys", F.explode(all_types).alias("x")).select("keys.*", "x.*")
+    The spans of each stage are written with the texts that have any; the report is an aggregate
+    of what was written, and the redaction goes on from the spans that are left.
+    """
+    spark = df.sparkSession
+    vault = empty_vault(spark) if vault is None else vault
+    with deep_expressions(spark):
+        df = with_rows(df)
+        cells = staged(record_cells(df, keys, columns, policy), "cells")
+        raw_cells, raw = _raw(cells, policy)
+        stages = raw_cells.withColumn("s", _stages(F.col("text"), raw, policy)).drop("model")
+        found = staged(stages.where(F.size("s.found") > 0), "stages")
+        hits = found.where(F.size("s.left") > 0).select(
+            "record", "keys", "scope", "cell", "text", F.col("s.left").alias("spans")
+        )
+        merged = staged(_merged_from_hits(cells, hits, policy), "merged")
+        done = _from_merged(df, keys, columns, policy, merged, vault)
+    return done, _counted(found, keys)
 
-    def count(stage: str) -> Column:
-        return F.count_if(F.col("stage") == stage)
 
-    return rows.groupBy(*keys, "type").agg(
-        count("found").alias("n_found"),
-        (count("found") - count("open")).alias("n_kept"),
-        count("left").alias("n_redacted"),
-    )
+def _raw(cells: DataFrame, policy: Policy) -> tuple[DataFrame, Column]:
+    """``cells`` with what the detector says of their texts, if there is one, and all spans."""
+    formats = detect_patterns(F.col("text"))
+    if policy.detector is None:
+        return cells, formats
+    scored = _scored(cells, policy).select("digest", F.col("spans").alias("model"))
+    joined = cells.withColumn("digest", F.sha2("text", 256)).join(scored, "digest").drop("digest")
+    return joined, F.concat(formats, F.col("model"))
