@@ -1,8 +1,11 @@
 """Language identification and weak-label quality: held-out accuracy and odd rows."""
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import xxhash
 
 from veildesk.llm import language_id as L
 from veildesk.llm import linear
@@ -99,3 +102,109 @@ def test_quality_odd_rows(documents_of, odd_rows):
     assert len(found) == len(odd_rows) + 1
     assert all(0 <= r["score"] <= 1 and 0 <= r["posterior"] <= 1 for r in found)
     assert Q.score_quality(docs.where("1 = 0")).count() == 0
+
+
+def ngrams_by_hand(raw):
+    """Unit vector of the roots of hashed bi- and trigram counts, one n-gram after the other."""
+    mask, counts = (1 << 32) - 1, Counter()
+    for i in range(len(raw) - 1):
+        two = (raw[i] * 0x9E3779B1 & mask) ^ (raw[i + 1] * 0x85EBCA77 & mask)
+        counts[two >> 20] += 1
+        if i + 2 < len(raw):
+            counts[(two ^ (raw[i + 2] * 0xC2B2AE3D & mask)) >> 20] += 1
+    total = sum(counts.values())
+    return {k: math.sqrt(n / total) for k, n in counts.items()}
+
+
+def language_by_hand(model, text):
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    kept = "".join(c if ord(c) >= 128 or c.isalpha() else " " for c in text)
+    kept = "".join(c.lower() if "A" <= c <= "Z" else c for c in kept)
+    x = ngrams_by_hand(f" {kept} ".encode())
+    w = model.weights.astype(float)
+    margin = [sum(v * w[k, c] for k, v in x.items()) + w[-1, c] for c in range(w.shape[1])]
+    level = [math.exp(4 * min(5, max(-5, m))) for m in margin[: len(model.families)]]
+    family = model.families[level.index(max(level))]
+    score = max(level) / sum(level)
+    names = model.languages[family]
+    if len(names) == 1:
+        return names[0], score
+    won, trust = Counter(), Counter()
+    for a, b, column in model.pairs[family]:
+        sure = 1 / (1 + math.exp(-4 * margin[column]))
+        won[a if sure >= 0.5 else b] += 1
+        trust[a] += sure
+        trust[b] += 1 - sure
+    best = max(range(len(names)), key=lambda k: (won[k], trust[k], -k))
+    return names[best], score * trust[best] / (len(names) - 1)
+
+
+def test_languages_recomputed_from_the_weights(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = L.fit(docs, L.crc_bucket("doc_id", 3) != 1)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for row in L.identify(docs).collect():
+        language, score = language_by_hand(model, texts[row["doc_id"]])
+        assert row["lang_pred"] == language and math.isclose(row["score"], score, abs_tol=2e-4)
+
+
+def posteriors_by_hand(counts):
+    """Expectation and maximisation over ``{votes: documents}``, one vote after the other."""
+    good = {v: 0.1 if Q.JUNK in v else 0.9 for v in counts}
+    total = sum(counts.values())
+    for _ in range(200):
+        share, table = [], []
+        for side in (0, 1):
+            weight = {v: n * (good[v] if side else 1 - good[v]) for v, n in counts.items()}
+            share.append((sum(weight.values()) + 0.5) / (total + 1))
+            rates = []
+            for k in range(len(next(iter(counts)))):
+                junk = sum(w for v, w in weight.items() if v[k] == Q.JUNK)
+                voted = sum(w for v, w in weight.items() if v[k] != Q.SILENT)
+                rates.append((junk + 0.5) / (voted + 1))
+            table.append(rates)
+        new = {}
+        for v in counts:
+            odds = [
+                math.log(share[side])
+                + sum(
+                    math.log(r if vote == Q.JUNK else 1 - r)
+                    for vote, r in zip(v, table[side], strict=True)
+                    if vote != Q.SILENT
+                )
+                for side in (0, 1)
+            ]
+            new[v] = 1 / (1 + math.exp(min(700, odds[0] - odds[1])))
+        moved = max(abs(new[v] - good[v]) for v in counts)
+        if moved < 1e-9:
+            break
+        good = new
+    return good
+
+
+def test_quality_recomputed(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    votes = {i: Q.labellers(Q.Shape(t)) for i, t in texts.items()}
+    good = posteriors_by_hand(Counter(votes.values()))
+    # The scorer's sample: of each side the distinct texts of smallest hash, here all of them.
+    sample = {}
+    for i, t in texts.items():
+        side = good[votes[i]]
+        if t and not Q.SURE < side < 1 - Q.SURE:
+            h = xxhash.xxh64_intdigest(t.encode(), 42)
+            sample[h] = (int(side > 0.5), t)
+    assert len(sample) < 2 * (Q.SAMPLE_ROWS // 2)
+    found = [(g, linear.packed(linear.hashed_ngrams(Q._raw(t)))) for g, t in sample.values()]
+    groups, x = linear.unpacked(found)
+    weights = linear.train_logistic(x, np.array(groups, float)).astype(float)
+    for row in Q.score_quality(docs).collect():
+        text, posterior = texts[row["doc_id"]], good[votes[row["doc_id"]]]
+        assert math.isclose(row["posterior"], posterior, abs_tol=1e-6)
+        x = ngrams_by_hand(f" {text} ".encode())
+        margin = sum(v * weights[k] for k, v in x.items()) + weights[-1]
+        score = 1 / (1 + math.exp(-margin)) if text else 0.0
+        assert math.isclose(row["score"], score, abs_tol=1e-4)
+        if abs(posterior + score - 1) > 1e-3:
+            assert row["kept"] == ((posterior + score) / 2 > 0.5)
