@@ -73,3 +73,12 @@ def test_a_full_bitmap_only_makes_more_candidates(documents_of, odd_rows, spark)
     items = spark.createDataFrame([(1, "seven eight nine")], "item_id long, text string")
     assert [r["n_hit"] for r in D.decontaminate(docs, items, slots=32_768).collect()] == [3]
     assert [r["n_hit"] for r in D.decontaminate(docs, items, slots=8).collect()] == [3]
+
+
+def test_a_table_of_texts_alone(spark):
+    window = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(f"x {window} y",), ("clean",), (None,), ("",)], "text string")
+    items = spark.createDataFrame([(1, window)], "item_id long, text string")
+    kept = D.clean_documents(docs, items)
+    assert kept.columns == ["text"] and {r.text for r in kept.collect()} == {"clean", None, ""}
+    assert D.clean_documents(docs, items.where("false")).count() == 4

@@ -20,7 +20,6 @@ PATTERN = public_tokenizers.PATTERN
 @pytest.fixture(scope="module")
 def expected():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 

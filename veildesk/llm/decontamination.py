@@ -246,9 +246,17 @@ def clean_documents(
     width: int = WIDTH,
     slots: int = SLOTS,
 ) -> DataFrame:
-    """The documents, all columns, that hold no window of any item."""
-    id_col = next(c for c in docs.columns if c != text_col)
-    _, _, found = _found(docs, benchmark, id_col, text_col, item_col, item_text_col, width, slots)
+    """The documents, all columns, that hold no window of any item.
+
+    Null and empty texts hold none and stay; rows with equal texts stay or go together; empty
+    tables, and benchmarks without words, take nothing away.
+    """
+    id_col = next((c for c in docs.columns if c != text_col), None)
+    named = docs
+    if id_col is None:  # a table of texts alone
+        id_col = "_id"
+        named = docs.withColumn(id_col, F.lit(0))
+    _, _, found = _found(named, benchmark, id_col, text_col, item_col, item_text_col, width, slots)
     (key,) = fresh(docs, "_text_hash")
     bad = staged(found.select(F.col("text_hash").alias(key)).distinct(), "contaminated-texts")
     return docs.withColumn(key, text_hash(F.col(text_col))).join(bad, key, "left_anti").drop(key)
