@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from veildesk.checks import redaction as redaction_checks
 from veildesk.functions import patterns as P
 from veildesk.functions import spans as S
 from veildesk.functions.text import comma_list, needs_scan, probability, strip_space
@@ -220,3 +221,9 @@ def test_widen_over_long_words(spark, n):
         for start, end in ((at, at + 1), (3 + len(word) - 1, 3 + len(word)), (at + 5, at + 7)):
             out = run(spark, text, [(start, end, "X")], S.widen_spans)
             assert [text[s[0] : s[1]] for s in out] == [word.lstrip("@")]
+
+
+def test_the_checked_merge_counts_a_text_once_and_not_for_each_span(spark, sf_dir):
+    plan = redaction_checks.merge_spans(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(text" in plan
+    assert not re.search(r"<= (char_)?length\(text", plan)

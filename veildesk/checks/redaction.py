@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veildesk.checks.tables import duck, table
 from veildesk.functions import patterns, scoring, spans, windows
 from veildesk.functions.detectors import GazetteerDetector, run_detector
-from veildesk.functions.text import needs_scan
+from veildesk.functions.text import let, needs_scan
 from veildesk.functions.tree import map_strings
 from veildesk.plans.memo import DetectionMemo
 from veildesk.plans.propagation import propagate, scope_values
@@ -469,8 +469,10 @@ def merge_spans(spark, sf_dir):
         longer = F.struct(w["start"], (w["end"] + 4).alias("end"), kind.alias("type"))
         return F.when(n == 6, F.array(longer, first)).otherwise(F.array(first))
 
-    given = F.filter(
-        F.flatten(F.transform(words, of_word)), lambda s: s["end"] <= F.length(text)
+    # Counting a text's characters reads all of it, so it is done once and not for each span.
+    given = let(
+        F.length(text),
+        lambda size: F.filter(F.flatten(F.transform(words, of_word)), lambda s: s["end"] <= size),
     ).cast(SPANS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (
