@@ -5,8 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from veildesk.operators import changes
 from veildesk.operators import versions as V
-from veildesk.staging import scratch_path
+from veildesk.staging import dealt, scratch_path
 
 TICKET = "id long, subject string, status string, priority string, type string, tags array<string>"
 VALUE = "ticket_id long, field_id long, pos long, value string"
@@ -122,3 +123,25 @@ def test_macros(spark, stored):
     assert [r.ticket_id for r in done.rejected.collect()] == [900]
     assert stored.tickets.where("id = 8").first().status == "pending"
     assert stored.comments.where("ticket_id = 8 and body = 'by macro'").count() == 1
+
+
+def test_a_task_gets_no_more_rows_when_the_input_grows(spark):
+    rows = spark.range(1_000).select("id", (F.col("id") % 7).alias("x"))
+    once = dealt(rows, ["id"], rows=10).distinct()
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [id#" in plan and ", 100" in plan
+    assert once._jdf.queryExecution().sparkPlan().toString().count("Exchange") <= 1
+    sizes = once.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert once.count() == 1_000 and sizes < 40
+
+
+def test_patches_are_dealt_by_rows_and_counted_once(spark):
+    tickets = spark.createDataFrame([(1,), (2,)], "id bigint")
+    given = [(1, 1, "open"), (1, 1, "open"), (1, 2, "open"), (1, 2, "solved"), (3, 1, "open"), (2, None, "open")]
+    patches = spark.createDataFrame(given, "ticket_id bigint, seq bigint, status string")
+    checked = changes._checked(tickets, patches)
+    found = {(r.ticket_id, r.seq, r.status, r.problem) for r in checked.collect()}
+    assert checked.count() == 5 and found == {
+        (1, 1, "open", None), (1, 2, "open", "repeated seq"), (1, 2, "solved", "repeated seq"),
+        (3, 1, "open", "unknown ticket"), (2, 0, "open", None),
+    }

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veildesk.schemas import MACRO_COLUMNS, TICKET_PRIORITIES, TICKET_STATUSES, TICKET_TYPES
-from veildesk.staging import staged
+from veildesk.staging import dealt, staged
 
 # A field set for the first time comes after the ticket's existing fields.
 _NEW_FIELD = 1 << 32
@@ -124,18 +124,16 @@ def _checked(tickets: DataFrame, patches: DataFrame) -> DataFrame:
     sent twice counts once. Different patches of a ticket with the same ``seq``, or without one,
     have no order that could settle them, so all of them are rejected.
     """
-    patches = _complete(patches).distinct()
-    shared = (
-        patches.groupBy("ticket_id", "seq").agg(F.count("*").alias("_n")).where("_n > 1")
-        .select("ticket_id", "seq", F.lit("repeated seq").alias("_shared"))
-    )
+    patches = dealt(_complete(patches), ["ticket_id", "seq"]).distinct()
+    alike = F.count("*").over(Window.partitionBy("ticket_id", "seq"))
     known = tickets.select(F.col("id").alias("ticket_id"), F.lit(True).alias("_known"))
     unknown = F.when(F.col("_known").isNull(), F.lit("unknown ticket"))
+    shared = F.when(F.col("_alike") > 1, F.lit("repeated seq"))
     return staged(
-        patches.join(known, "ticket_id", "left")
-        .join(shared, ["ticket_id", "seq"], "left")
-        .withColumn("problem", F.coalesce(_problem(), unknown, "_shared"))
-        .drop("_known", "_shared"),
+        patches.withColumn("_alike", alike)
+        .join(known, "ticket_id", "left")
+        .withColumn("problem", F.coalesce(_problem(), unknown, shared))
+        .drop("_known", "_alike"),
         "patches",
     )
 
