@@ -19,7 +19,7 @@ from veildesk.sources.exports import (
     sideload_index,
     ticket_tables,
 )
-from veildesk.staging import scratch_path, staged
+from veildesk.staging import dealt, scratch_path, staged
 
 BASE = "https://desk.example.com"
 TICKET_ITEM = (
@@ -843,6 +843,13 @@ _UPDATED = f"""
     full join bad r on r.ticket_id = t.id"""
 
 
+def _applications(spark, sf_dir):
+    """Written once, as they are counted, looked up by folder and made into patches."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    uses = spark.sql(f"select * from {_APPLIED}", lineitem=dealt(lines, ["l_orderkey"]))
+    return staged(uses, "applications")
+
+
 def _patches(spark, sf_dir):
     given = spark.sql(
         f"select * from {_PATCHES}", events=table(spark, sf_dir, "events")
@@ -896,7 +903,7 @@ def change_stored_tickets(spark, sf_dir):
     stored = _stored(spark, sf_dir)
     stored.apply_macros(
         spark.sql(f"select * from {_ACTIONS}", part=table(spark, sf_dir, "part")),
-        spark.sql(f"select * from {_APPLIED}", lineitem=table(spark, sf_dir, "lineitem")),
+        _applications(spark, sf_dir),
     )
     stored.add_comments(_new_comments(spark, sf_dir))
     said = stored.comments.groupBy(F.col("ticket_id").alias("id")).agg(F.count("*").alias("n"))
@@ -1015,7 +1022,7 @@ def updated_details(spark, sf_dir):
     from uses u where u.ticket_id not in (select id from {{tickets}})""")
 def apply_macros(spark, sf_dir):
     actions = spark.sql(f"select * from {_ACTIONS}", part=table(spark, sf_dir, "part"))
-    uses = spark.sql(f"select * from {_APPLIED}", lineitem=table(spark, sf_dir, "lineitem"))
+    uses = _applications(spark, sf_dir)
     applied, done = changes.apply_macros(
         table(spark, sf_dir, "tickets"),
         table(spark, sf_dir, "custom_values"),
