@@ -482,3 +482,19 @@ def test_numbers_and_nulls_pass_through(spark):
 
 def test_vault_schema(spark):
     assert empty_vault(spark).schema == spark.createDataFrame([], VAULT).schema
+
+
+def test_a_detector_gets_texts_by_their_characters(spark):
+    class Counts:
+        name = "counts"
+
+        def load(self):
+            return None
+
+        def detect(self, model, texts):
+            return [[(0, len(texts), "N")] for _ in texts]
+
+    texts = spark.range(6).select(F.col("id").cast("string").alias("digest"), F.repeat(F.lit("x"), 600_000).alias("text"))
+    found = run_detector(texts.coalesce(1), Counts())
+    assert found.count() == 6
+    assert found.agg(F.max(F.col("spans")[0]["end"])).first()[0] <= 2

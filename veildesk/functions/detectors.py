@@ -127,6 +127,18 @@ def _model(detector: Detector, digest: str) -> object:
     return getattr(models, digest)
 
 
+#: Characters of texts that a detector gets at once.
+_CHARACTERS = 1 << 20
+
+
+def _portions(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """A batch in parts of about ``_CHARACTERS``, so that the spans held at a time are bounded
+    by text and not by a number of rows."""
+    portion = np.cumsum([len(text or "") for text in batch["text"]]) // _CHARACTERS
+    for _, part in batch.groupby(portion, sort=False):
+        yield part.copy()
+
+
 def run_detector(texts: DataFrame, detector: Detector) -> DataFrame:
     """Add ``spans`` to ``texts`` (columns ``digest, text``).
 
@@ -140,15 +152,14 @@ def run_detector(texts: DataFrame, detector: Detector) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            found = detector.detect(_model(detector, digest), batch["text"].tolist())
-            if len(found) != len(batch) or any(f is None for f in found):
-                raise RuntimeError(f"detector {detector.name} returned no result for a text")
-            batch["spans"] = [
-                [{"start": s, "end": e, "type": t} for s, e, t in spans] for spans in found
-            ]
-            yield batch
+            for part in _portions(batch) if len(batch) else ():
+                found = detector.detect(_model(detector, digest), part["text"].tolist())
+                if len(found) != len(part) or any(f is None for f in found):
+                    raise RuntimeError(f"detector {detector.name} returned no result for a text")
+                part["spans"] = [
+                    [{"start": s, "end": e, "type": t} for s, e, t in spans] for spans in found
+                ]
+                yield part
 
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
