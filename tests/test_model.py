@@ -14,6 +14,7 @@ from veildesk.sources.exports import (
     read_resource,
     sideload_index,
     ticket_tables,
+    typed_array,
 )
 from veildesk.staging import left_lookup, scratch_path
 
@@ -260,3 +261,12 @@ def test_metrics_do_not_depend_on_the_chunk(spark, sf_dir, chunk):
     events = table(spark, sf_dir, "audits")
     whole = activity.ticket_metrics(events, "year")
     assert activity.ticket_metrics(events, chunk).exceptAll(whole).count() == 0
+
+
+def test_only_arrays_are_arrays_and_no_schema_of_a_page_is_made(spark):
+    bodies = ['{"a":[1,"x",{"b":2}]}', '{"a":[]}', '{"a":"[1]"}', '{"a":{"0":1}}', '{"a":3}', '{"a":true}', '{"a":null}', "{}", '{"a":[null]}']
+    rows = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string").repartition(2)
+    found = rows.select("i", typed_array(F.try_variant_get(F.parse_json("body"), "$.a", "variant")).alias("v"))
+    sizes = {r.i: r.n for r in found.select("i", F.when(F.col("v").isNotNull(), F.size("v")).alias("n")).collect()}
+    assert sizes == {0: 3, 1: 0, 2: None, 3: None, 4: None, 5: None, 6: None, 7: None, 8: 1}
+    assert "schema_of_variant" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from veildesk.sources import page_store
 from veildesk.sources.exports import read_paged_export
 from veildesk.sources.page_store import last_page, read_stored_export, store_pages
 from veildesk.staging import scratch_path
@@ -68,3 +69,10 @@ def test_no_pages_and_no_end(spark):
     store_pages(spark.createDataFrame([page(0, [1], True), page(1, [], True)], "page_no long, body string"), path, "items")
     assert last_page(spark, path) == (0, 1)
     assert [r.id for r in read_stored_export(spark, path, "items", "id long").items.collect()] == [1]
+
+
+def test_a_read_lists_the_folders_once(spark, stored, monkeypatch):
+    listed = []
+    monkeypatch.setattr(page_store, "_stored", lambda s, path, own=page_store._stored: listed.append(path) or own(s, path))
+    assert read_stored_export(spark, stored, "items", "id long", USERS).items.count() == 3 * 43
+    assert listed == [stored]

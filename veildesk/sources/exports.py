@@ -73,9 +73,11 @@ def _exploded(read: DataFrame, key: str, columns: str) -> DataFrame:
 
 
 def typed_array(value: Column) -> Column:
-    """A JSON array as an array of variants; null if it is anything else."""
-    is_array = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
-    return F.when(is_array, F.try_variant_get(value, "$", "array<variant>"))
+    """A JSON array as an array of variants; null if it is anything else.
+
+    Its schema is not asked for: that would read the value, a whole page, a second time.
+    """
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
 def typed(value: Column, kind: T.DataType) -> Column:

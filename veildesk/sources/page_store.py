@@ -41,7 +41,16 @@ def last_page(spark: SparkSession, path: str, limit: int | None = None) -> tuple
     That is the first page that nothing follows, or the last one there is, or the page whose
     items reach ``limit``. Ranges are counted first, then the pages of one range.
     """
-    narrow = spark.read.schema(_PAGES).parquet(path).drop("body")
+    return _last_page(_stored(spark, path), limit)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """The stored pages; every call lists all folders, so a read makes one."""
+    return spark.read.schema(_PAGES).parquet(path)
+
+
+def _last_page(stored: DataFrame, limit: int | None) -> tuple[int, int] | None:
+    narrow = stored.drop("body")
     end = F.min(F.when(~F.col("continues"), F.struct("page_no", "page_range")))
     ends = narrow.agg(end.alias("end"), F.max(F.struct("page_no", "page_range")).alias("last")).first()
     found = ends["end"] or ends["last"]
@@ -73,9 +82,9 @@ def read_stored_export(
     limit: int | None = None,
 ) -> Export:
     """``read_paged_export`` of stored pages; bodies behind the end are not read."""
-    end = last_page(spark, path, limit)
-    page_range, page_no = end or (-1, -1)
-    bodies = spark.read.schema(_PAGES).parquet(path).where(
+    stored = _stored(spark, path)
+    page_range, page_no = _last_page(stored, limit) or (-1, -1)
+    bodies = stored.where(
         (F.col("page_range") <= page_range) & (F.col("page_no") <= page_no)
     )
     return read_paged_export(bodies.select("page_no", "body"), item_key, item, sideloads, limit)
