@@ -45,7 +45,7 @@ from veildesk.plans.vault import (
     keyed,
     number_values,
 )
-from veildesk.staging import deep_expressions, staged, with_found
+from veildesk.staging import deep_expressions, staged, staged_records, with_found
 
 
 @dataclass(frozen=True)
@@ -273,7 +273,7 @@ def with_rows(df: DataFrame) -> DataFrame:
     """The records with a number each, written once, so that the number stays the same."""
     if ROW in df.columns:
         return df
-    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), "records")
+    return staged_records(df.withColumn(ROW, F.monotonically_increasing_id()), "records")
 
 
 def record_cells(
