@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veildesk.functions.detectors import GazetteerDetector, TokenScoreDetector, run_detector
+from veildesk.functions import spans as S
 from veildesk.functions.text import needs_scan
 from veildesk.functions.windows import token_table, window_bounds
 from veildesk.plans import redaction as R
@@ -378,6 +379,20 @@ def test_partitioning_does_not_change_the_result(spark, sf_dir):
     assert one.exceptAll(many).count() == 0
 
 
+def test_texts_whose_values_stand_once_are_not_searched(spark):
+    text, known = F.col("t"), F.col("k")
+    kind = "array<struct<value:string,type:string>>"
+    texts = ["mail a@b.co now", "a@b.co or a@b.co", "xa@b.co", "a@b.co of c.d@e.fr", "a@a.a@a.a"]
+    values = [["a@b.co"], ["a@b.co"], [], ["a@b.co", "c.d@e.fr"], ["a@a.a"]]
+    rows = [(i, t, [(x, "P") for x in v]) for i, (t, v) in enumerate(zip(texts, values))]
+    df = spark.createDataFrame(rows, f"i int, t string, own {kind}")
+    df = df.withColumn("k", F.when(F.col("i") == 2, F.array(F.struct(F.lit("a@b.co"), F.lit("P"))).cast(kind)).otherwise(F.col("own")))
+    alone = df.select("i", F.exists(known, lambda k: ~S.only_there(text, k["value"], F.col("own"))).alias("searched"))
+    assert [r.searched for r in alone.orderBy("i").collect()] == [False, True, True, False, True]
+    found = df.select("i", F.size(S.match_known(text, known, F.col("own"))).alias("n"))
+    assert [r.n for r in found.orderBy("i").collect()] == [0, 2, 0, 0, 1]
+
+
 def test_records_of_one_file_are_dealt_to_many_tasks(spark):
     rows = spark.range(40_000).select("id", F.concat(F.lit("mail a"), "id", F.lit("@b.co")).alias("body"))
     tasks = R.with_rows(rows.coalesce(1)).groupBy(F.spark_partition_id()).count().collect()

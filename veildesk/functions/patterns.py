@@ -93,22 +93,35 @@ def running_totals(values: Column) -> Column:
             lambda at: F.flatten(F.transform(blocks, lambda b, i: totals(b, F.get(at, i)))),
         )
 
-    return F.when(F.size(values) > 0, let(blocks_of(values), in_blocks)).otherwise(
-        F.array().cast("array<int>")
-    )
+    def sums(values: Column) -> Column:
+        # Most arrays are one block or less.
+        few = F.slice(F.aggregate(values, F.array(F.lit(0)), grow), F.lit(2), F.size(values))
+        return (
+            F.when(F.size(values) > BLOCK, let(blocks_of(values), in_blocks))
+            .when(F.size(values) > 0, few)
+            .otherwise(F.array().cast("array<int>"))
+        )
+
+    return let(values, sums)
 
 
 def piece_spans(pieces: Column) -> Column:
     """The matches among ``match_pieces`` as ``struct<start,end,value>``."""
+
+    def placed(ends: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(ends) - 2, F.lit(2)),
+            lambda i: F.struct(
+                F.get(ends, i - 1).alias("start"),
+                F.get(ends, i).alias("end"),
+                F.get(pieces, i).alias("value"),
+            ),
+        )
+
     ends = running_totals(F.transform(pieces, lambda p: F.length(p)))
-    placed = F.zip_with(
-        pieces,
-        ends,
-        lambda p, end: F.struct(
-            (end - F.length(p)).alias("start"), end.alias("end"), p.alias("value")
-        ),
+    return F.when(F.size(pieces) > 1, let(ends, placed)).otherwise(
+        F.array().cast(f"array<{HIT}>")
     )
-    return F.filter(placed, lambda _, i: i % 2 == 1)
 
 
 def match_spans(text: Column, pattern: Column | str) -> Column:

@@ -168,19 +168,30 @@ def _merged_in_record(column: str, keep: tuple[str, ...], allow: tuple[str, ...]
     texts, policy = F.col(column), Policy(keep=keep, allow=allow)
 
     def with_known(spans: Column) -> Column:
-        known = first_types(F.flatten(F.zip_with(texts, spans, known_values)))
-        return let(
-            known,
-            lambda k: F.zip_with(
-                texts,
-                spans,
-                lambda t, s: F.when(
-                    t.isNotNull(),
-                    merge_spans(t, F.concat(s, allow_terms(t, match_known(t, k), policy.allow))),
-                ).otherwise(no_spans()),
+        cells = F.zip_with(
+            texts,
+            spans,
+            lambda t, s: F.struct(
+                t.alias("text"), s.alias("spans"), known_values(t, s).alias("own")
             ),
         )
 
+        def merged(c: Column, known: Column) -> Column:
+            again = match_known(c["text"], known, c["own"])
+            return F.when(
+                c["text"].isNotNull(),
+                merge_spans(
+                    c["text"], F.concat(c["spans"], allow_terms(c["text"], again, policy.allow))
+                ),
+            ).otherwise(no_spans())
+
+        def of(cells: Column) -> Column:
+            own = F.flatten(F.transform(cells, lambda c: c["own"]))
+            known = let(own, lambda k: F.when(F.size(k) > 1, first_types(k)).otherwise(k))
+            return let(known, lambda k: F.transform(cells, lambda c: merged(c, k)))
+
+        return let(cells, of)
+
     empty = F.transform(texts, lambda _: no_spans())
     return let(
         F.transform(
