@@ -9,6 +9,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from veildesk.checks.streams import arriving
 from veildesk.functions.detectors import GazetteerDetector
 from veildesk.plans.redaction import Policy
 from veildesk.sources.sinks import write_sanitized
@@ -101,6 +102,29 @@ def test_numbered_streams_need_a_vault(spark):
         S.stream_sanitize(stream, ["id"], ["body"], Policy(), "out", "progress")
 
 
+def test_a_batch_of_one_file_is_dealt_to_many_tasks(spark):
+    filler = F.concat_ws(" ", *[F.sha2(F.concat("id", F.lit(f"/{i}")), 256) for i in range(4)])
+    df = spark.range(40_000).select("id", F.concat(F.lit("mail a@b.co "), filler).alias("body"))
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    df.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema("id long, body string").parquet(path)
+    policy = Policy(pseudonyms=False)
+    S.stream_sanitize(stream, ["id"], ["body"], policy, out, scratch_path(spark, "p")).awaitTermination()
+    done = spark.read.parquet(out)
+    assert done.groupBy(F.input_file_name()).count().count() >= 4
+    assert done.where("body like 'mail [EMAIL_ADDRESS] %'").count() == 40_000
+
+
+@pytest.mark.parametrize("partitions", [1, 5, 8])
+def test_checked_streams_arrive_in_three_batches(spark, partitions):
+    df = spark.range(0, 1000, 1, partitions)
+    seen = []
+    arriving(spark, df).writeStream.foreachBatch(lambda rows, _: seen.append(rows.count())).option(
+        "checkpointLocation", scratch_path(spark, "p")
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 3 and sum(seen) == 1000
+
+
 def test_detections_belong_to_a_detector(spark):
     rows = [(i, f"Ann {i % 5}") for i in range(20)]
     table = S.detection_table(scratch_path(spark, "detections"))

@@ -35,11 +35,15 @@ def check(sql: str):
 
 
 def arriving(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` as a stream of files of bounded size, taken in about three micro-batches."""
+    """``df`` as a stream of files of bounded size, taken in about three micro-batches.
+
+    Each partition of ``df`` leaves a shorter file, so the files are counted when they are there.
+    """
     path, rows = scratch_path(spark, "arriving"), df.count()
     per_file = max(1, min(FILE_ROWS, rows // (4 * BATCHES)))
     df.write.option("maxRecordsPerFile", per_file).parquet(path)
-    per_batch = max(1, rows // per_file // BATCHES)
+    files = len(spark.read.schema(df.schema).parquet(path).inputFiles())
+    per_batch = max(1, -(-files // BATCHES))
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
@@ -52,11 +56,11 @@ def arriving(spark: SparkSession, df: DataFrame) -> DataFrame:
 def stream_sanitize(spark, sf_dir):
     """Both modes; numbers are compared by ``stream_pseudonyms``, so they are taken out here."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = []
+    arrived, done = arriving(spark, docs), []
     for policy in (PLAIN, Policy()):
         out = scratch_path(spark, "sink")
         sanitize(
-            arriving(spark, docs), ["doc_id"], ["text"], policy, out,
+            arrived, ["doc_id"], ["text"], policy, out,
             scratch_path(spark, "progress"), vault_table(scratch_path(spark, "vault")),
         ).awaitTermination()
         done.append(spark.read.schema(docs.schema).parquet(out).drop("batch"))
