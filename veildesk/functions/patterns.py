@@ -36,8 +36,9 @@ EMAIL_PATTERN = f"(?:(?<!{_LOCAL})|\\G){_LOCAL}++@[{WORD}-]++(?:\\.[{WORD}-]++)+
 IBAN_PATTERN = (
     "(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9_])"
 )
+# The digit that a match begins with is asked for before what must not stand in front of it.
 IPV4_PATTERN = (
-    f"(?<!(?<![A-Za-z0-9_])(?:[vV]|[vV]er\\.?|[vV]ersion)[{SPACE}]?)(?<![0-9.])"
+    f"(?=[0-9])(?<!(?<![A-Za-z0-9_])(?:[vV]|[vV]er\\.?|[vV]ersion)[{SPACE}]?)(?<![0-9.])"
     f"(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\.*+[0-9])"
 )
 CARD_PATTERN = "(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9-])"
