@@ -95,3 +95,24 @@ def test_the_test_abandons_candidates_but_no_near_ones():
     assert q.tolist() == list(range(8)) == c.tolist()
     q, c, far = S.scan_chunk(near, near @ turn, np.full(8, 1e-3), columns, x, 1)
     assert len(q) == 0
+
+
+def test_queries_are_not_broadcast_and_meet_their_lists_in_groups(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in rng.standard_normal(8).astype(np.float32)]) for i in range(3_000)]
+    nodes = S.distinct_vectors(make(spark, rows).selectExpr("vec_id as id", "embedding as vector"), 10)
+    index = S.Index(nodes, 8)
+    assert len(index.centre) > 40 and index.visits > 2 and index.kind == "<f4"
+    asking = nodes.select("node").where("node % 7 = 0")
+    queries = nodes.join(asking, "node").select("node", "vector", F.lit(float("inf")).alias("bound"))
+    found = []
+    for together in (1, 7, len(index.centre)):
+        index.together = together
+        scan = index._scan(queries, 0, index.visits)
+        plan = scan._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin [group" not in plan
+        found.append({(r.query, r.node): r.score for r in scan.collect()})
+    true = index._scan(queries, 0, len(index.centre)).where("score = 0").count()
+    assert true == asking.count()  # each finds itself
+    for other in found[1:]:
+        assert other == found[0]

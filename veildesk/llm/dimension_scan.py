@@ -11,6 +11,10 @@ many lists a query visits is set by a calibration: for a bounded number of queri
 neighbours are found by brute force over all rows, and the lists visited are as many as cover
 ``COVERAGE`` of them.
 
+A query visits many lists, so it is not sent to each of them: lists are dealt into groups, as many
+as the cluster can use, and a query travels once to each group together with the lists it visits
+there. What travels follows the queries, not the queries times the lists.
+
 Equal vectors are one candidate with the smallest of their ids, and equal queries are searched
 once, so a vector that makes up much of the table costs no more than another.
 """
@@ -32,7 +36,9 @@ SEED = 42
 #: Vectors that the centres are fitted on, and queries that set the number of lists.
 SAMPLE, TRIALS = 16_384, 64
 #: At most so many lists (their centres travel with the tasks); vectors and queries of a chunk.
-MAX_LISTS, CHUNK, QUERY_BLOCK = 1_024, 512, 128
+MAX_LISTS, CHUNK, QUERY_BLOCK = 1_024, 512, 512
+#: Groups of lists at least, where there are as many lists.
+GROUPS = 64
 #: Share of true neighbours whose lists are visited, and the test's width in deviations.
 COVERAGE, WIDTH = 0.99, 2.6
 #: Columns of a block.
@@ -220,6 +226,9 @@ class Index:
 
     def __init__(self, nodes: DataFrame, size: int, k: int = K) -> None:
         self.nodes, self.size, self.k = nodes, size, k
+        # Floats take half the room of doubles and lose nothing.
+        single = nodes.schema["vector"].dataType.elementType == T.FloatType()
+        self.kind = "<f4" if single else "<f8"
         count = nodes.count()
         share = int(min(1.0, 1.1 * SAMPLE / max(1, count)) * (1 << 31))
         drawn = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 31)) < share)
@@ -229,11 +238,14 @@ class Index:
         lists = max(1, min(MAX_LISTS, round(count**0.5), len(sample) // 8))
         self.turn = rotation(size)
         self.centre = centres(sample @ self.turn, lists) if len(sample) else np.zeros((1, size))
+        groups = max(GROUPS, 2 * nodes.sparkSession.sparkContext.defaultParallelism)
+        #: Lists of a group, which have consecutive numbers.
+        self.together = -(-len(self.centre) // groups)
         self.chunks = self._chunks()
         self.visits = self._calibrated(sample[:TRIALS])
 
     def _chunks(self) -> DataFrame:
-        turn, centre = self.turn, self.centre
+        turn, centre, kind = self.turn, self.centre, self.kind
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -262,7 +274,7 @@ class Index:
                     "list": pa.array([group.column("list")[0].as_py()], pa.int32()),
                     "nodes": pa.array([group.column("node").to_numpy().astype("<i8").tobytes()]),
                     "columns": pa.array([column_blocks(vectors @ turn)]),
-                    "vectors": pa.array([vectors.astype("<f8").tobytes()]),
+                    "vectors": pa.array([vectors.astype(kind).tobytes()]),
                 }
             )
 
@@ -275,14 +287,14 @@ class Index:
         """Lists to visit, from the true neighbours of the trial vectors among all rows."""
         if not len(trials):
             return 1
-        k, size = self.k, self.size
+        k, size, kind = self.k, self.size, self.kind
 
         def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             far = np.full((len(trials), 0), np.inf)
             home = np.zeros((len(trials), 0), np.int32)
             for batch in batches:
                 for number, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    here = _squares(trials, np.frombuffer(packed).reshape(-1, size).T)
+                    here = _squares(trials, np.frombuffer(packed, kind).reshape(-1, size).T)
                     far = np.hstack((far, here))
                     home = np.hstack((home, np.full(here.shape, number, np.int32)))
                     best = np.argsort(far, axis=1, kind="stable")[:, : k + 1]
@@ -329,6 +341,7 @@ class Index:
     def _scan(self, queries: DataFrame, first: int, last: int) -> DataFrame:
         """Candidates of the queries in their nearest lists ``first`` to ``last - 1``."""
         turn, centre, size, k = self.turn, self.centre, self.size, self.k + 1
+        kind, together = self.kind, self.together
 
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -337,36 +350,48 @@ class Index:
                 if not len(x):
                     continue
                 order = nearest_lists(x @ turn, centre, last)[:, first:]
-                for number in np.unique(order):
-                    here = np.flatnonzero((order == number).any(1))
+                visited = np.zeros((len(x), -(-len(centre) // together) * together), bool)
+                np.put_along_axis(visited, order.astype(np.int64), True, 1)
+                for group in range(visited.shape[1] // together):
+                    lists = visited[:, group * together : (group + 1) * together]
+                    here = np.flatnonzero(lists.any(1))
                     for at in range(0, len(here), QUERY_BLOCK):
                         some = here[at : at + QUERY_BLOCK]
-                        parts = (names[some].astype("<i8"), x[some].astype("<f8"), bounds[some].astype("<f8"))
-                        arrays = [pa.array([int(number)], pa.int32()), *(pa.array([p.tobytes()]) for p in parts)]
-                        yield pa.RecordBatch.from_arrays(arrays, ["list", "asked", "points", "bounds"])
+                        parts = (
+                            names[some].astype("<i8"), x[some].astype(kind),
+                            bounds[some].astype("<f8"), lists[some],
+                        )
+                        arrays = [pa.array([group], pa.int32()), *(pa.array([p.tobytes()]) for p in parts)]
+                        yield pa.RecordBatch.from_arrays(arrays, ["group", "asked", "points", "bounds", "lists"])
 
         blocks = queries.select("node", "vector", "bound").mapInArrow(
-            route, "list int, asked binary, points binary, bounds binary"
+            route, "group int, asked binary, points binary, bounds binary, lists binary"
         )
-        met = blocks.join(self.chunks, "list").drop("list")
+        # Spark takes the blocks for little more than the queries they are made from and would
+        # broadcast them; they are many times that.
+        grouped = self.chunks.withColumn("group", F.floor(F.col("list") / together).cast("int"))
+        met = grouped.join(blocks.hint("merge"), "group")
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                columns = (batch.column(i) for i in range(6))
-                for asked, points, bounds, nodes, packed, vectors in zip(*columns, strict=True):
-                    x = np.frombuffer(points.as_py()).reshape(-1, size)
-                    given = np.frombuffer(vectors.as_py()).reshape(-1, size)
+                columns = (batch.column(i) for i in range(8))
+                for asked, points, bounds, lists, number, nodes, packed, vectors in zip(*columns, strict=True):
+                    visits = np.frombuffer(lists.as_py(), bool).reshape(-1, together)
+                    here = np.flatnonzero(visits[:, number.as_py() % together])
+                    if not len(here):
+                        continue
+                    x = np.frombuffer(points.as_py(), kind).reshape(-1, size)[here].astype(np.float64)
+                    given = np.frombuffer(vectors.as_py(), kind).reshape(-1, size)
                     turned = np.frombuffer(packed.as_py(), "<f4").reshape(size, -1)
                     q, c, far = scan_chunk(
-                        x, x @ turn, np.frombuffer(bounds.as_py()), turned, given, k
+                        x, x @ turn, np.frombuffer(bounds.as_py())[here], turned, given, k
                     )
-                    names = np.frombuffer(asked.as_py(), "<i8")[q]
+                    names = np.frombuffer(asked.as_py(), "<i8")[here][q]
                     arrays = [pa.array(names), pa.array(np.frombuffer(nodes.as_py(), "<i8")[c]), pa.array(far)]
                     yield pa.RecordBatch.from_arrays(arrays, ["query", "node", "score"])
 
-        return met.select("asked", "points", "bounds", "nodes", "columns", "vectors").mapInArrow(
-            scan, "query bigint, node bigint, score double"
-        )
+        met = met.select("asked", "points", "bounds", "lists", "list", "nodes", "columns", "vectors")
+        return met.mapInArrow(scan, "query bigint, node bigint, score double")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
