@@ -1,13 +1,14 @@
 """Stored ticket tables: what a change set rewrites, and what it must leave alone."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from veildesk.operators import changes
 from veildesk.operators import versions as V
-from veildesk.staging import dealt, scratch_path
+from veildesk.staging import dealt, scratch_path, staged
 
 TICKET = "id long, subject string, status string, priority string, type string, tags array<string>"
 VALUE = "ticket_id long, field_id long, pos long, value string"
@@ -80,6 +81,51 @@ def test_a_failed_change_leaves_the_tables(spark, stored, monkeypatch):
     assert listing(stored) == before and stored.tickets.where("status = 'solved'").count() == 0
 
 
+def test_folders_are_rewritten_in_rounds_and_exchanged_at_the_end(spark, stored, monkeypatch):
+    laid_out, asked = V._laid_out, []
+    bad = F.udf(lambda x: 1 // 0, "string")
+
+    def written(rows, fails_at=None):
+        asked.append(listing(stored))
+        rows = laid_out(rows)
+        return rows.withColumn("part", bad("part")) if len(asked) == fails_at else rows
+
+    patches = spark.createDataFrame([(i, 0, "solved", "done") for i in range(0, 400, 3)], PATCH)
+    before = listing(stored)
+    monkeypatch.setattr(V, "_laid_out", lambda rows: written(rows, 3))
+    with pytest.raises(Exception):
+        stored.update(patches)
+    assert len(asked) == 3 and listing(stored) == before
+    assert not [f for f in os.listdir(stored.path.removeprefix("file://")) if f.startswith(".new")]
+    asked.clear()
+    monkeypatch.setattr(V, "_laid_out", written)
+    done = stored.update(patches)
+    # 16 folders, 4 at a time, and until the last are written the table is as it was.
+    assert len(done.buckets) == 16 and len(asked) == 4 and all(now == before for now in asked)
+    assert all(before[b].isdisjoint(files) for b, files in listing(stored).items())
+    assert not [f for f in os.listdir(stored.path.removeprefix("file://")) if f.startswith(".new")]
+    solved = {r["id"] for r in stored.tickets.where("status = 'solved'").collect()}
+    said = {r["ticket_id"] for r in stored.comments.where("body = 'done' and seq = 1").collect()}
+    assert solved == said == set(range(0, 400, 3))
+    assert (stored.tickets.count(), stored.custom_values.count(), stored.comments.count()) == (400, 200, 584)
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {f for d in folders for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(), spark.conf.get(setting)
+    rows = staged(spark.range(1_000).repartition(5, "id").groupBy(F.col("id") % 7).count(), "x")
+    for _ in range(50):  # they are deleted in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and spark.conf.get(setting) == was and rows.count() == 7
+
+
 def test_comments_are_added_without_a_rewrite(spark, stored):
     kind = "id long, ticket_id long, pos long, author_id long, body string, html_body string, is_public boolean, created_at timestamp"
     before = listing(stored)

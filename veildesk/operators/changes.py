@@ -18,6 +18,9 @@ from veildesk.staging import dealt, staged
 # A field set for the first time comes after the ticket's existing fields.
 _NEW_FIELD = 1 << 32
 
+# A ticket's patches are dealt together, unless they are more than about so many.
+_TOGETHER = 1 << 10
+
 _TEXT_COLUMNS = ("subject", "status", "priority", "type")
 _ID_COLUMNS = ("custom_status_id", "assignee_id", "group_id")
 _LIST_COLUMNS = ("tags", "collaborator_ids", "follower_ids")
@@ -124,8 +127,9 @@ def _checked(tickets: DataFrame, patches: DataFrame) -> DataFrame:
     sent twice counts once. Different patches of a ticket with the same ``seq``, or without one,
     have no order that could settle them, so all of them are rejected.
     """
-    patches = dealt(_complete(patches), ["ticket_id", "seq"]).distinct()
-    alike = F.count("*").over(Window.partitionBy("ticket_id", "seq"))
+    patches = _complete(patches).withColumn("_run", F.floor(F.col("seq") / _TOGETHER))
+    patches = dealt(patches, ["ticket_id", "_run"]).distinct()
+    alike = F.count("*").over(Window.partitionBy("ticket_id", "_run", "seq"))
     known = tickets.select(F.col("id").alias("ticket_id"), F.lit(True).alias("_known"))
     unknown = F.when(F.col("_known").isNull(), F.lit("unknown ticket"))
     shared = F.when(F.col("_alike") > 1, F.lit("repeated seq"))
@@ -133,7 +137,7 @@ def _checked(tickets: DataFrame, patches: DataFrame) -> DataFrame:
         patches.withColumn("_alike", alike)
         .join(known, "ticket_id", "left")
         .withColumn("problem", F.coalesce(_problem(), unknown, shared))
-        .drop("_known", "_alike"),
+        .drop("_known", "_alike", "_run"),
         "patches",
     )
 

@@ -2,16 +2,18 @@
 
 A row is a ticket, a custom value or a comment; rows are dealt into folders by a hash of the
 ticket, so a ticket and all that belongs to it lie in one folder. A change set reads only the
-folders that its tickets fall into and replaces only those that it changes (Spark's dynamic
-partition overwrite): one job writes the new rows of all three kinds, and a folder is exchanged
-as a whole, so a ticket's new status and the comment that came with it appear together. A job
-that fails before its commit leaves everything as it was. Comments alone are only added.
+folders that its tickets fall into and replaces only those that it changes. The new folders are
+written beside the table, some at a time, so that what is shuffled at once is a part of them; when
+all are there each takes the place of the old one. A folder has the rows of all three kinds and is
+exchanged as a whole, so a ticket's new status and the comment that came with it appear together.
+What fails before the exchange leaves everything as it was. Comments alone are only added.
 
 Writers take turns; a reader that began before a change may have to read again.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +27,11 @@ from veildesk.operators.changes import (
     macro_patches,
 )
 from veildesk.schemas import MACRO_COLUMNS
-from veildesk.staging import staged
+from veildesk.staging import delete_folder, shuffles_freed, staged
 
+#: Folders are rewritten in at most so many rounds, each of so many folders at least. A round
+#: looks through all patches, so the rounds do not grow with the table.
+ROUNDS, FOLDERS = 8, 4
 _PARTS = {"ticket": "id", "custom_value": "ticket_id", "comment": "ticket_id"}
 
 
@@ -65,11 +70,19 @@ class TicketTables:
         comments: DataFrame,
         buckets: int,
     ) -> TicketTables:
-        """Write the tables once; a folder should hold what one task can rewrite."""
+        """Write the tables once; a folder should hold what one task can rewrite.
+
+        The kinds are written one after the other, so that only one is shuffled at a time."""
+        spark = tickets.sparkSession
         values = custom_values.select("ticket_id", "field_id", "pos", "value")
         rows = _rows(tickets, values, comments, buckets)
-        _laid_out(rows).write.partitionBy("bucket").parquet(path)
-        return cls(tickets.sparkSession, path)
+        for part in _PARTS:
+            mode = "error" if part == "ticket" else "append"
+            with shuffles_freed(spark):
+                _laid_out(rows.where(F.col("part") == part)).write.mode(mode).partitionBy(
+                    "bucket"
+                ).parquet(path)
+        return cls(spark, path)
 
     @property
     def tickets(self) -> DataFrame:
@@ -113,22 +126,44 @@ class TicketTables:
     def _apply(self, checked: DataFrame) -> Applied:
         hit = self._hit(checked.where(F.col("problem").isNull()))
         if hit:
-            tickets, values, comments = (self._part(part, hit) for part in _PARTS)
-            # Patches of other folders have no valid row, so they add nothing here.
-            done = _apply(tickets, values, checked, comments)
-            rows = _rows(done.tickets, done.custom_values, done.thread, self.buckets)
-            self._exchange(rows)
+            own = _bucket(F.col("ticket_id"), F.col("ticket_id"), self.buckets)
+            # Names with a dot in front are no part of the table.
+            new = f"{self.path}/.new-{uuid.uuid4().hex}"
+            step = max(FOLDERS, -(-len(hit) // ROUNDS))
+            try:
+                for at in range(0, len(hit), step):
+                    some = hit[at : at + step]
+                    tickets, values, comments = (self._part(part, some) for part in _PARTS)
+                    done = _apply(tickets, values, checked.where(own.isin(some)), comments)
+                    self._write(_rows(done.tickets, done.custom_values, done.thread, self.buckets), new)
+            except BaseException:
+                delete_folder(self.spark, new)
+                raise
+            self._exchange(new)
+            delete_folder(self.spark, new)
         rejected = checked.where(F.col("problem").isNotNull()).select("ticket_id", "seq", "problem")
         touched = checked.where(F.col("problem").isNull()).select(F.col("ticket_id").alias("id"))
         return Applied(rejected, touched.distinct(), hit)
 
-    def _exchange(self, rows: DataFrame) -> None:
+    def _write(self, rows: DataFrame, path: str) -> None:
+        """Add the rows to the folders under ``path``."""
         names = [f.name for f in self.schema if f.name != "bucket"]
         kinds = {f.name: f.dataType for f in self.schema}
         rows = rows.select(*[F.col(n).cast(kinds[n]) for n in names], "bucket")
-        _laid_out(rows).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("bucket").parquet(self.path)
+        with shuffles_freed(self.spark):
+            _laid_out(rows).write.mode("append").partitionBy("bucket").parquet(path)
+
+    def _exchange(self, new: str) -> None:
+        """The folders under ``new`` take the place of those of the same name."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(new).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for folder in files.listStatus(path(new)):
+            name = folder.getPath().getName()
+            if name.startswith("bucket="):
+                files.delete(path(self.path, name), True)
+                if not files.rename(folder.getPath(), path(self.path, name)):
+                    raise OSError(f"{name} could not be exchanged, its rows are in {new}")
+        self.spark.catalog.refreshByPath(self.path)
 
     def add_comments(self, new: DataFrame) -> list[int]:
         """``add_comments`` on the stored table: the new rows are added, nothing is rewritten.
@@ -141,9 +176,7 @@ class TicketTables:
         fresh = add_comments(known.where("false"), new, last_in=known)
         rows = staged(fresh.select(*[F.col(f.name).cast(f.dataType) for f in kind]), "comments")
         tickets, values = self._part("ticket").where("false"), self._part("custom_value").where("false")
-        _laid_out(_rows(tickets, values, rows, self.buckets)).write.mode("append").partitionBy(
-            "bucket"
-        ).parquet(self.path)
+        self._write(_rows(tickets, values, rows, self.buckets), self.path)
         return hit
 
 
